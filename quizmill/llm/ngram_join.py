@@ -43,7 +43,7 @@ HELD, BUCKET = 1 << 20, 1 << 20
 #: Counters of the frequency sketch, sent to tasks as one byte each.
 SKETCH = 1 << 22
 #: Groups that shingles are hashed into, documents in a leaf, children of a node, documents in a block.
-GROUPS, LEAF, FAN, BLOCK = 32, 16, 8, 512
+GROUPS, LEAF, FAN, BLOCK = 128, 16, 8, 512
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
