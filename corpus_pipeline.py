@@ -1,6 +1,74 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in stages.
 
-STAGES: list = []
+Each stage takes the documents that its predecessor kept and returns documents with the same columns;
+the last returns the pieces of the packed sequences. ``n_chars`` follows the text.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quizmill.llm.best_fit import pack_documents
+from quizmill.llm.language_id import fit, identify
+from quizmill.llm.mixing import mixed_documents
+from quizmill.llm.ngram_join import near_copies
+from quizmill.llm.scratch import materialize
+from quizmill.llm.substring_dedup import remove_repeats
+
+
+def _documents(found: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` from a struct ``row`` and the new ``text``."""
+    columns = {c: F.col(f"row.`{c}`") for c in like.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(like.schema["n_chars"].dataType)
+    return found.select(*[columns[c].alias(c) for c in like.columns])
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no language's centroid is near, or without a letter, go."""
+    return _documents(identify(docs, fit(docs), keep_text=True).where("not rejected"), docs)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five words, 0.8) the document with the smallest id stays."""
+    found = near_copies(docs, width=5, percent=80)
+    going = found.where("component_id <> doc_id").select("doc_id").distinct()
+    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    kept = docs.join(going, "doc_id", "left_anti").select(*docs.columns)
+    again = materialize(repeated)
+    if again.isEmpty():
+        return kept
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that occur earlier are cut out; a document of nothing else goes."""
+    found = remove_repeats(docs, window=50, tidy=False).where("n_words = 0 or n_removed < n_words")
+    return _documents(found, docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come near their target shares, by whole blocks of words."""
+    found = mixed_documents(docs)
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of at most 2048."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("language_id", language_id), ("ngram_join", ngram_join), ("substring_dedup", substring_dedup), ("mixing", mixing), ("best_fit", best_fit)]
+
+#: The stages hash, tokenise and draw in ways that SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs if k == 0 else materialize(docs), sf_dir)
+    return docs
