@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -75,6 +76,37 @@ def joined(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x is not None), dtype)
 
 
+def squeezed(x: np.ndarray, dtype: type) -> bytes:
+    """Numbers by planes of bytes, compressed: high bytes of small numbers cost next to nothing."""
+    planes = np.ascontiguousarray(x.astype(dtype)).view(np.uint8).reshape(len(x), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueezed(column: pa.ChunkedArray, dtype: type) -> list[np.ndarray]:
+    """The numbers of each row of a column of ``squeezed`` values."""
+    width = np.dtype(dtype).itemsize
+    out = []
+    for x in column.to_pylist():
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(-1))
+    return out
+
+
+def steps(x: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Differences within runs of the given lengths; each run begins with its first number."""
+    out = np.diff(x, prepend=0)
+    first = np.cumsum(run) - run
+    out[first] = x[first]
+    return out
+
+
+def unsteps(x: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The inverse of ``steps``."""
+    total = np.cumsum(x)
+    first = np.cumsum(run) - run
+    return total - np.repeat(total[first] - x[first], run)
+
+
 def row_writer(schema: pa.Schema, rows_at_once: int = 256) -> tuple[Callable[..., None], Callable[[bool], Iterator[pa.RecordBatch]]]:
     """``put(value, ...)`` keeps a row; ``take(all)`` gives batches of what is kept."""
     kept: list[tuple] = []

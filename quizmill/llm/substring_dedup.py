@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour
+from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, squeezed, steps, unsqueezed, unsteps
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 20, 1 << 20
+HELD, BUCKET = 1 << 20, 2 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 16 << 20
 _LAST = 2**63 - 1
@@ -67,8 +67,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
 
 def _marks(w: Words) -> np.ndarray:
-    """A hash of all words of each text."""
-    return w.runs(w.first[:-1], np.diff(w.first))
+    """A short hash of all words of each text."""
+    return (w.runs(w.first[:-1], np.diff(w.first)) >> np.uint64(32)).astype(np.uint32)
 
 
 def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,13 +120,13 @@ def _send_windows(window: int, buckets: int):
             o, s, lengths = _intervals(s[order], o[order])
             if len(o):
                 x, c = run_lengths(o)
-                put(int(x[0] % buckets), None, doc[x].tobytes(), mark[x].tobytes(), _u4(c), _u4(s), _u4(lengths))
+                put(int(x[0] % buckets), None, *_pack(doc[x], mark[x], c, s, lengths))
             h, owner, start = h[first], owner[first], start[first]
             order = np.lexsort((start, owner))
             h, owner, start = h[order], owner[order], start[order]
             for b, at in by_bucket(bucket_of(h, buckets)):
                 x, c = run_lengths(owner[at])
-                put(b, h[at].tobytes(), doc[x].tobytes(), mark[x].tobytes(), _u4(c), _u4(start[at]), None)
+                put(b, _low(h[at]), *_pack(doc[x], mark[x], c, start[at], None))
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -147,8 +147,35 @@ def _send_windows(window: int, buckets: int):
     return run
 
 
-def _u4(x: np.ndarray) -> bytes:
-    return x.astype(np.uint32).tobytes()
+def _low(h: np.ndarray) -> bytes:
+    """The lower 56 bits of hashes: the bucket has the upper ones."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _unlow(column: pa.ChunkedArray) -> np.ndarray:
+    out = np.zeros((sum(len(x) for x in column.to_pylist()) // 7, 8), np.uint8)
+    out[:, :7] = joined(column, np.uint8).reshape(-1, 7)
+    return out.view(np.uint64).reshape(-1)
+
+
+def _pack(doc: np.ndarray, mark: np.ndarray, count: np.ndarray, start: np.ndarray, length: np.ndarray | None) -> tuple:
+    """Runs of windows: of each document its id, mark and number of windows; of each window its start."""
+    return squeezed(np.diff(doc, prepend=0), np.int64), mark.tobytes(), squeezed(count, np.uint32), squeezed(steps(start, count), np.uint32), None if length is None else squeezed(length, np.uint32)
+
+
+def _unpack(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Ids, marks and numbers of the runs of all rows, and all starts."""
+    if not rows.num_rows:
+        none = np.zeros(0, np.int64)
+        return none, none.astype(np.uint32), none, none
+    count = [c.astype(np.int64) for c in unsqueezed(rows["counts"], np.uint32)]
+    start = [unsteps(s.astype(np.int64), c) for s, c in zip(unsqueezed(rows["starts"], np.uint32), count, strict=True)]
+    doc = [np.cumsum(d) for d in unsqueezed(rows["docs"], np.int64)]
+    return np.concatenate(doc), joined(rows["marks"], np.uint32), np.concatenate(count), np.concatenate(start)
+
+
+def _lengths(rows: pa.Table) -> np.ndarray:
+    return np.concatenate(unsqueezed(rows["lengths"], np.uint32)).astype(np.int64)
 
 
 def _settle(groups: int):
@@ -163,16 +190,16 @@ def _settle(groups: int):
             to = doc % _PRIME * _SPREAD % _PRIME % groups
             for b, at in by_bucket(to[owner].astype(np.int32)):
                 x, c = run_lengths(owner[at])
-                put(b, doc[x].tobytes(), mark[x].tobytes(), _u4(c), _u4(start[at]), _u4(length[at]))
+                put(b, *_pack(doc[x], mark[x], c, start[at], length[at]))
 
         for rows in groups_in_order(batches, ["bucket"]):
             here = rows.column("hashes").is_valid()
             done, rows = rows.filter(pa.compute.invert(here)), rows.filter(here)
             doc, mark, count, start = _unpack(done)
             if len(doc):
-                tell(doc, mark, count, start, joined(done["lengths"], np.uint32))
+                tell(doc, mark, count, start, _lengths(done))
             doc, mark, count, start = _unpack(rows)
-            h = joined(rows["hashes"], np.uint64)
+            h = _unlow(rows["hashes"])
             order = np.argsort(h, kind="stable")
             twice = np.zeros(len(h), bool)
             twice[order] = same_as_neighbour(h[order])
@@ -195,10 +222,6 @@ def _settle(groups: int):
     return run
 
 
-def _unpack(rows: pa.Table) -> tuple[np.ndarray, ...]:
-    return joined(rows["docs"], np.int64), joined(rows["marks"], np.uint64), joined(rows["counts"], np.uint32).astype(np.int64), joined(rows["starts"], np.uint32).astype(np.int64)
-
-
 def _cut(window: int, tidy: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: object = None
@@ -217,7 +240,7 @@ def _cut(window: int, tidy: bool):
                 rows = pa.Table.from_batches([part.filter(pa.compute.invert(text))])
                 if rows.num_rows:
                     doc, mark, count, start = _unpack(rows)
-                    length, cut = joined(rows["lengths"], np.uint32).astype(np.int64), np.cumsum(count)
+                    length, cut = _lengths(rows), np.cumsum(count)
                     for d, m, a, b in zip(doc.tolist(), mark.tolist(), (cut - count).tolist(), cut.tolist(), strict=True):
                         told.setdefault((d, m), []).append((start[a:b], length[a:b]))
                 part = part.filter(text)
