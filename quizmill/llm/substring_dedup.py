@@ -26,7 +26,7 @@ from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_wri
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 20, 2 << 20
+HELD, BUCKET = 1 << 19, 2 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 16 << 20
 _LAST = 2**63 - 1
@@ -244,8 +244,8 @@ def _cut(window: int, tidy: bool):
                     for d, m, a, b in zip(doc.tolist(), mark.tolist(), (cut - count).tolist(), cut.tolist(), strict=True):
                         told.setdefault((d, m), []).append((start[a:b], length[a:b]))
                 part = part.filter(text)
-                if part.num_rows:
-                    yield _kept(part, told, window, tidy)
+                for at in range(0, part.num_rows, 1000):
+                    yield _kept(part.slice(at, 1000), told, window, tidy)
 
     return run
 
