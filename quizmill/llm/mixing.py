@@ -149,7 +149,7 @@ def _parts(rows: DataFrame, block: int) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, block: int = BLOCK, seed: int = 1, **names: str) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken``: the words of each document that the mix takes."""
     rows, slots = plan_mix(docs, weights, cap, block, seed, **names)
-    times = slots.groupBy("number", "block").agg(F.count("*").alias("times"))
+    times = slots.groupBy("number", "block").agg(F.count("*").alias("times")).hint("merge")  # Spark can't tell its size
     taken = _parts(rows, block).join(times, ["number", "block"]).groupBy("number", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     # a document without words may begin where another does
     taken = taken.withColumn("has", F.lit(True))
@@ -162,7 +162,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     rows, slots = plan_mix(docs, weights, cap, block, seed, id_col, text_col, source_col)
     plans = (
         _parts(rows, block)
-        .join(slots, ["number", "block"])
+        .join(slots.hint("merge"), ["number", "block"])  # Spark can't tell their size
         .groupBy("number", "start", "turn")
         .agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))  # at most the document's blocks
         .groupBy("number", "start")
