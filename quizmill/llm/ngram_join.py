@@ -39,7 +39,7 @@ from .wordhash import scramble, shingle_sets
 #: One shingle in so many is used to put documents aside.
 SAMPLE = 4
 #: Sampled shingles that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 20, 1 << 20
+HELD, BUCKET = 1 << 19, 1 << 20
 #: Counters of the frequency sketch, sent to tasks as one byte each.
 SKETCH = 1 << 22
 #: Groups that shingles are hashed into, documents in a leaf, children of a node, documents in a block.
@@ -353,8 +353,8 @@ class CountTree:
         """Places of all pairs, either way round, that may link: the sum of minima reaches the overlap
         that their sizes call for."""
         out_i, out_j = [], []
-        for lo in range(0, len(self.points), 256):
-            q = np.arange(lo, min(lo + 256, len(self.points)))
+        for lo in range(0, len(self.points), 32):  # bounds the pairs that are held at once
+            q = np.arange(lo, min(lo + 32, len(self.points)))
             node = np.zeros(len(q), np.int64)
             for level in range(len(self.levels) - 1, -1, -1):
                 first, most, low, high = self.levels[level]
