@@ -4,7 +4,7 @@ Inner products become distances on a sphere: vectors are divided by the greatest
 more component that fills them up to length 1; queries are normalised. Each block of vectors is
 indexed by ``PROJECTIONS`` random directions: per direction one array of the vectors sorted by their
 projection. A query opens a window around its own projection in each array; a vector that lies in at
-least a threshold of the windows is verified with its exact inner product.
+least a threshold of the windows is verified: its exact inner product must lie inside the radius.
 
 Windows are as wide as a radius calls for (virtual rehashing: the arrays stay, only windows grow). A
 query's first radius is its distance to a neighbour in a bounded sample of vectors, taken so far that
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .vector_blocks import meet, ranked, sample_of, top_pairs, usable
+from .vector_blocks import meet, ranked, sample_of, top_pairs, usable, with_bounds
 
 PROJECTIONS, MARGIN, HIT, DEVIATIONS = 96, 1.5, 0.75, 2.0
 #: Half-width of a window that a normal deviate of the radius hits with probability ``HIT``.
@@ -39,14 +39,14 @@ def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_
     n, longest = vectors.agg(F.count("*"), F.max("norm")).first()
     vectors = vectors.select("id", "vector")
     asked = vectors.join(table.where(queries).select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    asked = materialize(asked)
-    sample = sample_of(vectors)
+    longest = longest or 1.0
+    asked = materialize(with_bounds(asked, _radii(n, longest, k), sample_of(vectors)))
     results = None
     for wider in _WIDER:
         n_asked = asked.count()
         if not n_asked and results is not None:
             break
-        found = meet(vectors, asked, n, n_asked, _search(sample, n, longest or 1.0, k, wider, seed), "query_id long, vec_id long, score double")
+        found = meet(vectors, asked, n, n_asked, _search(longest, k, wider, seed), "query_id long, vec_id long, score double")
         found = materialize(ranked(found, k))
         full = found.groupBy("query_id").count().where(F.col("count") >= min(k, n - 1)).select("query_id")
         done = found.join(full, "query_id", "left_semi") if np.isfinite(wider) else found
@@ -55,10 +55,11 @@ def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_
     return results
 
 
-def _search(sample: tuple, n: int, longest: float, k: int, wider: float, seed: int):
-    def found(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple:
-        unit = q / np.linalg.norm(q, axis=1, keepdims=True)
-        radius = wider * _radii(sample, query_ids, unit, n, longest, k)
+def _search(longest: float, k: int, wider: float, seed: int):
+    def found(query_ids: np.ndarray, q: np.ndarray, radius: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple:
+        norm = np.linalg.norm(q, axis=1)
+        unit = q / norm[:, None]
+        radius = np.where(radius > 0, wider * radius, np.inf if wider == np.inf else 0.0)
         scaled = x / longest
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         direction = np.random.default_rng([seed, x.shape[1]]).standard_normal((PROJECTIONS, x.shape[1] + 1))
@@ -80,6 +81,8 @@ def _search(sample: tuple, n: int, longest: float, k: int, wider: float, seed: i
         other = query_ids[i] != ids[j]
         i, j = i[other], j[other]
         score = inner_products(q, x, i, j)
+        near = score >= ((1 - radius * radius / 2) * norm * longest)[i] - 1e-9
+        i, j, score = i[near], j[near], score[near]
         best = top_pairs(i, ids[j], score, k)
         return query_ids[i[best]], ids[j[best]], score[best]
 
@@ -94,16 +97,15 @@ def inner_products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -
     return total
 
 
-def _radii(sample: tuple, query_ids: np.ndarray, unit: np.ndarray, n: int, longest: float, k: int) -> np.ndarray:
+def _radii(n: int, longest: float, k: int):
     """Distance within which about ``MARGIN * k`` of ``n`` vectors should lie, by the sample."""
-    ids, rows = sample
-    same = [r for r in rows if len(r) == unit.shape[1]]
-    if not same:
-        return np.full(len(unit), np.inf)
-    known = np.array([i for i, r in zip(ids.tolist(), rows, strict=True) if len(r) == unit.shape[1]])
-    cosine = unit @ (np.stack(same) / longest).T
-    cosine[query_ids[:, None] == known[None, :]] = -2.0
-    place = int(np.ceil(MARGIN * k * len(rows) / max(n, 1))) - 1
-    if place >= len(same) - 1:
-        return np.full(len(unit), np.inf)
-    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * -np.partition(-cosine, place, axis=1)[:, place]))
+
+    def bound(q: np.ndarray, sample: np.ndarray, own: np.ndarray) -> np.ndarray:
+        place = int(np.ceil(MARGIN * k * len(sample) / max(n, 1))) - 1
+        if place >= len(sample) - 1:
+            return np.full(len(q), np.inf)
+        cosine = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (sample / longest).T
+        cosine[own] = -2.0
+        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * -np.partition(-cosine, place, axis=1)[:, place]))
+
+    return bound

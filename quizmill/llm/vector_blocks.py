@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .packing_rows import groups_in_order
 
 #: Rows of a block of vectors and of queries, on average; vectors of the sample that tasks get.
-BLOCK, QUERIES, SAMPLE = 1024, 1024, 2048
+BLOCK, QUERIES, SAMPLE = 2048, 1024, 4096
 
 
 def usable(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -29,14 +29,36 @@ def sample_of(vectors: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array([r.id for r in rows], np.int64), [np.array(r.vector, np.float64) for r in rows]
 
 
+def with_bounds(queries: DataFrame, bound: Callable, sample: tuple[np.ndarray, list[np.ndarray]]) -> DataFrame:
+    """``id, vector, bound``: a number for each query from the sample's vectors of its dimension, by
+    ``bound(queries, sample vectors, is the query itself)``."""
+    known, rows = sample
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, dims = batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy()
+            out = np.zeros(len(ids))
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            start = np.cumsum(dims) - dims
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                like = [k for k, r in enumerate(rows) if len(r) == dim]
+                for part in np.array_split(at, -(-len(at) // 512)):
+                    q = flat[start[part][:, None] + np.arange(dim)]
+                    out[part] = bound(q, np.stack([rows[k] for k in like]) if like else np.zeros((0, dim)), ids[part][:, None] == known[like][None, :])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["id", "vector", "bound"])
+
+    return queries.select("id", "vector").mapInArrow(run, "id long, vector array<double>, bound double")
+
+
 def meet(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int, found: Callable, schema: str) -> DataFrame:
-    """Rows of ``found(query ids, query vectors, ids, vectors)`` for each pair of blocks of one
+    """Rows of ``found(query ids, query vectors, limits, ids, vectors)`` for each pair of blocks of one
     dimension; vectors come as matrices. ``found`` returns arrays for the columns of ``schema``."""
     blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
     block = lambda k, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(k)).cast("int")
     each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    left = queries.select(block(query_blocks, 1).alias("q"), each(blocks).alias("b"), F.size("vector").alias("dim"), F.lit(0).alias("side"), "id", "vector")
-    right = vectors.select(each(query_blocks).alias("q"), block(blocks, 2).alias("b"), F.size("vector").alias("dim"), F.lit(1).alias("side"), "id", "vector")
+    left = queries.select(block(query_blocks, 1).alias("q"), each(blocks).alias("b"), F.size("vector").alias("dim"), F.lit(0).alias("side"), "id", "vector", "bound")
+    right = vectors.select(each(query_blocks).alias("q"), block(blocks, 2).alias("b"), F.size("vector").alias("dim"), F.lit(1).alias("side"), "id", "vector", F.lit(0.0).alias("bound"))
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,7 +70,7 @@ def meet(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int, found:
                 continue
             flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in rows["vector"].chunks])
             x = flat.reshape(len(ids), -1)
-            out = found(ids[:cut], x[:cut], ids[cut:], x[cut:])
+            out = found(ids[:cut], x[:cut], rows["bound"].to_numpy()[:cut], ids[cut:], x[cut:])
             if len(out[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
