@@ -5,9 +5,9 @@ of vectors holds the vectors whose component has that sign, with its size. A que
 where its own component agrees in sign with the list (products there are positive; all others only
 lower a score). Terms are sorted by their bound, the query's component times the list's maximum; the
 last ones whose bounds together stay under the threshold are non-essential. Only essential lists are
-traversed: a vector in none of them can't reach the threshold. The vectors met are completed by what
-lowers them and then by the non-essential terms, a few at a time, and leave as soon as what is left
-can't lift them to the threshold.
+traversed, for all queries of a block together: a vector in none of them can't reach the threshold.
+The others are completed by the non-essential terms, first the greater half, then a few at a time, and
+leave as soon as what is left can't lift them to the threshold.
 
 The threshold is the query's k-th score over a bounded sample of vectors, so it is reached by k
 vectors and safe in every block; within a block it rises no further. Blocks are shards: their best k
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .vector_blocks import meet, ranked, sample_of, top_pairs, usable
+from .vector_blocks import meet, ranked, sample_of, top_pairs, usable, with_bounds
 
 #: Non-essential terms that are completed at once.
 STEP = 8
@@ -37,59 +37,14 @@ def best_scores(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20,
     vectors = materialize(usable(table, id_col, vector_col).select("id", whole.alias("vector")))
     n = vectors.count()
     asked = materialize(vectors.join(table.where(queries).select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi"))
-    found = meet(vectors, asked, n, asked.count(), _search(sample_of(vectors), k), "query_id long, vec_id long, score long")
+    asked = materialize(with_bounds(asked, _thresholds(k), sample_of(vectors)))
+    found = meet(vectors, asked, n, asked.count(), _search(k), "query_id long, vec_id long, score long")
     return ranked(found, k)
 
 
-class Postings:
-    """Posting lists of a block: for term ``2 d`` the vectors with component d above 0, for ``2 d + 1``
-    those under 0, with absolute values."""
-
-    def __init__(self, x: np.ndarray) -> None:
-        self.x = x
-        lists = [np.flatnonzero(side) for d in range(x.shape[1]) for side in (x[:, d] > 0, x[:, d] < 0)]
-        self.start = np.concatenate(([0], np.cumsum([len(p) for p in lists])))
-        self.vec = np.concatenate(lists)
-        self.value = np.concatenate([np.abs(x[p, t // 2]) for t, p in enumerate(lists)])
-        self.most = np.array([self.value[a:b].max() if b > a else 0.0 for a, b in zip(self.start[:-1], self.start[1:], strict=True)])
-
-    def search(self, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Vectors whose product with ``q`` is at least ``least``, and the products."""
-        dims = np.flatnonzero(q)
-        terms = 2 * dims + (q[dims] < 0)
-        bound = np.abs(q[dims]) * self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        dims, terms, bound = dims[order], terms[order], bound[order]
-        rest = np.concatenate((np.cumsum(bound[::-1])[::-1], [0.0]))  # bounds from each term on
-        essential = int(np.searchsorted(-rest, -least, "right")) if least > 0 else len(terms)
-        if least > 0:
-            met = np.concatenate([self.vec[self.start[t] : self.start[t + 1]] for t in terms[:essential]] or [np.zeros(0, np.int64)])
-            value = np.concatenate([self.value[self.start[t] : self.start[t + 1]] * abs(q[d]) for t, d in zip(terms[:essential], dims[:essential], strict=True)] or [np.zeros(0)])
-            total = np.bincount(met, weights=value, minlength=len(self.x))
-            left = np.flatnonzero((np.bincount(met, minlength=len(self.x)) > 0) & (total + rest[essential] >= least))
-        else:
-            left = np.arange(len(self.x))
-        total = self.x[left][:, dims[:essential]] @ q[dims[:essential]]  # now with what lowers it
-        for at in range(essential, len(terms), STEP):
-            keep = total + rest[at] >= least
-            left, total = left[keep], total[keep]
-            some = dims[at : at + STEP]
-            total = total + self.x[left][:, some] @ q[some]
-        keep = total >= least
-        return left[keep], total[keep]
-
-
-def _search(sample: tuple, k: int):
-    def found(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple:
-        least = _thresholds(sample, query_ids, q, k)
-        lists = Postings(x)
-        rows, vecs, scores = [], [], []
-        for i in range(len(q)):
-            j, s = lists.search(q[i], least[i])
-            rows.append(np.full(len(j), i))
-            vecs.append(j)
-            scores.append(s)
-        i, j, s = np.concatenate(rows), np.concatenate(vecs), np.concatenate(scores)
+def _search(k: int):
+    def found(query_ids: np.ndarray, q: np.ndarray, least: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple:
+        i, j, s = competitive(q, x, least)
         other = query_ids[i] != ids[j]
         i, j, s = i[other], j[other], s[other]
         best = top_pairs(i, ids[j], s, k)
@@ -98,12 +53,44 @@ def _search(sample: tuple, k: int):
     return found
 
 
-def _thresholds(sample: tuple, query_ids: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+def competitive(q: np.ndarray, x: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a query and a vector of a block whose product is at least the query's threshold, and
+    the products. The lists of a block are its columns: all vectors have all terms."""
+    # a term's bound: the query's component times the greatest component of its sign in the block
+    bound = np.where(q > 0, q * np.maximum(x.max(axis=0), 0), q * np.minimum(x.min(axis=0), 0))
+    order = np.argsort(-bound, axis=1, kind="stable")
+    place = np.argsort(order, axis=1, kind="stable")
+    rest = np.cumsum(np.take_along_axis(bound, order, axis=1)[:, ::-1], axis=1)[:, ::-1]
+    rest = np.concatenate((rest, np.zeros((len(q), 1))), axis=1)  # bounds from each term on
+    essential = (rest >= least[:, None]).sum(axis=1)  # the others' bounds stay under the threshold
+    essential = np.minimum(essential, q.shape[1])
+    after = lambda terms: np.take_along_axis(rest, terms[:, None], axis=1)
+    total = np.where(place < essential[:, None], q, 0.0) @ x.T
+    alive = total + after(essential) >= least[:, None]
+    half = (essential + q.shape[1] + 1) // 2
+    total += np.where((place >= essential[:, None]) & (place < half[:, None]), q, 0.0) @ x.T
+    alive &= total + after(half) >= least[:, None]
+    i, j = np.nonzero(alive)
+    total = total[i, j]
+    for at in range(int(half.min()) if len(half) else 0, q.shape[1], STEP):
+        if not len(i):
+            break
+        terms = order[i, at : at + STEP]
+        more = q[i[:, None], terms] * x[j[:, None], terms]
+        total = total + np.where(np.arange(at, at + terms.shape[1])[None, :] >= half[i][:, None], more, 0.0).sum(axis=1)
+        keep = total + rest[i, np.maximum(half[i], at + terms.shape[1])] >= least[i]
+        i, j, total = i[keep], j[keep], total[keep]
+    return i, j, total
+
+
+def _thresholds(k: int):
     """Each query's k-th score over the sample's other vectors; minus infinity if they are fewer."""
-    ids, rows = sample
-    known = np.array([i for i, r in zip(ids.tolist(), rows, strict=True) if len(r) == q.shape[1]], np.int64)
-    if len(known) <= k:
-        return np.full(len(q), -np.inf)
-    score = q @ np.stack([r for r in rows if len(r) == q.shape[1]]).T
-    score[query_ids[:, None] == known[None, :]] = -np.inf
-    return -np.partition(-score, k - 1, axis=1)[:, k - 1]
+
+    def bound(q: np.ndarray, sample: np.ndarray, own: np.ndarray) -> np.ndarray:
+        if len(sample) <= k:
+            return np.full(len(q), -np.inf)
+        score = q @ sample.T
+        score[own] = -np.inf
+        return -np.partition(-score, k - 1, axis=1)[:, k - 1]
+
+    return bound
