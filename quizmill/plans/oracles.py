@@ -148,7 +148,7 @@ ORACLES: dict[str, str] = {
     "br_dedupe": f"select {_id(chr(39) + 'q' + chr(39), 'cast(l_partkey as varchar)')} as question_id, strftime(l_shipdate, '%Y-%m-%d') as fetched_at, l_orderkey as batch_id, l_linenumber as pos from lineitem qualify row_number() over (partition by l_partkey order by strftime(l_shipdate, '%Y-%m-%d'), l_orderkey, l_linenumber) = 1",
     "br_new_questions": _with(_RAW, "select question_id, case when p_partkey % 3 = 0 then question else question || ' (new)' end as question from raw"),
     "br_ingest_summary": _with(_RESPONSES, f"select count(distinct {_id('question', 'correct_answer')}) as unique_questions, 1000::bigint as expected_questions, arg_max(category, p_partkey) as last_category, case when count(distinct {_id('question', 'correct_answer')}) >= 1000 then 'complete' else 'partial' end as status from ok"),
-    "br_response_audit": _with(_RESPONSES, "select batch % 24 + 9 as category_id, case when batch % 7 = 6 then 4 else 0 end as response_code, count(distinct batch) as n_batches, sum(case when batch % 7 = 6 then 0 else 1 end) as n_results from b group by 1, 2"),
+    "br_response_audit": _with(_RESPONSES, "select batch % 24 + 9 as category_id, case when batch % 7 = 6 then 4 else 0 end as response_code, count(distinct batch) as n_batches, cast(sum(case when batch % 7 = 6 then 0 else 1 end) as bigint) as n_results from b group by 1, 2"),
     "sq_unescape": "select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&amp;', '&'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&apos;', ''''), '\\s+', ' ', 'g')) as title from pages",
     "sq_clean_questions": _with(_Q, "select question_id, category, category_group, category_name, type, difficulty, question, correct_answer, correct_answer_norm, answer_is_numeric, n_choices, length(question) as question_len, length(correct_answer) as answer_len, array_to_string(incorrect_answers, '|') as incorrect, '2026-01-02' as cleaned_at from qq"),
     "sq_shuffle": _with(_Q, "select question_id, array_to_string(choices, '|') as choices, correct_answer_position, n_choices from qq"),
@@ -193,7 +193,7 @@ ORACLES: dict[str, str] = {
     "rv_leaked_letters": _with(_S, "select model_slug, count(*) as n_answers from s where match_method = 'choice_letter' and prompt_variant <> 'p1_constrained_mcq' group by 1"),
     "rv_failed_arbitrations": _with(_S, "select model_slug, count(*) as n_answers from s where match_method = 'llm_judge_failed' group by 1"),
     "rv_position_labels": _with(_S, f"select model_slug, n_choices, coalesce(cast(chosen_position as varchar), 'unresolved') as position_label, n_chosen from ({_BIAS})"),
-    "rv_unresolved_positions": _with(_S, f"select coalesce(sum(n_chosen), 0) as n_unresolved from ({_BIAS}) where chosen_position is null"),
+    "rv_unresolved_positions": _with(_S, f"select cast(coalesce(sum(n_chosen), 0) as bigint) as n_unresolved from ({_BIAS}) where chosen_position is null"),
     "rv_reliability": _with(_R, "select count(*) filter (where is_scorable and is_empty_answer) as n_empty, count(*) filter (where is_scorable and is_truncated) as n_truncated, count(*) filter (where not is_scorable) as n_transport_errors from r"),
     "rv_latency_for_host": _with(_S, f"select * from ({_LATENCY}) where host = 'host-1'"),
     "rv_hosts": _with(_S, "select distinct host from s where not is_warmup"),
