@@ -45,7 +45,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that occur earlier are cut out; a document of nothing else goes."""
-    found = remove_repeats(docs, window=50, tidy=False).where("n_words = 0 or n_removed < n_words")
+    found = remove_repeats(docs, window=50, joined_words=False).where("n_words = 0 or n_removed < n_words")
     return _documents(found, docs)
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import materialize
+from .tasks import tidy
 
 #: Tokens that are packed together, about, and bins that are open meanwhile.
 TASK_TOKENS, OPEN_BINS = 2 << 20, 4096
@@ -74,7 +75,7 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, limit: in
 
     key = docs.schema[id_col].dataType.simpleString()
     types = [{"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[key], pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {key}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"doc_id {key}, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(found: DataFrame, limit: int = 2048, task_tokens: int = TASK_TOKENS, open_bins: int = OPEN_BINS) -> DataFrame:
@@ -88,7 +89,7 @@ def pack(found: DataFrame, limit: int = 2048, task_tokens: int = TASK_TOKENS, op
         .repartition("task")
         .sortWithinPartitions("task", F.desc("length"), "spread", "doc_id", "piece")
         .drop("spread")
-        .mapInArrow(_place(limit, open_bins), found.schema.add("sequence_id", "long").add("offset", "long"))
+        .mapInArrow(tidy(_place(limit, open_bins)), found.schema.add("sequence_id", "long").add("offset", "long"))
     )
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tasks import tidy
 from .template import BEGIN, END, compile_template
 
 START, STOP = "<|im_start|>", "<|im_end|>"
@@ -100,7 +101,7 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE, conv_col: s
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
         .select("conv_id", "role", "text")
-        .mapInArrow(run, schema)
+        .mapInArrow(tidy(run), schema)
     )
 
 
@@ -136,4 +137,4 @@ def read_back(parts: DataFrame) -> DataFrame:
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k.endswith("256") else pa.int64()) for k, c in zip(names, zip(*done, strict=True), strict=True)], names=names)
 
-    return parts.mapInArrow(run, schema)
+    return parts.mapInArrow(tidy(run), schema)

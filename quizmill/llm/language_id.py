@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tasks import tidy
+
 DIMS, SAMPLE, CENTROIDS, SLACK = 2048, 4000, 3, 0.5
 _LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
 _U = np.uint32
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     parts = 1_000_000
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(parts, -(-each * parts // n)))])
     sample = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0)))
-    found = sample.mapInArrow(_vectors, "lang string, letters long, vector binary").where("letters > 0").limit(2 * SAMPLE).collect()
+    found = sample.mapInArrow(tidy(_vectors), "lang string, letters long, vector binary").where("letters > 0").limit(2 * SAMPLE).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.lang, r.vector))
@@ -140,7 +142,7 @@ def identify(docs: DataFrame, model: Centroids | None, text_col: str = "text", k
                 more = [part.column(1)] if keep_text else []
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), pa.array(score), pa.array(out), *more], names=["row", "lang_pred", "score", "rejected", "text"][: 4 + keep_text])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean" + ", text string" * keep_text)
+    return rows.mapInArrow(tidy(run), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean" + ", text string" * keep_text)
 
 
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

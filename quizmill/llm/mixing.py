@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .numbering import running_sum
 from .scratch import materialize
+from .tasks import tidy
 from .wordhash import scramble, words_of
 
 #: Words of a block, slots of an output shard, and the greatest multiple of a source's words.
@@ -135,7 +136,7 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(source), shard)), pa.array(slot.astype(np.int32)), pa.array(source.astype(np.int32)), pa.array(turn.astype(np.int32)), pa.array(at)], names=["shard", "slot", "number", "turn", "block"])
 
     tasks = max(1, min(plan.shards, 8 * spark.sparkContext.defaultParallelism))
-    return rows, spark.range(0, plan.shards, 1, tasks).mapInArrow(draw, "shard long, slot int, number int, turn int, block long")
+    return rows, spark.range(0, plan.shards, 1, tasks).mapInArrow(tidy(draw), "shard long, slot int, number int, turn int, block long")
 
 
 def _parts(rows: DataFrame, block: int) -> DataFrame:
@@ -178,7 +179,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, 500) for b in batches for lo in range(0, b.num_rows, 500)):
             texts = batch.column(place).to_pylist()
             left = []
             for w in words_of(batch.column(place)):
@@ -194,4 +195,4 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
             columns[place] = pa.array(left, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return both.mapInArrow(cut, docs.schema)
+    return both.mapInArrow(tidy(cut), docs.schema)

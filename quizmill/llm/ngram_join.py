@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour
 from .scratch import materialize
+from .tasks import tidy
 from .wordhash import scramble, shingle_sets
 
 #: One shingle in so many is used to put documents aside.
@@ -55,7 +56,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     sets; ``component_id`` is the smallest id reachable by links, itself included.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sizes = materialize(docs.mapInArrow(_sizes(width), "doc_id long, n long, sampled long, s1 long, s2 long"))
+    sizes = materialize(docs.mapInArrow(tidy(_sizes(width)), "doc_id long, n long, sampled long, s1 long, s2 long"))
     known = sizes.where("n > 0 and doc_id is not null")
     classes = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail"), F.max("sampled").alias("sampled"))
     copies = known.join(classes.where("head <> tail").select("s1", "s2", "n", "head"), ["s1", "s2", "n"]).where("doc_id <> head")
@@ -100,10 +101,10 @@ def _survivors(docs: DataFrame, sizes: DataFrame, classes: DataFrame, width: int
     total = sizes.agg(F.sum("sampled")).first()[0] or 0
     buckets = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET))
     counts = (
-        docs.mapInArrow(_send_sampled(width, buckets), "bucket int, hashes binary, docs binary, counts binary")
+        docs.mapInArrow(tidy(_send_sampled(width, buckets)), "bucket int, hashes binary, docs binary, counts binary")
         .repartition(-(-buckets // 4), "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_count_shared, "doc long, shared long")
+        .mapInArrow(tidy(_count_shared), "doc long, shared long")
         .groupBy("doc")
         .agg(F.sum("shared").alias("shared"))
     )
@@ -208,7 +209,7 @@ def _sketch(texts: DataFrame, width: int) -> np.ndarray:
         if now is not None:
             yield done()
 
-    parts = texts.select("text").mapInArrow(count, "part int, counts binary").repartition(16, "part").sortWithinPartitions("part").mapInArrow(add, "part int, counts binary")
+    parts = texts.select("text").mapInArrow(tidy(count), "part int, counts binary").repartition(16, "part").sortWithinPartitions("part").mapInArrow(tidy(add), "part int, counts binary")
     levels = np.zeros(SKETCH, np.uint8)
     for i, x in parts.collect():  # SKETCH bytes, whatever the corpus
         levels[i * part : (i + 1) * part] = np.frombuffer(x, np.uint8)
@@ -232,7 +233,7 @@ def _prefixes(texts: DataFrame, width: int, percent: int) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], names=["key", "doc", "n"])
 
-    return texts.mapInArrow(run, "key long, doc long, n long")
+    return texts.mapInArrow(tidy(run), "key long, doc long, n long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -262,7 +263,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(tidy(run), "a long, b long")
     )
 
 
@@ -274,7 +275,7 @@ def _open_pairs(shared: DataFrame, groups: DataFrame, texts: DataFrame, width: i
     still = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi")
     rows = materialize(marked.join(still.select("key", "members"), "key"))
     wanted = rows.select(F.col("doc").alias("doc_id")).distinct()
-    points = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_points(width), "doc long, size long, point binary")
+    points = texts.join(wanted, "doc_id", "left_semi").mapInArrow(tidy(_points(width)), "doc long, size long, point binary")
     blocks = F.ceil(F.col("members") / BLOCK)
     return (
         rows.join(points, "doc")
@@ -286,7 +287,7 @@ def _open_pairs(shared: DataFrame, groups: DataFrame, texts: DataFrame, width: i
         .select("key", "x", "y", "block", "doc", "size", "component", "point")
         .repartition("key", "x", "y")
         .sortWithinPartitions("key", "x", "y", "doc")
-        .mapInArrow(_tree_pairs(percent), "a long, b long")
+        .mapInArrow(tidy(_tree_pairs(percent)), "a long, b long")
         .distinct()
     )
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, squeezed, steps, unsqueezed, unsteps
+from .tasks import tidy
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
@@ -36,11 +37,11 @@ _SENT = "bucket int, hashes binary, docs binary, marks binary, counts binary, st
 _TOLD = "bucket int, docs binary, marks binary, counts binary, starts binary, lengths binary"
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", tidy: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", joined_words: bool = True) -> DataFrame:
     """``row`` (a struct of the other columns), ``text`` (what is left), ``n_words`` and ``n_removed``.
 
     Words are runs of other characters than blanks 0x20 and 0x09-0x0D. What is left is the kept words
-    joined by one space; with ``tidy=False`` a text that loses nothing stays as it is.
+    joined by one space; with ``joined_words=False`` a text that loses nothing stays as it is.
     """
     spark = docs.sparkSession
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
@@ -49,10 +50,10 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     buckets, groups = max(4 * tasks, -(-size // (6 * BUCKET))), max(4 * tasks, -(-size // GROUP_BYTES))
     told = (
         docs.select(own, F.col(text_col))
-        .mapInArrow(_send_windows(window, buckets), _SENT)
+        .mapInArrow(tidy(_send_windows(window, buckets)), _SENT)
         .repartition(-(-buckets // 4), "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_settle(groups), _TOLD)
+        .mapInArrow(tidy(_settle(groups)), _TOLD)
     )
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     texts = docs.select(F.pmod(F.pmod(F.pmod(own, F.lit(_PRIME)) * _SPREAD, F.lit(_PRIME)), F.lit(groups)).cast("int").alias("bucket"), own.alias("doc"), F.struct(*rest).alias("row"), F.col(text_col).alias("text"))
@@ -62,7 +63,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
         both.withColumn("second", F.col("docs").isNull())
         .repartition(-(-groups // 4), "bucket")
         .sortWithinPartitions("bucket", "second")
-        .mapInArrow(_cut(window, tidy), out)
+        .mapInArrow(tidy(_cut(window, joined_words)), out)
     )
 
 
@@ -222,7 +223,7 @@ def _settle(groups: int):
     return run
 
 
-def _cut(window: int, tidy: bool):
+def _cut(window: int, joined_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: object = None
         told: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -245,12 +246,12 @@ def _cut(window: int, tidy: bool):
                         told.setdefault((d, m), []).append((start[a:b], length[a:b]))
                 part = part.filter(text)
                 for at in range(0, part.num_rows, 1000):
-                    yield _kept(part.slice(at, 1000), told, window, tidy)
+                    yield _kept(part.slice(at, 1000), told, window, joined_words)
 
     return run
 
 
-def _kept(part: pa.RecordBatch, told: dict, window: int, tidy: bool) -> pa.RecordBatch:
+def _kept(part: pa.RecordBatch, told: dict, window: int, joined_words: bool) -> pa.RecordBatch:
     column, ids = part.column("text"), part.column("doc").to_numpy()
     words, removed, left = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
     for w in words_of(column):
@@ -269,7 +270,7 @@ def _kept(part: pa.RecordBatch, told: dict, window: int, tidy: bool) -> pa.Recor
                 removed[w.lo + i] = n - int(keep.sum())
                 own = text.encode().split()
                 left.append(b" ".join([own[k] for k in np.flatnonzero(keep)]).decode())
-            elif tidy:
+            elif joined_words:
                 left.append(b" ".join(text.encode().split()).decode() if text else "")
             else:
                 left.append(text)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tasks import tidy
+
 #: Pre-tokens whose counts a Python worker keeps.
 KEPT = 300_000
 #: Symbols of pre-tokens that are merged together.
@@ -134,6 +136,6 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
 
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
-        .mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long")
+        .mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long")
         .withColumn("over_limit", F.col("n_tokens") > limit)
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .packing_rows import groups_in_order
+from .tasks import tidy
 
 #: Rows of a block of vectors and of queries, on average; vectors of the sample that tasks get.
 BLOCK, QUERIES, SAMPLE = 2048, 1024, 4096
@@ -48,7 +49,7 @@ def with_bounds(queries: DataFrame, bound: Callable, sample: tuple[np.ndarray, l
                     out[part] = bound(q, np.stack([rows[k] for k in like]) if like else np.zeros((0, dim)), ids[part][:, None] == known[like][None, :])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["id", "vector", "bound"])
 
-    return queries.select("id", "vector").mapInArrow(run, "id long, vector array<double>, bound double")
+    return queries.select("id", "vector").mapInArrow(tidy(run), "id long, vector array<double>, bound double")
 
 
 def meet(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int, found: Callable, schema: str) -> DataFrame:
@@ -74,7 +75,7 @@ def meet(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int, found:
             if len(out[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
-    return left.unionByName(right).repartition("q", "b", "dim").sortWithinPartitions("q", "b", "dim", "side", "id").mapInArrow(run, schema)
+    return left.unionByName(right).repartition("q", "b", "dim").sortWithinPartitions("q", "b", "dim", "side", "id").mapInArrow(tidy(run), schema)
 
 
 def top_pairs(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
