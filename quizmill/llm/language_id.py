@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .tasks import tidy
 
@@ -142,7 +143,8 @@ def identify(docs: DataFrame, model: Centroids | None, text_col: str = "text", k
                 more = [part.column(1)] if keep_text else []
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), pa.array(score), pa.array(out), *more], names=["row", "lang_pred", "score", "rejected", "text"][: 4 + keep_text])
 
-    return rows.mapInArrow(tidy(run), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean" + ", text string" * keep_text)
+    out = StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return rows.mapInArrow(tidy(run), out.add("text", "string") if keep_text else out)
 
 
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .numbering import running_sum
 from .scratch import materialize
@@ -172,27 +173,26 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     wanted = rows.where("size > 0").join(plans, ["number", "start"]).select("doc_id", "source", "mark", "turns")
     # equal rows have their turns in one list, and stand for one another
     wanted = wanted.groupBy("doc_id", "source", "mark").agg(F.array_sort(F.collect_list("turns")).alias("turns"))
-    keyed = docs.withColumn("_mark", F.xxhash64(text_col)).dropDuplicates([id_col, source_col, "_mark"])
-    same = [F.col(f"d.{id_col}").eqNullSafe(F.col("p.doc_id")), F.col(f"d.{source_col}").eqNullSafe(F.col("p.source")), F.col("d._mark") == F.col("p.mark")]
-    both = keyed.alias("d").join(wanted.alias("p"), same).select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode("p.turns").alias("_turns"))
-    both = both.select(*docs.columns, F.explode("_turns").alias("_turn")).withColumn("_turn", F.to_json("_turn.parts"))
-    place = docs.columns.index(text_col)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    keyed = docs.select(rest, F.col(text_col).alias("text"), F.col(id_col).alias("own_id"), F.col(source_col).alias("own_source"), F.xxhash64(text_col).alias("own_mark")).dropDuplicates(["own_id", "own_source", "own_mark"])
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_mark") == F.col("mark"))
+    both = keyed.join(wanted, same).select("row", "text", F.explode("turns").alias("turns")).select("row", "text", F.explode("turns").alias("turn"))
+    both = both.select("row", "text", F.to_json("turn.parts").alias("parts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(lo, 500) for b in batches for lo in range(0, b.num_rows, 500)):
-            texts = batch.column(place).to_pylist()
+            texts, cuts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             left = []
-            for w in words_of(batch.column(place)):
+            for w in words_of(batch.column(1)):
                 for i in range(w.n):
                     text, first, n = texts[w.lo + i], int(w.first[i]), int(w.first[i + 1] - w.first[i])
-                    parts = json.loads(batch.column(len(batch.columns) - 1)[w.lo + i].as_py())
+                    parts = json.loads(cuts[w.lo + i])
                     if sum(p["words"] for p in parts) == n:
                         left.append(text)
                         continue
                     own = [w.data[w.start[j] : w.end[j]].tobytes() for p in parts for j in range(first + p["at"], first + p["at"] + p["words"])]
                     left.append(b" ".join(own).decode())
-            columns = list(batch.columns[:-1])
-            columns[place] = pa.array(left, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, pa.string())], names=["row", "text"])
 
-    return both.mapInArrow(tidy(cut), docs.schema)
+    found = both.mapInArrow(tidy(cut), StructType([both.schema["row"]]).add("text", "string"))
+    return found.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
