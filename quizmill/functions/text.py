@@ -78,6 +78,12 @@ def html_unescape(texts: pd.Series) -> pd.Series:
     return texts.map(_unescaped)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def html_unescape_all(lists: pd.Series) -> pd.Series:
+    """``html_unescape`` for each string of an array."""
+    return lists.map(lambda xs: None if xs is None else [_unescaped(x) for x in xs])
+
+
 def _collapsed(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), "^ | $", "")
 
@@ -87,6 +93,11 @@ def unescape_text(text: Column) -> Column:
     return F.coalesce(_collapsed(html_unescape(text)), F.lit(""))
 
 
+def unescape_all(texts: Column) -> Column:
+    """``unescape_text`` for each string of an array."""
+    return F.transform(html_unescape_all(texts), lambda x: F.coalesce(_collapsed(x), F.lit("")))
+
+
 def _common(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bit-parallel columns."""
     if not a or not b:

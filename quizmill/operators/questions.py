@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.answers import is_numeric_answer
-from ..functions.text import html_unescape, normalize_all, normalize_answer, unescape_text
+from ..functions.text import normalize_all, normalize_answer, unescape_all, unescape_text
 from ..schemas import QUESTIONS, conform
 from .bronze import SEPARATOR, dedupe_questions
 
@@ -27,11 +27,12 @@ def split_category(category: Column) -> Column:
 
 
 def parse_incorrect(text: Column) -> Column:
-    """Wrong options from JSON text or a list in single quotes; a bare value is one option."""
+    """Wrong options from JSON text or a list in single quotes; a bare value is one option. Entities are
+    decoded option by option, after parsing: a ``&quot;`` must not end a JSON string."""
     bare = F.trim(text)
     listed = F.from_json(bare, "array<string>")
     options = F.when(F.coalesce(bare, F.lit("")) == "", F.array().cast("array<string>")).when(bare.startswith("["), F.coalesce(listed, F.array(text))).otherwise(F.array(text))
-    return F.transform(options, lambda x: F.coalesce(F.regexp_replace(F.regexp_replace(x, r"(?U)\s+", " "), "^ | $", ""), F.lit("")))
+    return unescape_all(options)
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -57,7 +58,7 @@ def clean_questions(bronze: DataFrame, cleaned_at: Column, order: str = "sha2",
     """Silver questions, one row an id, with ``choices_norm`` besides, so that options are normalised
     once a question and not once an answer."""
     df = bronze.withColumns({c: unescape_text(F.col(c)) for c in ("category", "question", "correct_answer")})
-    df = drop_blank(df.withColumn("incorrect_answers", parse_incorrect(html_unescape(F.col("incorrect_answers")))))
+    df = drop_blank(df.withColumn("incorrect_answers", parse_incorrect(F.col("incorrect_answers"))))
     if unique:
         by = [c for c in ("fetched_at", "batch_id", "pos", "question") if c in df.columns]
         df = dedupe_questions(df, tuple(by))

@@ -70,11 +70,12 @@ def complete(prompts: DataFrame, backend_factory: Callable, max_attempts: int =
     return prompts.mapInPandas(run, f"{', '.join(f'`{n}` {t}' for n, t in prompts.dtypes)}, raw_answer string, status string, error string, attempt long")
 
 
-def flag_warmup(df: DataFrame, order_by: tuple[str, ...] = ("answered_at",)) -> DataFrame:
-    """``is_warmup`` on the first call of each run: an aggregate of one row a run, joined back."""
-    first = df.groupBy("run_id").agg(F.min(F.struct(*order_by)).alias("_first"))
-    flagged = df.join(first, "run_id").withColumn("is_warmup", F.struct(*order_by) == F.col("_first"))
-    return flagged.drop("_first").select(*[c for c in df.columns if c != "is_warmup"], "is_warmup")
+def flag_warmup(df: DataFrame, order_by: tuple[str, ...] = ("answered_at", *TRIPLE)) -> DataFrame:
+    """``is_warmup`` on the first call of each run: an aggregate of one row a run, joined back. Rows
+    without a run are one run; ``order_by`` should tell the rows of a run apart."""
+    first = df.groupBy(F.col("run_id").alias("_run")).agg(F.min(F.struct(*order_by)).alias("_first"))
+    flagged = df.join(first, F.col("run_id").eqNullSafe(F.col("_run"))).withColumn("is_warmup", F.struct(*order_by) == F.col("_first"))
+    return flagged.select(*[c for c in df.columns if c != "is_warmup"], "is_warmup")
 
 
 def latest_answers(answers: DataFrame, order_by: tuple[str, ...] = ("answered_at", "run_id")) -> DataFrame:
