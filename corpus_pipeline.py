@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from quizmill.llm.best_fit import pack_documents
 from quizmill.llm.language_id import fit, identify
 from quizmill.llm.mixing import mixed_documents
-from quizmill.llm.ngram_join import near_copies
+from quizmill.llm.ngram_join import BROADCAST_IDS, near_copies
+from quizmill.llm.numbering import numbered
 from quizmill.llm.scratch import materialize
 from quizmill.llm.substring_dedup import remove_repeats
 
@@ -32,15 +33,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, 0.8) the document with the smallest id stays."""
-    found = near_copies(docs, width=5, percent=80)
-    going = found.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    kept = docs.join(going, "doc_id", "left_anti").select(*docs.columns)
-    again = materialize(repeated)
-    if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Of each group of near copies (five words, 0.8) the document with the smallest id stays.
+
+    Rows that share an id and hold different texts are documents of their own; of rows that share id and
+    text one stays. Between rows of one id the smallest hash of the text decides, then of the other columns."""
+    repeated = materialize(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    if repeated.isEmpty():
+        going = near_copies(docs, width=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct()
+        return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("node"))
+    if repeated.count() <= BROADCAST_IDS:
+        ids = F.broadcast(repeated.select(F.col("doc_id").cast("long").alias("node")))
+        own = numbered(rows.join(ids, "node", "left_semi").select("row"), (docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]) + 1, "node")
+        rows = rows.join(ids, "node", "left_anti").select("row", "node").unionByName(own)
+    else:
+        rows = own = numbered(rows.select("row"), 0, "node")
+    going = _later_copies(near_copies(rows, width=5, percent=80, id_col="node", text_col="row.text"), own)
+    return rows.join(going, "node", "left_anti").select("row.*")
+
+
+def _later_copies(found: DataFrame, own: DataFrame) -> DataFrame:
+    """The ``node`` of each row of ``found`` that gives way to another of its group; ``own`` are the rows
+    with a number in place of their id."""
+    rest = [F.col(f"row.`{c}`") for c in own.schema["row"].dataType.names if c not in ("doc_id", "text")]
+    own = own.select(
+        F.col("node").alias("own"),
+        F.col("row.doc_id").cast("long").alias("id"),
+        F.sha2("row.text", 256).alias("digest"),
+        F.sha2(F.to_json(F.struct(*rest)), 256).alias("rest") if rest else F.lit("").alias("rest"),
+    )
+    # texts without a word link with nothing: of rows that share id and text one stays all the same
+    blank = (F.col("n_shingles") == 0) & F.col("id").isNotNull()
+    found = found.join(own, F.col("doc_id") == F.col("own"), "left").select(
+        F.col("doc_id").alias("node"),
+        F.when(blank, F.concat_ws(" ", F.lit("id"), "id", "digest")).otherwise(F.col("component_id").cast("string")).alias("group"),
+        F.struct(F.when(F.col("own").isNull(), F.col("doc_id")).otherwise(F.col("id")).alias("id"), "digest", "rest", F.col("doc_id").alias("node")).alias("place"),
+    )
+    found = materialize(found.where("node is not null"))
+    first = found.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return materialize(found.join(first, "group").where("node <> first.node").select("node"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

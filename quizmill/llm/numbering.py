@@ -1,10 +1,12 @@
-"""Running sums over very many rows, without a window over all of them or over a large group."""
+"""Running sums over very many rows, without a window over all of them or over a large group; row numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import materialize
+
 #: Rows of a bucket and buckets of a range, on average.
 BUCKET, RANGE = 512, 4096
 
@@ -33,3 +35,20 @@ def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str],
         .join(starts.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
         .select(*[f"a.{c}" for c in rows.columns if c not in ("_bucket", "_range")], (F.col("a._own") + F.col("b._first") + F.col("b._start")).cast("long").alias(out))
     )
+
+
+def numbered(rows: DataFrame, first: int, out: str) -> DataFrame:
+    """``rows`` with the numbers from ``first`` on, without gaps, in ``out``. The rows are written with
+    their numbers, so later jobs and retries see the same ones."""
+    kept = materialize(rows.withColumn(out, F.monotonically_increasing_id()))
+    task = F.shiftright(out, 33)
+    counts = kept.groupBy(task.alias("_task")).count().collect()  # one row a task of the write
+    starts, at = [], first
+    for t, n in sorted(counts):
+        starts.append((t, at))
+        at += n
+    if at > 2**63 - 1:
+        raise ValueError(f"{at - first} numbers from {first} on don't fit 64 bits")
+    starts = F.broadcast(kept.sparkSession.createDataFrame(starts, "_task long, _start long"))
+    number = F.col("_start") + F.col(out).bitwiseAND(F.lit(2**33 - 1))
+    return kept.join(starts, task == F.col("_task")).select(*[number.alias(out) if c == out else f"`{c}`" for c in kept.columns])
