@@ -36,22 +36,30 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, 0.8) the document with the smallest id stays.
 
     Rows that share an id and hold different texts are documents of their own; of rows that share id and
-    text one stays. Between rows of one id the smallest hash of the text decides, then of the other columns."""
-    repeated = materialize(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    text one stays. Rows without an id are documents of their own too, and come last. Between rows of one
+    id, or without any, the smallest hash of the text decides, then of the other columns."""
+    repeated = materialize(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").cast("long").alias("node")))
     if repeated.isEmpty():
         going = near_copies(docs, width=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct()
         return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("node"))
     if repeated.count() <= BROADCAST_IDS:
-        ids = F.broadcast(repeated.select(F.col("doc_id").cast("long").alias("node")))
-        own = numbered(rows.join(ids, "node", "left_semi").select("row"), (docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]) + 1, "node")
-        rows = rows.join(ids, "node", "left_anti").select("row", "node").unionByName(own)
+        ids = F.broadcast(repeated.where("node is not null"))
+        odd = rows.join(ids, "node", "left_semi").select("row").unionByName(rows.where("node is null").select("row"))
+        own = numbered(odd, _after(docs), "node")
+        rows = rows.where("node is not null").join(ids, "node", "left_anti").select("row", "node").unionByName(own)
     else:
         rows = own = numbered(rows.select("row"), 0, "node")
     going = _later_copies(near_copies(rows, width=5, percent=80, id_col="node", text_col="row.text"), own)
     return rows.join(going, "node", "left_anti").select("row.*")
 
 
+def _after(docs: DataFrame) -> int:
+    """The number after the largest id."""
+    largest = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
+    return 0 if largest is None else largest + 1
+
+
 def _later_copies(found: DataFrame, own: DataFrame) -> DataFrame:
     """The ``node`` of each row of ``found`` that gives way to another of its group; ``own`` are the rows
     with a number in place of their id."""
@@ -67,17 +75,26 @@ def _later_copies(found: DataFrame, own: DataFrame) -> DataFrame:
     found = found.join(own, F.col("doc_id") == F.col("own"), "left").select(
         F.col("doc_id").alias("node"),
         F.when(blank, F.concat_ws(" ", F.lit("id"), "id", "digest")).otherwise(F.col("component_id").cast("string")).alias("group"),
-        F.struct(F.when(F.col("own").isNull(), F.col("doc_id")).otherwise(F.col("id")).alias("id"), "digest", "rest", F.col("doc_id").alias("node")).alias("place"),
+        F.struct((F.col("own").isNotNull() & F.col("id").isNull()).alias("last"), F.when(F.col("own").isNull(), F.col("doc_id")).otherwise(F.col("id")).alias("id"), "digest", "rest", F.col("doc_id").alias("node")).alias("place"),
     )
-    found = materialize(found.where("node is not null"))
+    found = materialize(found)
     first = found.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
     return materialize(found.join(first, "group").where("node <> first.node").select("node"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that occur earlier are cut out; a document of nothing else goes."""
-    found = remove_repeats(docs, window=50, joined_words=False).where("n_words = 0 or n_removed < n_words")
-    return _documents(found, docs)
+    """Passages of 50 words or more that occur earlier are cut out; a document of nothing else goes.
+
+    Rows without an id are numbered after the largest id, so each is a document of its own."""
+    kept = "n_words = 0 or n_removed < n_words"
+    without = docs.where("doc_id is null")
+    if without.isEmpty():
+        return _documents(remove_repeats(docs, window=50, joined_words=False).where(kept), docs)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    own = numbered(without.select(rest, "text"), _after(docs), "node")
+    rows = docs.where("doc_id is not null").select(rest, "text", F.col("doc_id").cast("long").alias("node")).unionByName(own)
+    found = remove_repeats(rows, window=50, id_col="node", joined_words=False).where(kept)
+    return _documents(found.select("row.row", "text"), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,25 @@ def test_many_repeated_ids(spark, monkeypatch):
     gone = [(3, text("y1"), "en", "z"), (10, text("n"), "en", "x")]
     docs = spark.createDataFrame(kept + gone, DOCS)
     assert rows(corpus_pipeline.ngram_join(spark, docs, "")) == rows(spark.createDataFrame(kept, DOCS))
+
+
+def test_copies_without_an_id_go(spark):
+    a, b, c = (text(k) for k in "abc")
+    kept = [(1, a, "en", "x"), (7, text("d"), "en", "x"), (None, c, "en", "x"), (None, None, "en", "x"), (None, None, "en", "y")]
+    # copies of a text with an id, an exact copy and a near copy of one without; one of these two stays
+    gone = [(None, a, "en", "x"), (None, a + " more", "en", "x"), (7, a, "en", "x")]
+    either = {(None, b, "en", "x"), (None, b + " more", "en", "x")}
+    found = []
+    for order in (1, -1):
+        docs = spark.createDataFrame((kept + gone + sorted(either) + [(None, b, "en", "x")])[::order], DOCS).repartition(2 + order)
+        found.append(rows(corpus_pipeline.ngram_join(spark, docs, "")))
+    assert found[0] == found[1] and len(either & set(found[0])) == 1
+    assert rows(spark.createDataFrame([r for r in found[0] if r not in either], DOCS)) == rows(spark.createDataFrame(kept, DOCS))
+    assert len(found[0]) == len(kept) + 1
+
+
+def test_passages_of_documents_without_an_id_go(spark):
+    a, b, c = (text(k) for k in "abc")
+    docs = spark.createDataFrame([(5, a, "en", "x"), (None, a, "en", "x"), (None, b, "en", "x"), (None, b, "en", "x"), (None, c, "en", "y"), (None, None, "en", "y"), (None, "", "en", "y")], DOCS)
+    got = rows(corpus_pipeline.substring_dedup(spark, docs, ""))
+    assert got == rows(spark.createDataFrame([(5, a, "en", "x"), (None, b, "en", "x"), (None, c, "en", "y"), (None, None, "en", "y"), (None, "", "en", "y")], DOCS))
