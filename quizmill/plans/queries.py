@@ -131,10 +131,11 @@ def pr_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.stratified_sample(q, 50, 3)
 
 
-def _payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _payload(spark: SparkSession, sf_dir: str, whole_text: bool = False) -> DataFrame:
     said = V.table(spark, sf_dir, "conversations").where("role = 'assistant'")
     thought = F.when(F.col("turn") % 4 == 1, F.lit("<think>so\nso</think>\n")).otherwise("")
-    text = F.concat(thought, F.lit("Answer: \""), F.regexp_extract("text", r"^[A-Za-z]*", 0), F.lit(".\"\nmore"))
+    given = F.col("text") if whole_text else F.regexp_extract("text", r"^[A-Za-z]*", 0)
+    text = F.concat(thought, F.lit("Answer: \""), given, F.lit(".\"\nmore"))
     choice = F.struct(F.struct(text.alias("content")).alias("message"), F.when(F.col("turn") % 3 == 0, "length").otherwise("stop").alias("finish_reason"))
     whole = F.struct(F.array(choice).alias("choices"), F.struct(F.col("turn").alias("prompt_tokens")).alias("usage"))
     return said.select("conv_id", "turn", F.to_json(whole).alias("payload"))
@@ -150,6 +151,18 @@ def an_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return an_parse(spark, sf_dir).select("conv_id", "turn", A.clean_answer(F.col("text")).alias("ai_answer"))
 
 
+@query
+def an_parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``an_parse``, with the whole texts."""
+    return _payload(spark, sf_dir, whole_text=True).select("conv_id", "turn", A.parse_completion(F.col("payload")).alias("p")).select("conv_id", "turn", "p.*")
+
+
+@query
+def an_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``an_clean``, with the whole texts."""
+    return an_parse_texts(spark, sf_dir).select("conv_id", "turn", A.clean_answer(F.col("text")).alias("ai_answer"))
+
+
 @query
 def an_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a stub that answers the question's length and fails on some questions."""
