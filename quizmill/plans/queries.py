@@ -113,6 +113,14 @@ def pr_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.select_pending(todo, V.all_answers(spark, sf_dir).where("model_slug = 'org_model-1'")).select("question_id", "prompt_variant", "model_slug")
 
 
+@query
+def pr_pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``pr_pending``, for all models that have answers."""
+    given = V.all_answers(spark, sf_dir)
+    todo = prompts.expand_variants(V.questions(spark, sf_dir).select("question_id")).crossJoin(given.select("model_slug").distinct())
+    return work.select_pending(todo, given).select("question_id", "prompt_variant", "model_slug")
+
+
 @query
 def pr_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.done_keys(V.all_answers(spark, sf_dir))
@@ -237,15 +245,25 @@ def jd_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).select(*_KEY, "match_method", "ai_correct", "ai_correct_strict", "ai_answer_norm", shown.alias("fuzzy_score"))
 
 
-@query
-def jd_arbitrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _arbitrated(spark: SparkSession, sf_dir: str, model_slug: str | None) -> DataFrame:
     def arbiter(qid: str, answer: str) -> str:
         return "yes" if qid < "4" else "no" if qid < "c" else "failed"
 
-    done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), "org_model-2", arbiter)
+    done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), model_slug, arbiter)
     return done.select(*_KEY, "match_method", "ai_correct", "ai_correct_strict", "judge_model", "judgment_version", "judged_at")
 
 
+@query
+def jd_arbitrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arbitrated(spark, sf_dir, "org_model-2")
+
+
+@query
+def jd_arbitrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``jd_arbitrate``, for the answers of all models."""
+    return _arbitrated(spark, sf_dir, None)
+
+
 @query
 def jd_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.answers(spark, sf_dir).join(V.questions(spark, sf_dir).select("question_id", "question"), "question_id")

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from quizmill.plans import driver_views as V
 from quizmill.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +34,25 @@ def test_whole_texts(spark, tmp_path, made):
     assert got == {k: cleaned(t) for k, t in said.items()}
     if made:
         assert [got[1, k] for k in range(1, 7)] == ["Élan vital", 'two words, "quoted" and more', "first line", "12 pieces..", "", "日本 🙂"]
+
+
+def test_arbitration_of_all_models(spark):
+    key = ["question_id", "model_slug", "prompt_variant"]
+    every = QUERIES["jd_arbitrate_all"](spark, SF).collect()
+    assert sorted(tuple(r[k] for k in key) for r in every) == sorted(map(tuple, V.answers(spark, SF).select(*key).collect()))
+    models = {r.model_slug for r in every}
+    assert models == {f"org_model-{k}" for k in range(4)}
+    one = QUERIES["jd_arbitrate"](spark, SF).collect()
+    assert sorted(map(repr, one)) == sorted(repr(r) for r in every if r.model_slug == "org_model-2")
+    asked = [(r.question_id, r.match_method, r.ai_correct) for r in every if r.match_method.startswith("llm_judge")]
+    assert asked and all((m, ok) == (("llm_judge", True) if q < "4" else ("llm_judge_rejected", False) if q < "c" else ("llm_judge_failed", False)) for q, m, ok in asked)
+    assert not any(r.match_method == "undecided" for r in every)
+
+
+def test_pending_of_all_models(spark):
+    given = V.all_answers(spark, SF).select("question_id", "prompt_variant", "model_slug", "status").collect()
+    done = {tuple(r)[:3] for r in given if r.status == "ok"}
+    variants = {r.prompt_variant for r in given}
+    asked = [r.question_id for r in V.questions(spark, SF).select("question_id").collect()]
+    want = sorted((q, v, m) for q in asked for v in variants for m in {r.model_slug for r in given} if (q, v, m) not in done)
+    assert sorted(map(tuple, QUERIES["pr_pending_all"](spark, SF).collect())) == want and len({m for _, _, m in want}) == 4
