@@ -1,13 +1,12 @@
 """Exact top-k search with MaxScore over integer vectors.
 
-Components become ``floor(64 * x)``. A term is a dimension with a sign; its posting list in a block
-of vectors holds the vectors whose component has that sign, with its size. A query's terms are those
-where its own component agrees in sign with the list (products there are positive; all others only
-lower a score). Terms are sorted by their bound, the query's component times the list's maximum; the
-last ones whose bounds together stay under the threshold are non-essential. Only essential lists are
-traversed, for all queries of a block together: a vector in none of them can't reach the threshold.
-The others are completed by the non-essential terms, first the greater half, then a few at a time, and
-leave as soon as what is left can't lift them to the threshold.
+Components become ``floor(64 * x)``. A term is a dimension with the sign of the query's component. The
+vectors are dense, so no posting lists are built: the lists of a block are the columns of its matrix, and
+all vectors have all terms. Terms are sorted by their bound, the query's component times the greatest
+component of its sign in the block; the last ones whose bounds together stay under the threshold are
+non-essential. The essential terms are a dense product over all vectors of the block. Then the greater
+half of the non-essential terms is added for every vector, competitive or not; only the rest is probed,
+a few terms at a time, for the pairs that can still reach the threshold.
 
 The threshold is the query's k-th score over a bounded sample of vectors, so it is reached by k
 vectors and safe in every block; within a block it rises no further. Blocks are shards: their best k
