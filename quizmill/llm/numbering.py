@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from .scratch import materialize
 
-#: Rows of a bucket and buckets of a range, on average.
-BUCKET, RANGE = 512, 4096
+#: Rows of a bucket and buckets of a range, on average; copies of one row that a task makes at once.
+BUCKET, RANGE, COPIES = 512, 4096, 4096
 
 
-def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str], n_rows: int, out: str) -> DataFrame:
+def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str], n_rows: int, out: str, bucket: int = BUCKET, in_range: int = RANGE) -> DataFrame:
     """``rows`` with the sum of ``value`` over the rows before it in its group, in an order fixed by a
     hash of ``order`` and, within a bucket of the hash, by ``order`` itself.
 
-    Sums are taken over buckets of about ``BUCKET`` rows, over ranges of buckets, and over the ranges,
-    so no task sees more than a bucket, a range's buckets or a group's ranges.
+    No two rows may agree in ``group`` and ``order`` (count equal rows first, see ``copies``): then hash
+    buckets are even. Sums are taken over buckets of about ``bucket`` rows, over ranges of buckets, and
+    over the ranges, so no task sees more than a bucket, a range's buckets or a group's ranges.
     """
-    buckets = max(1, -(-n_rows // BUCKET))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))).withColumn("_range", F.floor(F.col("_bucket") / RANGE))
+    buckets = max(1, -(-n_rows // bucket))
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))).withColumn("_range", F.floor(F.col("_bucket") / in_range))
     before = lambda keys, by: Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(*group, "_range", "_bucket").agg(F.sum(value).alias("_sum"))
     ranges = sums.groupBy(*group, "_range").agg(F.sum("_sum").alias("_sum"))
@@ -37,6 +38,16 @@ def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str],
     )
 
 
+def copies(rows: DataFrame, n: str, out: str, part: int = COPIES) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``out``. A row that stands for very many is dealt out
+    over tasks in parts of ``part`` copies."""
+    few = rows.where(F.col(n) <= part).withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.where(F.col(n) > part).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {part}")))).repartition(tasks, "_part")
+    last = F.least(F.col(n), (F.col("_part") + 1) * part) - 1
+    return few.unionByName(parts.withColumn(out, F.explode(F.sequence(F.col("_part") * part, last))).drop("_part"))
+
+
 def numbered(rows: DataFrame, first: int, out: str) -> DataFrame:
     """``rows`` with the numbers from ``first`` on, without gaps, in ``out``. The rows are written with
     their numbers, so later jobs and retries see the same ones."""

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a folder of this machine only where it is unset (tests)."""
+    """The shared folder of ``spark.checkpoint.dir``. Where it is unset, a folder of this machine is made
+    for a session whose executors run on it (tests); on a cluster the setting is required."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

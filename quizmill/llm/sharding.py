@@ -10,6 +10,9 @@ grid: each round adds a hash of one half to the other. A value of n or more is p
 (cycle walking). A walk leaves the ``a * b - n < a`` values outside after at most as many steps; from
 n = 4096 on, 64 steps fail with probability under ``2**-384``, and then the row raises an error.
 
+Equal rows are counted before they are dealt out, so no task meets all of them; a row that stands for
+very many copies is spread over tasks before it is multiplied.
+
 Nulls: a null text has size 1 and the checksum of no bytes; null ids are numbered like others. Equal
 rows get different places, either way round. An empty table gives no rows. Other columns aren't read.
 """
@@ -21,7 +24,8 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .numbering import running_sum
+from .numbering import BUCKET, RANGE, copies, running_sum
+from .scratch import materialize
 
 ROUNDS, WALK = 6, 64
 
@@ -68,12 +72,14 @@ def unpermuted(place: Column, n: int, seed: int) -> Column:
     return _walked(place, n, seed, True)
 
 
-def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, in_range: int = RANGE) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard, row_number`` for each row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit(1).alias("_one"))
-    n = docs.count()
-    rows = running_sum(rows, "_one", [], ["doc_id", "text_crc32", "size"], n, "row_number")
+    rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    kinds = materialize(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n")))
+    n_kinds, n = kinds.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    kinds = running_sum(kinds, "_n", [], ["doc_id", "text_crc32", "size"], n_kinds, "_first", bucket, in_range)
+    rows = copies(kinds, "_n", "_copy").withColumn("row_number", F.col("_first") + F.col("_copy"))
     rows = rows.withColumn("_place", permuted(F.col("row_number"), max(n, 1), seed))
     return rows.select(
         "doc_id",

@@ -78,10 +78,20 @@ def test_permutation_and_shards(spark, docs):
     assert sorted(r.shard + 4 * r.slot for r in rows) == list(range(len(ROWS)))
 
 
+@pytest.mark.parametrize("sizes", [[10, 100, 0], [0], [7], [1, 1, 1000, 3, 50], [5] * 7, [1000, 2, 3, 900, 1, 1, 40, 60]])
+def test_targets(spark, sizes):
+    from plain_versions import targets
+
+    from quizmill.llm.mixing import source_targets
+
+    sources = spark.createDataFrame([(None if i == len(sizes) - 1 else f"s{i}", n) for i, n in enumerate(sizes)][::-1], "source string, source_size long")
+    got = source_targets(sources).orderBy("number").collect()
+    assert [r.target for r in got] == pytest.approx(targets(sizes)) and [r.source_size for r in got] == sizes
+
+
 def test_mix(docs):
-    from quizmill.llm.mixing import mix, mixed_documents, targets
+    from quizmill.llm.mixing import mix, mixed_documents
 
-    assert targets([10, 100, 0], (5, 2, 1), 3) == [30.0, 80.0, 0.0]
     rows = mix(docs).collect()
     assert len(rows) == len(ROWS) and all(r.taken <= 3 * r.size for r in rows)
     words = sum(len(WORD.findall(r.text)) for r in mixed_documents(docs).collect())

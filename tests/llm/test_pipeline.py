@@ -7,8 +7,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from plain_versions import targets
+
 import corpus_pipeline
-from quizmill.llm.mixing import targets
 from quizmill.llm.queries import QUERIES
 from quizmill.llm.scratch import materialize
 
