@@ -1,92 +1,174 @@
 """Approximate nearest neighbours by collision counting.
 
 Inner products become distances on a sphere: vectors are divided by the greatest norm and get one
-more component that fills them up to length 1; queries are normalised. Each block of vectors is
-indexed by ``PROJECTIONS`` random directions: per direction one array of the vectors sorted by their
-projection. A query opens a window around its own projection in each array; a vector that lies in at
-least a threshold of the windows is verified: its exact inner product must lie inside the radius.
-
-Windows are as wide as a radius calls for (virtual rehashing: the arrays stay, only windows grow). A
-query's first radius is its distance to a neighbour in a bounded sample of vectors, taken so far that
-about ``MARGIN * k`` of all vectors should lie inside; a vector at just that distance falls into a
-window with probability ``HIT``, and the threshold lies ``DEVIATIONS`` standard deviations under the
-mean. Queries that have found fewer than k vectors go on with wider windows, at last with whole arrays.
+more component that fills them up to length 1; queries are normalised. Each shard of vectors is indexed
+by ``PROJECTIONS`` directions, the axes of random rotations: per direction one array of the vectors
+sorted by their projection, cut into ``STEPS`` steps of equal size. A query opens a window around its
+own projection in each array, and a vector that lies in at least a threshold of the windows is verified:
+its exact inner product must lie inside the radius. Axes of one rotation share out a distance between
+them, so the number of collisions tells near from far better than independent directions would.
+
+Windows are as wide as a radius calls for (virtual rehashing: the arrays stay, only windows grow, by
+whole steps). A query's first radius is its distance to a neighbour in a bounded sample of vectors, taken
+so far that about ``MARGIN * k`` of all vectors should lie inside; a vector at just that distance falls
+into a window with probability ``HIT``, and the threshold lies ``DEVIATIONS`` binomial standard
+deviations under the mean. Queries that have found fewer than k vectors go on with wider windows, at last
+with whole arrays, so each gets k neighbours if there are as many.
+
+Collisions are counted for all vectors of a shard together: a step's end is a bitmap of the vectors
+before it, a window is the difference of two bitmaps, and bitmaps are added bit by bit.
 
 Vectors that are null, zero or hold null or non-finite components, and rows without an id, take no
-part. Rows that share an id stand for one. Only vectors of the query's dimension are its candidates.
+part. Rows that share an id are vectors of their own: a query's candidates are all rows but its own. Only
+vectors of the query's dimension are its candidates. Vectors whose squares overflow raise an error.
 """
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .vector_blocks import meet, ranked, sample_of, top_pairs, usable, with_bounds
+from .vector_blocks import QUERIES, SAMPLE, SHARD, ranked, sample_of, top_pairs, usable, visit, with_bounds
 
-PROJECTIONS, MARGIN, HIT, DEVIATIONS = 96, 1.5, 0.75, 2.0
-#: Half-width of a window that a normal deviate of the radius hits with probability ``HIT``.
-_WIDTH = 1.1503493803760079
-_WIDER = (1.0, 1.5, np.inf)
+PROJECTIONS, STEPS, MARGIN, HIT, DEVIATIONS = 64, 128, 1.5, 0.86, 0.5
+_WIDER = (1.0, 1.2, 1.5, np.inf)
 
 
-def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 1) -> DataFrame:
+def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 1, shard: int = SHARD, group: int = QUERIES, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``table`` where ``queries`` holds, the ``k``
     nearest other rows found, by inner product in double precision."""
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    vectors = materialize(usable(table, id_col, vector_col).withColumn("norm", length).where("norm > 0"))
+    vectors = materialize(usable(table, queries, id_col, vector_col).withColumn("norm", length).where("norm > 0"))
     n, longest = vectors.agg(F.count("*"), F.max("norm")).first()
-    vectors = vectors.select("id", "vector")
-    asked = vectors.join(table.where(queries).select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     longest = longest or 1.0
-    asked = materialize(with_bounds(asked, _radii(n, longest, k), sample_of(vectors)))
+    if not np.isfinite(longest):
+        raise ValueError("the square of a vector's length is more than a double holds")
+    asked = materialize(with_bounds(vectors.where("asked"), _radii(n, longest, k), sample_of(vectors.select("row", "id", "vector"), sample)))
+    same = vectors.groupBy(F.size("vector").alias("dim")).agg((F.count("*") - 1).alias("others"))
     results = None
     for wider in _WIDER:
         n_asked = asked.count()
         if not n_asked and results is not None:
             break
-        found = meet(vectors, asked, n, n_asked, _search(longest, k, wider, seed), "query_id long, vec_id long, score double")
+        found = visit(vectors, asked, n, n_asked, _index(longest, k, wider, seed), "double", shard, group)
         found = materialize(ranked(found, k))
-        full = found.groupBy("query_id").count().where(F.col("count") >= min(k, n - 1)).select("query_id")
-        done = found.join(full, "query_id", "left_semi") if np.isfinite(wider) else found
-        results = done if results is None else results.unionByName(done)
-        asked = materialize(asked.join(full, asked["id"] == full["query_id"], "left_anti"))
-    return results
-
-
-def _search(longest: float, k: int, wider: float, seed: int):
-    def found(query_ids: np.ndarray, q: np.ndarray, radius: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple:
-        norm = np.linalg.norm(q, axis=1)
-        unit = q / norm[:, None]
-        radius = np.where(radius > 0, wider * radius, np.inf if wider == np.inf else 0.0)
+        if np.isfinite(wider):
+            have = asked.select("row", F.size("vector").alias("dim")).join(F.broadcast(same), "dim").join(found.groupBy(F.col("query").alias("row")).count(), "row")
+            full = materialize(have.where(F.col("count") >= F.least(F.lit(k), "others")).select(F.col("row").alias("query")))
+            asked = materialize(asked.join(full, asked["row"] == full["query"], "left_anti"))
+            found = found.join(full, "query", "left_semi")
+        results = found if results is None else results.unionByName(found)
+    return results.drop("query")
+
+
+def _index(longest: float, k: int, wider: float, seed: int):
+    return lambda rows, ids, x: CollisionIndex(rows, ids, x, longest, k, wider, seed)
+
+
+def directions(dim: int, seed: int) -> np.ndarray:
+    """``PROJECTIONS`` directions as columns: axes of random rotations, as long as ``dim`` normal
+    deviates on average."""
+    draw, axes = np.random.default_rng([seed, dim]), []
+    while sum(a.shape[1] for a in axes) < PROJECTIONS:
+        axes.append(np.linalg.qr(draw.standard_normal((dim, dim)))[0] * np.sqrt(dim))
+    return np.concatenate(axes, axis=1)[:, :PROJECTIONS]
+
+
+class CollisionIndex:
+    """The sorted arrays of a shard, and the search in them."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, longest: float, k: int, wider: float = 1.0, seed: int = 1) -> None:
+        self.rows, self.ids, self.x, self.longest, self.k, self.wider = rows, ids, x, longest, k, wider
         scaled = x / longest
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
-        direction = np.random.default_rng([seed, x.shape[1]]).standard_normal((PROJECTIONS, x.shape[1] + 1))
-        own = unit @ direction[:, :-1].T
-        projected = scaled @ direction[:, :-1].T + fill[:, None] * direction[:, -1]
-        collisions = np.zeros((len(q), len(x)), np.uint8)
-        rank = np.empty(len(x), np.uint32)
+        self.axes = directions(x.shape[1] + 1, seed)
+        projected = scaled @ self.axes[:-1] + fill[:, None] * self.axes[-1]
+        n = len(x)
+        ends = np.arange(STEPS + 1) * n // STEPS
+        words = -(-n // 64)
+        #: Per direction: last value before each end, first value from each end on, vectors before each end.
+        self.last, self.first = np.empty((PROJECTIONS, STEPS)), np.empty((PROJECTIONS, STEPS))
+        self.before = np.zeros((PROJECTIONS, STEPS + 1, words), np.uint64)
         for j in range(PROJECTIONS):
             order = np.argsort(projected[:, j], kind="stable")
             line = projected[order, j]
-            rank[order] = np.arange(len(x))
-            lo = np.searchsorted(line, own[:, j] - _WIDTH * radius, "left").astype(np.uint32)
-            width = np.searchsorted(line, own[:, j] + _WIDTH * radius, "right").astype(np.uint32) - lo
-            # a place is inside the window if it is less than its width past its begin (wrapping below it)
-            small = np.uint16 if len(x) < 1 << 15 else np.uint32
-            collisions += (rank.astype(small)[None, :] - lo.astype(small)[:, None]) < width.astype(small)[:, None]
+            self.last[j] = np.where(ends[1:] > 0, line[np.maximum(ends[1:], 1) - 1], -np.inf)
+            self.first[j] = np.where(ends[:-1] < n, line[np.minimum(ends[:-1], n - 1)], np.inf)
+            rank = np.empty(n, np.int64)
+            rank[order] = np.arange(n)
+            bits = np.zeros((STEPS + 1, words * 64), bool)
+            bits[:, :n] = rank[None, :] < ends[:, None]
+            self.before[j] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+    def collided(self, q: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the queries and vectors that collide often enough."""
+        own = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ self.axes[:-1]
+        width = NormalDist().inv_cdf((1 + HIT) / 2) * radius
+
+        def windows():
+            for j in range(PROJECTIONS):
+                lo = np.searchsorted(self.last[j], own[:, j] - width, "left")
+                hi = np.searchsorted(self.first[j], own[:, j] + width, "right")
+                yield self.before[j, hi] & ~self.before[j, lo]
+
         enough = int(PROJECTIONS * HIT - DEVIATIONS * np.sqrt(PROJECTIONS * HIT * (1 - HIT)))
-        i, j = np.nonzero(collisions >= enough)
-        other = query_ids[i] != ids[j]
+        often = at_least(sums(windows()), enough)
+        return np.nonzero(np.unpackbits(often.view(np.uint8), axis=1, bitorder="little")[:, : len(self.x)])
+
+    def find(self, rows: np.ndarray, q: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        radius = np.where(radius > 0, self.wider * radius, np.inf if self.wider == np.inf else 0.0)
+        i, j = self.collided(q, radius)
+        other = rows[i] != self.rows[j]
         i, j = i[other], j[other]
-        score = inner_products(q, x, i, j)
-        near = score >= ((1 - radius * radius / 2) * norm * longest)[i] - 1e-9
+        score = inner_products(q, self.x, i, j)
+        near = score >= ((1 - radius * radius / 2) * np.linalg.norm(q, axis=1) * self.longest)[i] - 1e-9
         i, j, score = i[near], j[near], score[near]
-        best = top_pairs(i, ids[j], score, k)
-        return query_ids[i[best]], ids[j[best]], score[best]
-
-    return found
+        best = top_pairs(i, self.ids[j], score, self.k)
+        return i[best], self.ids[j[best]], score[best]
+
+
+def sums(bitmaps) -> list[np.ndarray]:
+    """How many of the bitmaps have each bit set: the binary digits of the sums, lowest first."""
+    digits: list[list[np.ndarray]] = [[]]
+
+    def put(at: int, x: np.ndarray) -> None:
+        if at == len(digits):
+            digits.append([])
+        digits[at].append(x)
+        if len(digits[at]) == 3:
+            a, b, c = digits[at]
+            ab = a ^ b
+            digits[at] = [ab ^ c]
+            put(at + 1, (a & b) | (ab & c))
+
+    for x in bitmaps:
+        put(0, x)
+    at = 0
+    while at < len(digits):
+        if len(digits[at]) == 2:
+            a, b = digits[at]
+            digits[at] = [a ^ b]
+            put(at + 1, a & b)
+        at += 1
+    return [d[0] for d in digits]
+
+
+def at_least(digits: list[np.ndarray], least: int) -> np.ndarray:
+    """Bitmap of the places whose sum is ``least`` or more."""
+    if least >> len(digits):
+        return np.zeros_like(digits[0])
+    more, equal = np.zeros_like(digits[0]), np.full_like(digits[0], 2**64 - 1)
+    for at in reversed(range(len(digits))):
+        if least >> at & 1:
+            equal = equal & digits[at]
+        else:
+            more |= equal & digits[at]
+            equal = equal & ~digits[at]
+    return more | equal
 
 
 def inner_products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
