@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import normalize
 
-# Words that are read as a verdict, and forms of a reference to an option.
+# Fixed values, down to FINISH_REASONS: words that are read as a verdict, forms of a reference to an
+# option and of a reply, the mark at the end of reasoning, and names of finish reasons.
 TRUE_WORDS = ["true", "yes", "y", "t", "1", "vrai", "oui"]
 FALSE_WORDS = ["false", "no", "n", "f", "0", "faux", "non"]
 REFERENCE_PREFIX = r"(?:(?:the\s+)?(?:answer|option|choice|number|réponse)\s*(?:is\s*)?[:.\-]?\s*)?"
@@ -23,13 +27,18 @@ _COMPLETION = (
 )
 
 
+#: All decimal digits of Unicode and the ASCII digits they stand for.
+_DIGITS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+_AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
 def _strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def parse_completion(payload: Column) -> Column:
-    """``text, prompt_tokens, completion_tokens, finish_reason`` of a completion as JSON text; one
-    without choices raises an error."""
+    """``text, prompt_tokens, completion_tokens, finish_reason`` of a completion as JSON text; null for
+    one without choices, see ``completion_error``."""
     p = F.from_json(payload, _COMPLETION)
     first = F.try_element_at(p["choices"], F.lit(1))
     finish = F.coalesce(first["finish_reason"], F.lit(""))
@@ -42,7 +51,13 @@ def parse_completion(payload: Column) -> Column:
         p["usage"]["completion_tokens"].cast("long").alias("completion_tokens"),
         named.alias("finish_reason"),
     )
-    return F.when(F.coalesce(F.size(p["choices"]), F.lit(0)) > 0, found).otherwise(F.raise_error(F.lit("a completion without choices")).cast("struct<text: string, prompt_tokens: bigint, completion_tokens: bigint, finish_reason: string>"))
+    return F.when(F.coalesce(F.size(p["choices"]), F.lit(0)) > 0, found)
+
+
+def completion_error(payload: Column) -> Column:
+    """Why ``parse_completion`` gives nothing, with the begin of the payload; null where it does."""
+    choices = F.from_json(payload, _COMPLETION)["choices"]
+    return F.when(F.coalesce(F.size(choices), F.lit(0)) <= 0, F.concat(F.lit("a completion without choices: "), F.substring(F.coalesce(payload, F.lit("")), 1, 200)))
 
 
 def strip_reasoning(text: Column) -> Column:
@@ -73,9 +88,9 @@ def resolve_choice_reference(answer: Column, choices: Column, ranks: Column | No
     """The option that the answer names by letter or rank; else null. Where ``ranks`` is false, only letters count."""
     given = _strip(answer)
     letter = F.regexp_extract(given, rf"(?iuU)^{REFERENCE_PREFIX}\(?([a-z])\)?[.):]?\z", 1)
-    rank = F.regexp_extract(given, rf"(?iuU)^{REFERENCE_PREFIX}\(?([0-9]{{1,2}})\)?[.):]?\z", 1)
+    rank = F.regexp_extract(given, rf"(?iuU)^{REFERENCE_PREFIX}\(?(\d{{1,2}})\)?[.):]?\z", 1)
     by_letter = F.get(choices, F.ascii(F.lower(letter)) - 97)
-    by_rank = F.get(choices, F.try_to_number(rank, F.lit("99")).cast("int") - 1)
+    by_rank = F.get(choices, F.try_to_number(F.translate(rank, _DIGITS, _AS_ASCII), F.lit("99")).cast("int") - 1)
     if ranks is not None:
         by_rank = F.when(ranks, by_rank)
     return F.when(F.length(given) > LONGEST_REFERENCE, None).when(letter != "", by_letter).when(rank != "", by_rank)
@@ -94,4 +109,5 @@ def matches_single_choice(answer_norm: Column, choices: Column, choices_norm: Co
 
 
 def is_numeric_answer(text: Column) -> Column:
-    return F.trim(text).rlike(r"^(?=.*\d)[\d\s.,%/+-]+$")
+    """Whether there is a digit, of any script, and nothing but digits, blanks and ``. , % / + -``."""
+    return F.trim(text).rlike(r"(?U)^(?=.*\d)[\d\s.,%/+-]+$")

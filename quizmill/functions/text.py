@@ -6,6 +6,7 @@ HTML entities, and the token-set ratio. All else is built from Spark's functions
 
 from __future__ import annotations
 
+import ast
 import html
 import unicodedata
 
@@ -48,9 +49,19 @@ def _without_article(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _ARTICLE, ""))
 
 
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def folded(text: Column) -> Column:
+    """``fold_text``; only texts with other than ASCII characters go to the helper."""
+    plain = _ascii(text)
+    return F.when(plain, F.lower(text)).otherwise(fold_text(F.when(~plain, text)))
+
+
 def normalize_answer(text: Column) -> Column:
     """A reference answer made comparable. Articles stay: see ``normalize``."""
-    return F.coalesce(_bare(fold_text(text)), F.lit(""))
+    return F.coalesce(_bare(folded(text)), F.lit(""))
 
 
 def normalize(text: Column) -> Column:
@@ -60,7 +71,9 @@ def normalize(text: Column) -> Column:
 
 def normalize_all(texts: Column) -> Column:
     """``normalize`` for each string of an array."""
-    return F.transform(fold_texts(texts), lambda x: F.coalesce(_without_article(_bare(x)), F.lit("")))
+    plain = F.forall(texts, lambda x: F.coalesce(_ascii(x), F.lit(True)))
+    low = F.when(plain, F.transform(texts, F.lower)).otherwise(fold_texts(F.when(~plain, texts)))
+    return F.transform(low, lambda x: F.coalesce(_without_article(_bare(x)), F.lit("")))
 
 
 def _unescaped(text: str | None) -> str | None:
@@ -89,13 +102,32 @@ def _collapsed(text: Column) -> Column:
 
 
 def unescape_text(text: Column) -> Column:
-    """Entities decoded, blanks collapsed and trimmed; null is empty."""
-    return F.coalesce(_collapsed(html_unescape(text)), F.lit(""))
+    """Entities decoded, blanks collapsed and trimmed; null is empty. Only texts with ``&`` go to the helper."""
+    coded = text.contains("&")
+    return F.coalesce(_collapsed(F.when(coded, html_unescape(F.when(coded, text))).otherwise(text)), F.lit(""))
 
 
 def unescape_all(texts: Column) -> Column:
     """``unescape_text`` for each string of an array."""
-    return F.transform(html_unescape_all(texts), lambda x: F.coalesce(_collapsed(x), F.lit("")))
+    coded = F.exists(texts, lambda x: F.coalesce(x.contains("&"), F.lit(False)))
+    decoded = F.when(coded, html_unescape_all(F.when(coded, texts))).otherwise(texts)
+    return F.transform(decoded, lambda x: F.coalesce(_collapsed(x), F.lit("")))
+
+
+def _literal(text: str | None) -> list[str | None] | None:
+    if text is None:
+        return None
+    try:
+        found = ast.literal_eval(text.strip())
+    except (ValueError, SyntaxError, MemoryError, RecursionError):
+        return None
+    return [None if x is None else str(x) for x in found] if isinstance(found, list) else None
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def literal_list(texts: pd.Series) -> pd.Series:
+    """Lists as Python writes them; null for what is none."""
+    return texts.map(_literal)
 
 
 def _common(a: str, b: str) -> int:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import casefold_text
@@ -46,7 +46,8 @@ def bronze_rows(decoded: DataFrame, fetched_at: Column) -> DataFrame:
 
 
 def dedupe_questions(df: DataFrame, order_by: tuple[str, ...] = ("fetched_at", "batch_id", "pos")) -> DataFrame:
-    """The first row of each id. An aggregate, combined before the shuffle: no window sorts wide rows."""
+    """The first row of each id. An aggregate that drops later rows before the shuffle; as its state holds
+    texts, Spark sorts rows by id on both sides of it."""
     rest = [c for c in df.columns if c != "question_id"]
     first = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("r")
     return df.groupBy("question_id").agg(first).select("question_id", "r.*").select(*df.columns)

@@ -12,11 +12,12 @@ from ..functions.answers import boolean_of, matches_single_choice, resolve_guard
 from ..functions.text import fuzzy_score, normalize
 from ..schemas import JUDGMENTS, TRIPLE, conform
 
-# Methods that the strict verdict counts, the threshold, and the arbiter's words.
+# Methods that the strict verdict counts, the threshold, and what the arbiter is told and says.
 STRICT = ["boolean", "exact", "choice_letter", "choice_match"]
 THRESHOLD = 90.0
 ARBITER_METHODS = {"yes": "llm_judge", "no": "llm_judge_rejected", "failed": "llm_judge_failed"}
 ARBITER_SYSTEM = "You decide whether a candidate answer means the same as the reference answer for a trivia question. Reply with exactly one word: YES or NO."
+ARBITER_QUESTION = ("Question: ", "\nReference answer: ", "\nCandidate answer: ", "\nDoes the candidate answer mean the same as the reference answer? YES or NO.")
 _QUESTION = ["question_id", "type", "correct_answer_norm", "choices", "choices_norm", "answer_is_numeric"]
 
 
@@ -83,7 +84,8 @@ def strict(method: Column, correct: Column) -> Column:
 
 
 def judge_prompt(question: Column, expected: Column, given: Column) -> Column:
-    return F.concat(F.lit("Question: "), question, F.lit("\nReference answer: "), expected, F.lit("\nCandidate answer: "), given, F.lit("\nDoes the candidate answer mean the same as the reference answer? YES or NO."))
+    first, second, third, last = map(F.lit, ARBITER_QUESTION)
+    return F.concat(first, question, second, expected, third, given, last)
 
 
 def parse_verdict(text: Column, status: Column, finish_reason: Column) -> Column:

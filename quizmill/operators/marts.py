@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .facts import stg_questions
 from .prompts import VARIANTS, mode
 
 
@@ -21,6 +22,8 @@ def _accuracies() -> list[Column]:
 
 
 def _quantile(x: Column, p: float, approx: bool) -> Column:
+    # times have 4 decimals, so an exact percentile keeps one count a distinct time, however many rows
+    x = F.round(x, 4)
     return F.percentile_approx(x, p, 10_000).cast("double") if approx else F.percentile(x, F.lit(p))
 
 
@@ -87,11 +90,13 @@ def mart_latency(results: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def mart_question_hardness(results: DataFrame) -> DataFrame:
-    """Grouped by the id alone, which determines the other attributes."""
+def mart_question_hardness(results: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+    """Grouped by the id alone, which determines the other attributes: they are joined back from
+    ``questions`` where given, and are those of any row of the group else."""
     right = F.count_if("ai_correct")
-    return _scorable(results).groupBy("question_id").agg(
-        *[F.first(c).alias(c) for c in ("question", "category", "difficulty", "question_type", "correct_answer")],
+    attributes = ["question", "category", "difficulty", "question_type", "correct_answer"]
+    counts = _scorable(results).groupBy("question_id").agg(
+        *([F.first(c).alias(c) for c in attributes] if questions is None else []),
         F.count("*").alias("n_attempts"),
         F.count("ai_correct").alias("n_judged"),
         right.alias("n_correct"),
@@ -99,6 +104,7 @@ def mart_question_hardness(results: DataFrame) -> DataFrame:
         _rate("ai_correct").alias("success_rate"),
         (right == 0).alias("failed_by_everyone"),
     )
+    return counts if questions is None else counts.join(stg_questions(questions).select("question_id", *attributes), "question_id")
 
 
 def mart_matching_impact(results: DataFrame) -> DataFrame:

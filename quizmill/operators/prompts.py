@@ -22,6 +22,10 @@ SYSTEM_PROMPTS = {
         "For a true/false statement, reply True or False."
     ),
 }
+# The lines of the user prompts; the fingerprints depend on them.
+QUESTION_LINE, CATEGORY_LINE, DIFFICULTY_LINE, OPTIONS_LINE, ANSWER_LINE = "Question: ", "Category: ", "\nDifficulty: ", "Options:\n", "\nAnswer:"
+LETTER_WANTED, EITHER_WANTED = "\nReply with the letter of the correct option.", "\nAnswer True or False."
+WORD_WANTED, EXACT_WANTED = "Reply with exactly one word: True or False.", "Reply with the exact answer only, no sentence, no explanation."
 VARIANTS = tuple(SYSTEM_PROMPTS)
 
 
@@ -38,12 +42,11 @@ def lettered_options(choices: Column) -> Column:
 def render_prompt(variant: Column, question: Column, category: Column, difficulty: Column, kind: Column, choices: Column) -> Column:
     """The user prompt of a variant; another name raises an error."""
     lit, boolean = F.lit, kind == "boolean"
-    asked = F.concat(lit("Question: "), question)
-    about = F.concat(lit("Category: "), category, lit("\nDifficulty: "), difficulty, lit("\n"), asked, lit("\n"))
-    constrained = F.concat(about, lit("Options:\n"), lettered_options(choices), lit("\nReply with the letter of the correct option.\nAnswer:"))
-    minimal = F.concat(asked, F.when(boolean, "\nAnswer True or False.").otherwise(""), lit("\nAnswer:"))
-    told = F.when(boolean, "Reply with exactly one word: True or False.").otherwise("Reply with the exact answer only, no sentence, no explanation.")
-    guided = F.concat(about, told, lit("\nAnswer:"))
+    asked = F.concat(lit(QUESTION_LINE), question)
+    about = F.concat(lit(CATEGORY_LINE), category, lit(DIFFICULTY_LINE), difficulty, lit("\n"), asked, lit("\n"))
+    constrained = F.concat(about, lit(OPTIONS_LINE), lettered_options(choices), lit(LETTER_WANTED + ANSWER_LINE))
+    minimal = F.concat(asked, F.when(boolean, EITHER_WANTED).otherwise(""), lit(ANSWER_LINE))
+    guided = F.concat(about, F.when(boolean, WORD_WANTED).otherwise(EXACT_WANTED), lit(ANSWER_LINE))
     return F.when(variant == VARIANTS[0], constrained).when(variant == VARIANTS[1], minimal).when(variant == VARIANTS[2], guided).otherwise(F.raise_error(F.concat(lit("no variant "), variant)).cast("string"))
 
 

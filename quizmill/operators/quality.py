@@ -37,6 +37,16 @@ def in_range(df: DataFrame, table: str, columns: list[str], low: float = 0.0, hi
     return counts.unpivot([], columns, "column", "n_bad").select(F.lit("accepted_range").alias("check"), F.lit(table).alias("table"), "column", "n_bad")
 
 
+def in_one_pass(df: DataFrame, table: str, not_null: list[str] | None = None, accepted: dict[str, list] | None = None, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """The checks of rows by themselves, all by one aggregate over the table."""
+    bad = {("not_null", c): F.col(c).isNull() for c in not_null or []}
+    bad |= {("accepted_values", c): ~F.col(c).isin(values) for c, values in (accepted or {}).items()}
+    bad |= {("accepted_range", c): (F.col(c) < low) | (F.col(c) > high) for c, (low, high) in (ranges or {}).items()}
+    counts = df.agg(*[F.count_if(b).alias(f"n{i}") for i, b in enumerate(bad.values())])
+    rows = [F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n_bad")) for i, (check, c) in enumerate(bad)]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def permissive_at_least_strict(df: DataFrame, table: str) -> DataFrame:
     return _counted(df, "permissive_at_least_strict", table, "accuracy_permissive", F.col("accuracy_permissive") < F.col("accuracy_strict"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.answers import is_numeric_answer
-from ..functions.text import normalize_all, normalize_answer, unescape_all, unescape_text
+from ..functions.text import literal_list, normalize_all, normalize_answer, unescape_all, unescape_text
 from ..schemas import QUESTIONS, conform
 from .bronze import SEPARATOR, dedupe_questions
 
@@ -27,11 +27,19 @@ def split_category(category: Column) -> Column:
 
 
 def parse_incorrect(text: Column) -> Column:
-    """Wrong options from JSON text or a list in single quotes; a bare value is one option. Entities are
-    decoded option by option, after parsing: a ``&quot;`` must not end a JSON string."""
-    bare = F.trim(text)
+    """Wrong options from JSON text (a list or one string) or a list as Python writes it; a bare value is
+    one option. Entities are decoded option by option, after parsing: a ``&quot;`` must not end a JSON
+    string. Only lists that aren't JSON go to a helper."""
+    bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
     listed = F.from_json(bare, "array<string>")
-    options = F.when(F.coalesce(bare, F.lit("")) == "", F.array().cast("array<string>")).when(bare.startswith("["), F.coalesce(listed, F.array(text))).otherwise(F.array(text))
+    quoted = F.get(F.from_json(F.concat(F.lit("["), bare, F.lit("]")), "array<string>"), F.lit(0))
+    odd = bare.startswith("[") & (listed.isNull() | bare.contains("\\x"))
+    options = (
+        F.when(F.coalesce(bare, F.lit("")) == "", F.array().cast("array<string>"))
+        .when(bare.startswith("["), F.coalesce(literal_list(F.when(odd, bare)), listed, F.array(text)))
+        .when(bare.startswith('"'), F.array(F.coalesce(quoted, text)))
+        .otherwise(F.array(text))
+    )
     return unescape_all(options)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -48,26 +49,45 @@ def stratified_sample(df: DataFrame, k: int, seed: int = 0, strata: tuple[str, .
     return df.join(chosen.select("question_id"), "question_id", "left_semi")
 
 
-def complete(prompts: DataFrame, backend_factory: Callable, max_attempts: int = 3) -> DataFrame:
-    """``prompts`` with ``raw_answer, status, error, attempt``: each ``prompt_text`` is given to a
-    backend, one made per partition, up to ``max_attempts`` times; what fails stays as an error."""
+def backoff(attempt: int) -> float:
+    """Seconds between an attempt that failed and the next."""
+    return min(2.0**attempt, 10.0)
+
+
+def complete(prompts: DataFrame, backend_factory: Callable, max_attempts: int = 3, wait: Callable[[int], float] = backoff) -> DataFrame:
+    """``prompts`` with ``raw_answer, response_time, prompt_tokens, completion_tokens, finish_reason, status,
+    error, attempt``: each ``prompt_text`` is given to a backend, one made per partition, up to
+    ``max_attempts`` times; what fails stays as an error.
+
+    A backend gives a text, or a mapping with ``text`` and, if it knows them, ``prompt_tokens``,
+    ``completion_tokens`` and ``finish_reason``. ``response_time`` is that of the last attempt, in seconds."""
+    names = ("raw_answer", "response_time", "prompt_tokens", "completion_tokens", "finish_reason", "status", "error", "attempt")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = backend_factory()
         for batch in batches:
             rows = []
             for text in batch["prompt_text"]:
-                row = (None, "error", "not asked", 0)
+                row = (None, None, None, None, None, "error", "not asked", 0)
                 for attempt in range(1, max_attempts + 1):
+                    began = time.perf_counter()
                     try:
-                        row = (backend(text), "ok", None, attempt)
+                        said = backend(text)
+                        took = round(time.perf_counter() - began, 4)
+                        if not isinstance(said, Mapping):
+                            said = {"text": said}
+                        row = (str(said.get("text") or ""), took, said.get("prompt_tokens"), said.get("completion_tokens"), str(said.get("finish_reason") or ""), "ok", None, attempt)
                         break
                     except Exception as e:  # noqa: BLE001  any failure of a user's backend is data here
-                        row = (None, "error", str(e) or type(e).__name__, attempt)
+                        row = (None, round(time.perf_counter() - began, 4), None, None, None, "error", str(e) or type(e).__name__, attempt)
+                        if attempt < max_attempts:
+                            time.sleep(wait(attempt))
                 rows.append(row)
-            yield batch.assign(**{c: [r[i] for r in rows] for i, c in enumerate(("raw_answer", "status", "error", "attempt"))})
+            more = {c: [r[i] for r in rows] for i, c in enumerate(names)}
+            yield batch.assign(**(more | {c: pd.array(more[c], "Int64") for c in ("prompt_tokens", "completion_tokens")}))
 
-    return prompts.mapInPandas(run, f"{', '.join(f'`{n}` {t}' for n, t in prompts.dtypes)}, raw_answer string, status string, error string, attempt long")
+    kept = "".join(f"`{n}` {t}, " for n, t in prompts.dtypes)
+    return prompts.mapInPandas(run, f"{kept}raw_answer string, response_time double, prompt_tokens long, completion_tokens long, finish_reason string, status string, error string, attempt long")
 
 
 def flag_warmup(df: DataFrame, order_by: tuple[str, ...] = ("answered_at", *TRIPLE)) -> DataFrame:
@@ -79,7 +99,8 @@ def flag_warmup(df: DataFrame, order_by: tuple[str, ...] = ("answered_at", *TRIP
 
 
 def latest_answers(answers: DataFrame, order_by: tuple[str, ...] = ("answered_at", "run_id")) -> DataFrame:
-    """One row a triple: an answer that is ok before one that failed, then the latest."""
+    """One row a triple: an answer that is ok before one that failed, then the latest. Rows that lose
+    are dropped before the shuffle; as the state holds texts, Spark sorts rows by triple around it."""
     rest = [c for c in answers.columns if c not in TRIPLE]
     best = F.max_by(F.struct(*rest), F.struct((F.col("status") == "ok").alias("ok"), *order_by)).alias("_r")
     return answers.groupBy(*TRIPLE).agg(best).select(*TRIPLE, "_r.*").select(*answers.columns)

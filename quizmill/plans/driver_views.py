@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.questions import clean_questions
 from ..operators.work import latest_answers
 from ..schemas import ANSWERS, TRIPLE, conform
+from .store import stored
 
 RAW_QUESTIONS = """
     substring(sha2(concat('q', p_partkey), 256), 1, 16) as question_id,
@@ -54,12 +55,22 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumns({"incorrect_answers": F.to_json("incorrect_answers"), "fetched_at": F.lit("2026-01-01"), "batch_id": F.lit("b0")})
 
 
-def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver questions (with ``choices_norm``); ids are unique by construction."""
     return clean_questions(bronze(spark, sf_dir), F.lit("2026-01-02"), unique=False)
 
 
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that ``cleaned`` gives."""
+    return stored(spark, sf_dir, "questions", lambda: cleaned(spark, sf_dir))
+
+
 def all_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that ``given_answers`` gives."""
+    return stored(spark, sf_dir, "answers", lambda: given_answers(spark, sf_dir))
+
+
+def given_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An answer for each line item, repeats of a triple included, in the order given by ``seq``."""
     q = questions(spark, sf_dir).select("question_id", "choices", "correct_answer", "correct_answer_position", "incorrect_answers")
     item = table(spark, sf_dir, "lineitem").selectExpr(
@@ -101,8 +112,8 @@ def all_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answer a triple."""
-    return latest_answers(all_answers(spark, sf_dir), ("answered_at", "seq"))
+    """The table of one answer a triple."""
+    return stored(spark, sf_dir, "latest_answers", lambda: latest_answers(all_answers(spark, sf_dir), ("answered_at", "seq")))
 
 
 #: Judgments in closed form by kind of answer, without the ids that begin with 0.

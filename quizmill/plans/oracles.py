@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ..operators.prompts import SYSTEM_PROMPTS
+
+_SYSTEM = {v: "'" + text.replace("'", "''") + "'" for v, text in SYSTEM_PROMPTS.items()}
 _RAW = """
 raw as (
   select p_partkey,
@@ -140,7 +143,21 @@ _PROMPT = f"""select model_slug, prompt_variant, {_MODE} as mode, count(*) as n_
   round(avg(length(ai_answer)), 6) as answer_len_avg, round(avg(completion_tokens), 6) as completion_tokens_avg, round(median(response_time) filter (where not is_warmup), 6) as response_time_median from s group by 1, 2, 3"""
 _ASKED = "'Question: ' || question"
 _ABOUT = "'Category: ' || category || chr(10) || 'Difficulty: ' || difficulty || chr(10) || 'Question: ' || question || chr(10)"
-_SAID = """said as (select conv_id, turn, case when turn % 4 = 1 then '<think>so' || chr(10) || 'so</think>' || chr(10) else '' end || 'Answer: "' || regexp_extract(text, '^[A-Za-z]*') || '."' || chr(10) || 'more' as text from conversations where role = 'assistant')"""
+_SAID = """said as (select conv_id, turn, case when turn % 4 = 1 then '<think>so' || chr(10) || 'so</think>' || chr(10) else '' end || 'Answer: "' || text || '."' || chr(10) || 'more' as text from conversations where role = 'assistant')"""
+
+_EDGE = "[\"'`«»\\s]+"
+#: The bare answer, step by step: what follows the thinking, its first line, without prefix, quotes and one last dot.
+_CLEAN = f"""select conv_id, turn, trim(case when ends_with(d, '.') and not ends_with(d, '..') then d[:-2] else d end, ' ' || chr(9) || chr(10) || chr(13)) as ai_answer
+  from (select *, regexp_replace(regexp_replace(regexp_replace(trim(string_split(trim(regexp_replace(coalesce(text, ''), '<think>.*?</think>', '', 'gis'), ' ' || chr(9) || chr(10) || chr(13)), chr(10))[1], ' ' || chr(9) || chr(13)),
+    '^(answer|réponse)\\s*[:\\-]\\s*', '', 'i'), '^{_EDGE.replace("'", "''")}', ''), '{_EDGE.replace("'", "''")}$', '') as d from said)"""
+_PROBE_ABOUT = "'Category: <category>' || chr(10) || 'Difficulty: <difficulty>' || chr(10) || 'Question: <probe>' || chr(10)"
+_HASHES = f"""probes as (
+  select 'p1_constrained_mcq' as prompt_variant, {_SYSTEM['p1_constrained_mcq']} as system,
+    {_PROBE_ABOUT} || 'Options:' || chr(10) || 'A. <a>' || chr(10) || 'B. <b>' || chr(10) || 'Reply with the letter of the correct option.' || chr(10) || 'Answer:' as multiple,
+    {_PROBE_ABOUT} || 'Options:' || chr(10) || 'A. True' || chr(10) || 'B. False' || chr(10) || 'Reply with the letter of the correct option.' || chr(10) || 'Answer:' as boolean
+  union all select 'p2_open_minimal', {_SYSTEM['p2_open_minimal']}, 'Question: <probe>' || chr(10) || 'Answer:', 'Question: <probe>' || chr(10) || 'Answer True or False.' || chr(10) || 'Answer:'
+  union all select 'p3_open_guided', {_SYSTEM['p3_open_guided']}, {_PROBE_ABOUT} || 'Reply with the exact answer only, no sentence, no explanation.' || chr(10) || 'Answer:', {_PROBE_ABOUT} || 'Reply with exactly one word: True or False.' || chr(10) || 'Answer:')"""
+_SAID_QUESTION = "'He said: \"' || question || '\",' || chr(10) || 'and went'"
 
 ORACLES: dict[str, str] = {
     "br_explode_decode": _with(_RESPONSES, "select batch_id, pos, type, difficulty, category, question, correct_answer, array_to_string(incorrect_answers, '|') as incorrect_answers from ok"),
@@ -163,9 +180,12 @@ ORACLES: dict[str, str] = {
     "pr_done": _with(_ALL, "select distinct question_id, model_slug, prompt_variant from aa where status = 'ok'"),
     "pr_shard": _with(_Q, "select question_id, cast(shard as int) as shard, shard = 2 as is_shard_2 from (select question_id, list_reduce(list_prepend(0::bigint, list_transform(range(0, 16), lambda i: cast('0x' || substr(sha256(question_id), cast(i * 4 + 1 as bigint), 4) as bigint))), lambda s, d: (s * 65536 + d) % 7) as shard from qq)"),
     "pr_sample": _with(_Q, "select question_id, category, difficulty, type from (select *, row_number() over (partition by category, difficulty, type order by sha256(question_id || '␟3'), question_id) as turn from qq) order by turn, category, difficulty, type limit 50"),
-    "an_parse": _with(_SAID, "select conv_id, turn, text, turn as prompt_tokens, null::bigint as completion_tokens, case when turn % 3 = 0 then 'maxPredictedTokensReached' else 'eosFound' end as finish_reason from said"),
-    "an_clean": "select conv_id, turn, regexp_extract(text, '^[A-Za-z]*') as ai_answer from conversations where role = 'assistant'",
-    "an_complete": _with(_RAW, "select question_id, case when not ends_with(question, '7?') then cast(length(question) as varchar) end as raw_answer, case when ends_with(question, '7?') then 'error' else 'ok' end as status, case when ends_with(question, '7?') then 'refused' end as error, case when ends_with(question, '7?') then 3 else 1 end as attempt from raw"),
+    "an_parse": _with(_SAID, "select conv_id, turn, coalesce(text, '') as text, turn as prompt_tokens, null::bigint as completion_tokens, case when turn % 3 = 0 then 'maxPredictedTokensReached' else 'eosFound' end as finish_reason from said"),
+    "an_clean": _with(_SAID, _CLEAN),
+    "an_parse_texts": _with(_SAID, "select conv_id, turn, coalesce(text, '') as text, turn as prompt_tokens, null::bigint as completion_tokens, case when turn % 3 = 0 then 'maxPredictedTokensReached' else 'eosFound' end as finish_reason from said"),
+    "an_clean_texts": _with(_SAID, _CLEAN),
+    "an_errors": _with(_SAID, "select conv_id, turn, case when turn % 5 > 1 then coalesce(text, '') end as text, case turn % 5 when 0 then 'a completion without choices: {}' when 1 then 'a completion without choices: {\"choices\": []}' end as error from said"),
+    "an_complete": _with(_RAW, "select question_id, case when not ends_with(question, '7?') then cast(length(question) as varchar) end as raw_answer, case when not ends_with(question, '7?') then 5 end as prompt_tokens, case when not ends_with(question, '7?') then 1 end as completion_tokens, case when not ends_with(question, '7?') then 'eosFound' end as finish_reason, case when ends_with(question, '7?') then 'error' else 'ok' end as status, case when ends_with(question, '7?') then 'refused' end as error, case when ends_with(question, '7?') then 3 else 1 end as attempt from raw"),
     "an_warmup": _with(_ALL, "select seq, run_id, row_number() over (partition by run_id order by answered_at, seq) = 1 as is_warmup from aa"),
     "an_latest": _with(_A, "select question_id, model_slug, prompt_variant, seq, status, answered_at, ai_answer from a"),
     "io_run_summary": _with(_ALL, "select run_id, model_name, model_slug, string_agg(distinct prompt_variant, '|' order by prompt_variant) as variants, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status <> 'ok') as n_error, max(answered_at) as finished_at, max(host) as host, max(hardware) as hardware from aa group by 1, 2, 3"),
@@ -176,6 +196,9 @@ ORACLES: dict[str, str] = {
     "jd_arbitrate": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, 'arbiter' as judge_model, 'v1' as judgment_version, '2026-01-03' as judged_at
         from (select * replace (case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge' when question_id < 'c' then 'llm_judge_rejected' else 'llm_judge_failed' end as match_method,
           case when match_method <> 'undecided' then ai_correct else question_id < '4' end as ai_correct) from j3 where model_slug = 'org_model-2')"""),
+    "jd_arbitrate_all": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, 'arbiter' as judge_model, 'v1' as judgment_version, '2026-01-03' as judged_at
+        from (select * replace (case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge' when question_id < 'c' then 'llm_judge_rejected' else 'llm_judge_failed' end as match_method,
+          case when match_method <> 'undecided' then ai_correct else question_id < '4' end as ai_correct) from j3)"""),
     "jd_verdicts": _with(_AQ, "select aq.question_id, model_slug, prompt_variant, 'Question: ' || question || chr(10) || 'Reference answer: ref' || chr(10) || 'Candidate answer: ' || ai_answer || chr(10) || 'Does the candidate answer mean the same as the reference answer? YES or NO.' as prompt, case when status = 'ok' and kind = 8 then 'yes' when kind = 9 then 'no' else 'failed' end as verdict from aq join qq using (question_id)"),
     "ft_results": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
     "mt_model_performance": _with(_R, _PERF),
@@ -218,4 +241,16 @@ ORACLES: dict[str, str] = {
         union all select 'accepted_range', 'int_results', 'fuzzy_score', (select count(*) from r where fuzzy_score < 0 or fuzzy_score > 50)
         union all select 'permissive_at_least_strict', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < t)"""),
     "st_bronze": _with(_RESPONSES, f"select {_id('question', 'correct_answer')} as question_id, category, type, difficulty, question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, batch_id from ok"),
+    "pr_prompt_hash": _with(_ALL + ", " + _HASHES, "select prompt_variant, substr(sha256(system || '␟' || multiple || '␟' || boolean), 1, 12) as prompt_hash, n_answers from probes join (select prompt_variant, count(*) as n_answers from aa group by 1) using (prompt_variant)"),
+    "pr_pending_all": _with(_ALL, "select question_id, v as prompt_variant, model_slug from qq, (select unnest(['p1_constrained_mcq', 'p2_open_minimal', 'p3_open_guided']) as v), (select distinct model_slug from aa) m where not exists (select 1 from aa where aa.question_id = qq.question_id and aa.prompt_variant = v and aa.model_slug = m.model_slug and status = 'ok')"),
+    "mt_judged": _with(_CASCADE + f", js as (select * replace (case when match_method = 'undecided' then 'no_match' else match_method end as match_method, case when match_method = 'undecided' then false else ai_correct end as ai_correct) from j3 where status = 'ok'), jt as (select *, {_STRICT} as ai_correct_strict from js)", f"select model_slug, prompt_variant, {_MODE} as mode, match_method, count(*) as n_answers, round(count(*)::double / sum(count(*)) over (partition by model_slug, prompt_variant), 6) as share, round(avg(ai_correct::int), 6) as accuracy_permissive, round(avg(ai_correct_strict::int), 6) as accuracy_strict from jt group by 1, 2, 3, 4"),
+    "io_responses": _with(_RESPONSES, "select 'b' || lpad(cast(batch as varchar), 6, '0') as batch_id, batch % 24 + 9 as category_id, case when batch % 7 = 6 then 4 else 0 end as response_code, case when batch % 7 = 6 then 0 else count(*) end as n_results, case when batch % 7 <> 6 then base64(encode(arg_min(question, p_partkey))) end as first_question from b group by batch"),
+    "io_bronze": _with(_RAW, f"select question_id, category, type, difficulty, {_SAID_QUESTION} as question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, 'b0' as batch_id from raw"),
+    "io_questions": _with(_Q, "select question_id, category, category_group, category_name, type, difficulty, question, correct_answer, array_to_string(incorrect_answers, '|') as incorrect_answers, array_to_string(choices, '|') as choices, correct_answer_position, n_choices, correct_answer_norm, answer_is_numeric, length(question) as question_len, length(correct_answer) as answer_len, '2026-01-02' as cleaned_at from qq"),
+    "io_answers": _with(_ALL, "select question_id, model_slug, prompt_variant, model_name, seq, ai_answer, response_time, completion_tokens, finish_reason, status, is_warmup, answered_at, run_id, host, hardware from aa"),
+    "io_answer_files": _with(_ALL, "select question_id, model_slug, prompt_variant, seq, status, case when seq % 2 = 0 then ai_answer end as ai_answer from aa"),
+    "io_judgments": _with(_R, "select question_id, model_slug, prompt_variant, match_method, ai_correct, case when model_slug = 'org_model-1' then 'v2' else 'v1' end as judgment_version from r where not starts_with(question_id, '0')"),
+    "io_conform": _with(_ALL, "select model_slug, count(*) as n, 0 as n_answers, 'ai_answer string|response_time double|attempt bigint|is_warmup boolean' as types from aa where status = 'error' group by 1"),
+    "io_run_manifest": _with(_ALL, "select run_id, model_slug, string_agg(distinct prompt_variant, '|' order by prompt_variant) as variants, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status <> 'ok') as n_error, max(host) as host from aa group by 1, 2"),
+    "io_marts": _with(_R, "select model_slug, prompt_variant, host, run_id, count(*) as n_errors, 'prompt_performance|errors' as marts from r where not is_scorable group by 1, 2, 3, 4"),
 }

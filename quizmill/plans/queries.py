@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +12,12 @@ from ..functions.text import fuzzy_score, normalize, normalize_answer, unescape_
 from ..operators import bronze as B
 from ..operators import facts, judge, marts, prompts, quality, views, work
 from ..operators.questions import clean_questions
+from ..schemas import ANSWERS, BRONZE, QUESTIONS, conform
+from ..sources import tables as T
 from ..sources.tables import run_summary
 from ..streaming.bronze import stream_bronze
 from . import driver_views as V
+from .store import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +76,7 @@ def br_response_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sq_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of pages the titles, which hold entities as questions do."""
     return V.table(spark, sf_dir, "pages").select("page_id", unescape_text(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)).alias("title"))
 
 
@@ -85,7 +88,7 @@ def sq_clean_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sq_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.questions(spark, sf_dir).select("question_id", F.array_join("choices", "|").alias("choices"), "correct_answer_position", "n_choices")
+    return V.cleaned(spark, sf_dir).select("question_id", F.array_join("choices", "|").alias("choices"), "correct_answer_position", "n_choices")
 
 
 @query
@@ -139,11 +142,10 @@ def pr_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.stratified_sample(q, 50, 3)
 
 
-def _payload(spark: SparkSession, sf_dir: str, whole_text: bool = False) -> DataFrame:
+def _payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = V.table(spark, sf_dir, "conversations").where("role = 'assistant'")
     thought = F.when(F.col("turn") % 4 == 1, F.lit("<think>so\nso</think>\n")).otherwise("")
-    given = F.col("text") if whole_text else F.regexp_extract("text", r"^[A-Za-z]*", 0)
-    text = F.concat(thought, F.lit("Answer: \""), given, F.lit(".\"\nmore"))
+    text = F.concat(thought, F.lit("Answer: \""), F.col("text"), F.lit(".\"\nmore"))
     choice = F.struct(F.struct(text.alias("content")).alias("message"), F.when(F.col("turn") % 3 == 0, "length").otherwise("stop").alias("finish_reason"))
     whole = F.struct(F.array(choice).alias("choices"), F.struct(F.col("turn").alias("prompt_tokens")).alias("usage"))
     return said.select("conv_id", "turn", F.to_json(whole).alias("payload"))
@@ -161,30 +163,38 @@ def an_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def an_parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Like ``an_parse``, with the whole texts."""
-    return _payload(spark, sf_dir, whole_text=True).select("conv_id", "turn", A.parse_completion(F.col("payload")).alias("p")).select("conv_id", "turn", "p.*")
+    """The name of ``an_parse`` from when that took less than whole texts."""
+    return an_parse(spark, sf_dir)
 
 
 @query
 def an_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Like ``an_clean``, with the whole texts."""
-    return an_parse_texts(spark, sf_dir).select("conv_id", "turn", A.clean_answer(F.col("text")).alias("ai_answer"))
+    """The name of ``an_clean`` from when that took less than whole texts."""
+    return an_clean(spark, sf_dir)
+
+
+@query
+def an_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of payloads some of which lost their choices: what is said and what went wrong."""
+    lost = F.when(F.col("turn") % 5 == 0, "{}").when(F.col("turn") % 5 == 1, '{"choices": []}').otherwise(F.col("payload"))
+    payloads = _payload(spark, sf_dir).select("conv_id", "turn", lost.alias("payload"))
+    return payloads.select("conv_id", "turn", A.parse_completion(F.col("payload"))["text"].alias("text"), A.completion_error(F.col("payload")).alias("error"))
 
 
 @query
 def an_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a stub that answers the question's length and fails on some questions."""
 
-    def backend() -> Callable[[str], str]:
-        def ask(prompt: str) -> str:
+    def backend() -> Callable[[str], dict]:
+        def ask(prompt: str) -> dict:
             if prompt.endswith("7?"):
                 raise RuntimeError("refused")
-            return str(len(prompt))
+            return {"text": str(len(prompt)), "prompt_tokens": len(prompt.split()), "completion_tokens": 1, "finish_reason": "eosFound"}
 
         return ask
 
     asked = V.raw_questions(spark, sf_dir).select("question_id", F.col("question").alias("prompt_text"))
-    return work.complete(asked, backend).select("question_id", "raw_answer", "status", "error", "attempt")
+    return work.complete(asked, backend, wait=lambda attempt: 0.0).select("question_id", "raw_answer", "prompt_tokens", "completion_tokens", "finish_reason", "status", "error", "attempt")
 
 
 @query
@@ -195,7 +205,8 @@ def an_warmup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def an_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.answers(spark, sf_dir).select("question_id", "model_slug", "prompt_variant", "seq", "status", "answered_at", "ai_answer")
+    latest = work.latest_answers(V.all_answers(spark, sf_dir), ("answered_at", "seq"))
+    return latest.select("question_id", "model_slug", "prompt_variant", "seq", "status", "answered_at", "ai_answer")
 
 
 @query
@@ -271,14 +282,19 @@ def jd_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*_KEY, asked.alias("prompt"), judge.parse_verdict(F.when(F.col("kind") == 8, "YES.").when(F.col("kind") == 9, "No").otherwise(F.col("ai_answer")), F.col("status"), F.col("finish_reason")).alias("verdict"))
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = V.answers(spark, sf_dir)
     return facts.int_results(a, V.questions(spark, sf_dir), V.judgments(a))
 
 
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table, which marts, views and checks read."""
+    return stored(spark, sf_dir, "int_results", lambda: _results(spark, sf_dir))
+
+
 @query
 def ft_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results(spark, sf_dir).select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
+    return _results(spark, sf_dir).select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
 
 
 def _mart(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -293,11 +309,24 @@ _mart("performance_by_category", marts.mart_performance_by_category)
 _mart("performance_by_difficulty", marts.mart_performance_by_difficulty)
 _mart("prompt_performance", marts.mart_prompt_performance)
 _mart("latency", marts.mart_latency)
-_mart("question_hardness", marts.mart_question_hardness)
 _mart("matching_impact", marts.mart_matching_impact)
 _mart("errors", marts.mart_errors)
 
 
+@query
+def mt_question_hardness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(marts.mart_question_hardness(results(spark, sf_dir), V.questions(spark, sf_dir)))
+
+
+@query
+def mt_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From answers to a mart: the cascade's own verdicts, the fact table, verdicts per stage. What the
+    cascade leaves undecided counts as not matching."""
+    a, q = V.answers(spark, sf_dir), V.questions(spark, sf_dir)
+    verdicts = judge.run_judge(a, q, "none", "v1", F.lit("2026-01-03"))
+    return rounded(marts.mart_matching_impact(facts.int_results(a, q, verdicts)).drop("fuzzy_score_avg"))
+
+
 @query
 def mt_position_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(marts.mart_position_bias(results(spark, sf_dir), V.questions(spark, sf_dir)))
@@ -310,7 +339,7 @@ def rv_accuracy_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rv_explore_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(views.explore_questions(marts.mart_question_hardness(results(spark, sf_dir)), only_failed=True, k=25)).select("question_id", "category", "n_attempts", "success_rate")
+    return rounded(views.explore_questions(mt_question_hardness(spark, sf_dir), only_failed=True, k=25)).select("question_id", "category", "n_attempts", "success_rate")
 
 
 @query
@@ -376,16 +405,19 @@ def qc_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_variant = marts.mart_prompt_performance(r)
     return quality.suite(
         [
-            quality.not_null(r, "int_results", ["question_id", "model_slug", "prompt_variant", "match_method", "ai_correct"]),
+            quality.in_one_pass(
+                r,
+                "int_results",
+                not_null=["question_id", "model_slug", "prompt_variant", "match_method", "ai_correct"],
+                accepted={"match_method": ["boolean", "exact", "choice_letter", "choice_match", "fuzzy", "no_match"]},
+                ranges={"fuzzy_score": (0.0, 50.0)},
+            ),
+            quality.in_one_pass(q, "questions", accepted={"difficulty": ["easy", "medium", "hard"], "type": ["multiple", "boolean"]}),
             quality.unique(q, "questions", ["question_id"]),
             quality.unique(r, "int_results", _KEY),
             quality.unique(raw, "answers", _KEY),
-            quality.accepted(q, "questions", "difficulty", ["easy", "medium", "hard"]),
-            quality.accepted(q, "questions", "type", ["multiple", "boolean"]),
-            quality.accepted(r, "int_results", "match_method", ["boolean", "exact", "choice_letter", "choice_match", "fuzzy", "no_match"]),
             quality.relationship(raw, "answers", "question_id", q.where("type = 'multiple'")),
             quality.in_range(by_variant, "mart_prompt_performance", ["accuracy_strict", "accuracy_permissive"]),
-            quality.in_range(r, "int_results", ["fuzzy_score"], 0.0, 50.0),
             quality.permissive_at_least_strict(by_variant, "mart_prompt_performance"),
         ]
     )
@@ -394,11 +426,95 @@ def qc_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def st_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The responses as JSON files, taken in by a stream in two runs from one checkpoint."""
-    from pathlib import Path
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or str(Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")).parent / "spark-streams")
-    at = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = fresh_path(spark, "stream")
     V.responses(spark, sf_dir).write.json(f"{at}/in")
     for _ in range(2):
         stream_bronze(spark, f"{at}/in", f"{at}/out", f"{at}/checkpoint", F.lit("2026-01-01"))
     return spark.read.parquet(f"{at}/out").select("question_id", "category", "type", "difficulty", "question", "correct_answer", "incorrect_answers", "fetched_at", "batch_id")
+
+
+# Sources and sinks: each query writes a table, as the pipeline does, and returns what it reads back.
+
+
+@query
+def io_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = fresh_path(spark, "responses")
+    V.responses(spark, sf_dir).write.json(at)
+    log = T.read_responses(spark, at)
+    return log.select("batch_id", "category_id", F.col("payload.response_code").alias("response_code"), F.size("payload.results").alias("n_results"), F.get("payload.results", F.lit(0))["question"].alias("first_question"))
+
+
+@query
+def io_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With quotes, commas and line ends in the questions."""
+    at = fresh_path(spark, "bronze")
+    T.write_bronze(V.bronze(spark, sf_dir).withColumn("question", F.concat(F.lit('He said: "'), "question", F.lit('",\nand went'))), at)
+    return T.read_bronze(spark, at).select(*BRONZE.names)
+
+
+@query
+def io_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = fresh_path(spark, "silver")
+    T.write_questions(V.cleaned(spark, sf_dir), at)
+    back = T.read_questions(spark, at)
+    return back.select(*[F.array_join(c, "|").alias(c) if c in ("choices", "incorrect_answers") else F.col(c) for c in QUESTIONS.names])
+
+
+@query
+def io_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers appended run by run to partitions, and read back."""
+    at = fresh_path(spark, "answers")
+    given = V.all_answers(spark, sf_dir).withColumn("attempt", F.col("seq"))
+    for k in range(2):
+        T.append_answers(given.where(F.col("seq") % 2 == k), at)
+    back = T.read_answers(spark, at)
+    return back.select("question_id", "model_slug", "prompt_variant", "model_name", F.col("attempt").alias("seq"), "ai_answer", "response_time", "completion_tokens", "finish_reason", "status", "is_warmup", "answered_at", "run_id", "host", "hardware")
+
+
+@query
+def io_answer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree whose path names other columns and whose files differ in theirs: the files count."""
+    at = fresh_path(spark, "tree")
+    given = V.all_answers(spark, sf_dir).select("question_id", "model_slug", "prompt_variant", "status", "ai_answer", F.col("seq").alias("attempt"))
+    given.where("attempt % 2 = 0").write.parquet(f"{at}/model=a/prompt_variant=x")
+    given.where("attempt % 2 = 1").drop("ai_answer").write.parquet(f"{at}/model=b/prompt_variant=y")
+    return T.read_answers(spark, at, "files").select("question_id", "model_slug", "prompt_variant", F.col("attempt").alias("seq"), "status", "ai_answer")
+
+
+@query
+def io_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All judged once, one model judged again: its partitions are replaced."""
+    at = fresh_path(spark, "judgments")
+    verdicts = V.judgments(V.answers(spark, sf_dir)).withColumns({"judge_model": F.lit("j"), "judgment_version": F.lit("v1"), "judged_at": F.lit("2026-01-03")})
+    T.write_judgments(verdicts, at)
+    T.write_judgments(verdicts.where("model_slug = 'org_model-1'").withColumn("judgment_version", F.lit("v2")), at)
+    return T.read_judgments(spark, at).select(*_KEY, "match_method", "ai_correct", "judgment_version")
+
+
+@query
+def io_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that all failed, written with texts that are null throughout: types stay."""
+    at = fresh_path(spark, "errors")
+    failed = V.all_answers(spark, sf_dir).where("status = 'error'").drop("ai_answer", "response_time")
+    conform(failed, ANSWERS).write.parquet(at)
+    back = spark.read.parquet(at)
+    types = F.lit("|".join(f"{n} {t}" for n, t in back.select("ai_answer", "response_time", "attempt", "is_warmup").dtypes))
+    return back.groupBy("model_slug").agg(F.count("*").alias("n"), F.count("ai_answer").alias("n_answers")).select("model_slug", "n", "n_answers", types.alias("types"))
+
+
+@query
+def io_run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = fresh_path(spark, "runs")
+    T.write_run_summary(V.all_answers(spark, sf_dir), at)
+    back = spark.read.schema("run_id string, model_slug string, variants array<string>, counters struct<ok: long, error: long>, host string").json(at)
+    return back.select("run_id", "model_slug", F.array_join("variants", "|").alias("variants"), F.col("counters.ok").alias("n_ok"), F.col("counters.error").alias("n_error"), "host")
+
+
+@query
+def io_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two marts written, listed and read by name."""
+    at, r = fresh_path(spark, "gold"), results(spark, sf_dir)
+    T.write_mart(marts.mart_errors(r), at, "errors")
+    T.write_mart(marts.mart_prompt_performance(r), at, "prompt_performance")
+    listed = F.lit("|".join(T.available_marts(spark, at)))
+    return T.load_mart(spark, at, "errors").select(*[F.col(c) for c in ("model_slug", "prompt_variant", "host", "run_id", "n_errors")], listed.alias("marts"))

@@ -41,6 +41,8 @@ def judged(spark, questions, given, source=None, **options):
 def test_options_are_parsed_before_entities(spark):
     given = ['["He said &quot;hi&quot;", "Rock &amp;amp; Roll", null]', "['a', 'b  c']", "", None, "[]", "bare &lt;one&gt;"]
     want = [['He said "hi"', "Rock & Roll", ""], ["a", "b c"], [], [], [], ["bare <one>"]]
+    given += ['"one &amp; only"', "['a', None]", "['tab\\x41', \"it's\"]", "  ['x']\n", "[broken", '"open']
+    want += [["one & only"], ["a", ""], ["tabA", "it's"], ["x"], ["[broken"], ['"open']]
     df = spark.createDataFrame(list(enumerate(given)), "i int, x string")
     assert [r[1] for r in sorted(df.select("i", parse_incorrect(F.col("x"))).collect())] == want
 
@@ -116,11 +118,13 @@ def test_work(spark, questions):
         def ask(prompt):
             if "Is it?" in prompt:
                 raise OSError("down")
-            return "ok"
+            return {"text": "ok", "completion_tokens": 3, "finish_reason": "eosFound"} if "Who" in prompt else "ok"
 
         return ask
 
-    asked = work.complete(questions.select("question_id", F.col("question").alias("prompt_text")), backend_factory, 2).collect()
+    asked = work.complete(questions.select("question_id", F.col("question").alias("prompt_text")), backend_factory, 2, wait=lambda attempt: 0.05 * attempt).collect()
+    assert {(r.question_id, r.prompt_tokens, r.completion_tokens, r.finish_reason) for r in asked} == {("q1", None, 3, "eosFound"), ("q2", None, None, ""), ("q3", None, None, None), ("q4", None, None, "")}
+    assert all(0 <= r.response_time < 60 for r in asked) and [work.backoff(k) for k in (1, 2, 3, 9)] == [2, 4, 8, 10]
     assert {(r.question_id, r.status, r.attempt, r.error) for r in asked} == {(q, "ok", 1, None) for q in ("q1", "q2", "q4")} | {("q3", "error", 2, "down")}
 
 
@@ -140,6 +144,8 @@ def test_fact_table_and_marts(spark, questions):
     assert [(r.n_errors, r.first_error_at) for r in marts.mart_errors(results).collect()] == [(1, "3")]
     hard = {r.question_id: (r.n_judged, r.failed_by_everyone) for r in marts.mart_question_hardness(results).collect()}
     assert hard == {"q1": (1, True), "q2": (1, True), "q4": (0, True)}
+    joined = marts.mart_question_hardness(results, questions)
+    assert sorted(map(str, joined.select(*marts.mart_question_hardness(results).columns).collect())) == sorted(map(str, marts.mart_question_hardness(results).collect()))
 
 
 def test_checks(spark):
@@ -148,6 +154,12 @@ def test_checks(spark):
     assert {(r.check, r.column): r.n_bad for r in found.collect()} == {("not_null", "k"): 1, ("not_null", "r"): 1, ("unique", "k"): 1, ("accepted_values", "s"): 1, ("accepted_range", "r"): 1, ("relationship", "k"): 2}
 
 
+def test_checks_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 0.5, "x"), ("a", 1.5, None), (None, None, "z")], "k string, r double, s string")
+    found = quality.in_one_pass(df, "t", not_null=["k", "r"], accepted={"s": ["x"]}, ranges={"r": (0.0, 1.0)})
+    assert {(r.check, r.table, r.column): r.n_bad for r in found.collect()} == {("not_null", "t", "k"): 1, ("not_null", "t", "r"): 1, ("accepted_values", "t", "s"): 1, ("accepted_range", "t", "r"): 1}
+
+
 def test_answers_and_judgments_on_disk(spark, questions, tmp_path):
     at = str(tmp_path / "answers")
     first = answers_of(spark, [("q1", "m", "p2_open_minimal", "a", "ok", "1", "r"), ("q1", "n", "p2_open_minimal", "a", "error", "1", "r")])

@@ -29,9 +29,11 @@ def test_whole_texts(spark, tmp_path, made):
         path = str(tmp_path)
         spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{path}/conversations.parquet")
     said = {(r.conv_id, r.turn): content(r.turn, r.text) for r in spark.read.parquet(f"{path}/conversations.parquet").where("role = 'assistant'").collect()}
-    assert {(r.conv_id, r.turn): r.text for r in QUERIES["an_parse_texts"](spark, path).collect()} == {k: t or "" for k, t in said.items()}
-    got = {(r.conv_id, r.turn): r.ai_answer for r in QUERIES["an_clean_texts"](spark, path).collect()}
-    assert got == {k: cleaned(t) for k, t in said.items()}
+    for name in ("an_parse", "an_parse_texts"):
+        assert {(r.conv_id, r.turn): r.text for r in QUERIES[name](spark, path).collect()} == {k: t or "" for k, t in said.items()}
+    for name in ("an_clean", "an_clean_texts"):
+        got = {(r.conv_id, r.turn): r.ai_answer for r in QUERIES[name](spark, path).collect()}
+        assert got == {k: cleaned(t) for k, t in said.items()}
     if made:
         assert [got[1, k] for k in range(1, 7)] == ["Élan vital", 'two words, "quoted" and more', "first line", "12 pieces..", "", "日本 🙂"]
 
