@@ -1,17 +1,20 @@
 """Substring deduplication: passages of a fixed number of words that occur earlier are removed.
 
-Every window of ``window`` consecutive words gets a rolling (Rabin-Karp) hash of 64 bits over the words'
-hashes. Spark deals the hashes out by their range, so all occurrences of a window meet in one bucket;
-each but the first (smallest id, then smallest start) is sent back to its document, where overlapping
-windows merge into maximal intervals, which are cut out. A task that holds a window several times
-sends only the first occurrence and settles the others itself, so a passage of a third of all
-documents reaches its bucket once a task, not once a document. Two different windows share a hash
-with probability ``2**-64``: of ``n`` windows about ``n * n / 2**65`` are removed wrongly (of 10**9 none,
-of 10**13 a few million, one in several million).
-
-Nulls: a null text has no words. A null id counts as the largest. Rows that share id and words are
+Every window of ``window`` consecutive words gets two independent rolling (Rabin-Karp) hashes over the
+words' hashes. Spark deals the windows out by the range of the first, so all occurrences of a window meet
+in one bucket; each but the first (smallest id, then smallest start) is sent back to its document, where
+overlapping windows merge into maximal intervals, which are cut out. A task that holds a window several
+times sends only the first occurrence and settles the others itself, so a passage of a third of all
+documents reaches its bucket once a task, not once a document.
+
+Two windows count as equal if they agree in bucket, in 56 bits of the first hash and in 24 bits of the
+second: different ones do with a probability of ``2**-80`` over the number of buckets. Of ``n`` windows
+about ``n * n / (buckets * 2**81)`` are expected to be removed wrongly: of 10**13, in millions of buckets, none.
+
+Nulls: a null text has no words. A null id counts as the largest. Rows that share id and text are
 copies of one document and fare alike; rows that share an id only are ordered by a hash of their
-words. An empty table gives no rows. All columns are kept, whatever their names.
+texts. Documents are dealt out by id and text, so rows without an id spread over tasks too. An empty
+table gives no rows. All columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,9 +32,11 @@ from .tasks import tidy
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 19, 2 << 20
+HELD, BUCKET = 1 << 19, 1 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
+#: Tasks that buckets or groups are dealt to at most; beyond, a task takes several, one after another.
+MOST_TASKS = 50_000
 _LAST = 2**63 - 1
 #: Spread ids over the groups of documents, the same way in SQL and in tasks.
 _PRIME, _SPREAD = 2**31 - 1, 1_103_515
@@ -39,7 +44,7 @@ _SENT = "bucket int, hashes binary, docs binary, marks binary, counts binary, st
 _TOLD = "bucket int, docs binary, marks binary, counts binary, starts binary, lengths binary"
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", joined_words: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", joined_words: bool = True, held: int = HELD, bucket: int = BUCKET, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``row`` (a struct of the other columns), ``text`` (what is left), ``n_words`` and ``n_removed``.
 
     Words are runs of other characters than blanks 0x20 and 0x09-0x0D. What is left is the kept words
@@ -47,39 +52,36 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     """
     spark = docs.sparkSession
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
+    mark = F.xxhash64(text_col).bitwiseAND(F.lit(2**32 - 1))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = spark.sparkContext.defaultParallelism
-    buckets, groups = max(4 * tasks, -(-size // (6 * BUCKET))), max(4 * tasks, -(-size // GROUP_BYTES))
+    buckets, groups = max(tasks, -(-size // (6 * bucket))), max(tasks, -(-size // group_bytes))
     told = (
-        docs.select(own, F.col(text_col))
-        .mapInArrow(tidy(_send_windows(window, buckets)), _SENT)
-        .repartition(-(-buckets // 4), "bucket")
+        _dealt(docs.select(own.alias("doc"), mark.alias("mark"), F.col(text_col).alias("text")).mapInArrow(tidy(_send_windows(window, buckets, held)), _SENT), buckets)
         .sortWithinPartitions("bucket")
         .mapInArrow(tidy(_settle(groups)), _TOLD)
     )
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    texts = docs.select(F.pmod(F.pmod(F.pmod(own, F.lit(_PRIME)) * _SPREAD, F.lit(_PRIME)), F.lit(groups)).cast("int").alias("bucket"), own.alias("doc"), F.struct(*rest).alias("row"), F.col(text_col).alias("text"))
+    spread = F.pmod(F.pmod(F.pmod(own, F.lit(_PRIME)) * _SPREAD, F.lit(_PRIME)) + mark, F.lit(groups))
+    texts = docs.select(spread.cast("int").alias("bucket"), own.alias("doc"), mark.alias("mark"), F.struct(*rest).alias("row"), F.col(text_col).alias("text"))
     both = texts.unionByName(told, allowMissingColumns=True)
     out = StructType([texts.schema["row"]]).add("text", "string").add("n_words", "long").add("n_removed", "long")
-    return (
-        both.withColumn("second", F.col("docs").isNull())
-        .repartition(-(-groups // 4), "bucket")
-        .sortWithinPartitions("bucket", "second")
-        .mapInArrow(tidy(_cut(window, joined_words)), out)
-    )
+    return _dealt(both.withColumn("second", F.col("docs").isNull()), groups).sortWithinPartitions("bucket", "second").mapInArrow(tidy(_cut(window, joined_words)), out)
 
 
-def _marks(w: Words) -> np.ndarray:
-    """A short hash of all words of each text."""
-    return (w.runs(w.first[:-1], np.diff(w.first)) >> np.uint64(32)).astype(np.uint32)
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """A task for each bucket; where they are very many, for several."""
+    each = -(-buckets // MOST_TASKS)
+    return rows.repartitionById(-(-buckets // each), F.floor(F.col("bucket") / each).cast("int"))
 
 
-def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text and start, in words, of each window, and its hash."""
+def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text and start, in words, of each window, its hash, and some bits of the second one."""
     number = np.maximum(np.diff(w.first) - window + 1, 0)
     text = np.repeat(np.arange(w.n), number)
     start = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
-    return text, start, w.runs(w.first[:-1][text] + start, window)
+    at = w.first[:-1][text] + start
+    return text, start, w.runs(at, window), (w.runs(at, window, 1) >> np.uint64(40)).astype(np.uint32)
 
 
 def _intervals(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +93,7 @@ def _intervals(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner[first], at[first], np.diff(np.append(first, len(at)))
 
 
-def _send_windows(window: int, buckets: int):
+def _send_windows(window: int, buckets: int, most: int):
     schema = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("hashes", "docs", "marks", "counts", "starts", "lengths"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +102,7 @@ def _send_windows(window: int, buckets: int):
         size = 0
 
         def send() -> None:
-            doc, mark, n = (np.concatenate(x) for x in list(zip(*held, strict=True))[:3])
-            h, start = (np.concatenate(x) for x in list(zip(*held, strict=True))[3:])
+            doc, mark, n, h, more, start = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             # documents in their order, copies of one document with one number
             order = np.lexsort((mark, doc))
@@ -114,8 +115,8 @@ def _send_windows(window: int, buckets: int):
             if place is None:
                 by_doc = np.argsort(owner, kind="stable")
                 place = by_doc[np.argsort(h[by_doc], kind="stable")]
-            h, owner, start = h[place], owner[place], start[place]
-            first = np.concatenate(([True], h[1:] != h[:-1]))
+            h, more, owner, start = h[place], more[place], owner[place], start[place]
+            first = np.concatenate(([True], (h[1:] != h[:-1]) | (more[1:] != more[:-1])))
             lead = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
             gone = (owner != owner[lead]) | (start != start[lead])
             o, s = owner[gone], start[gone]
@@ -124,22 +125,21 @@ def _send_windows(window: int, buckets: int):
             if len(o):
                 x, c = run_lengths(o)
                 put(int(x[0] % buckets), None, *_pack(doc[x], mark[x], c, s, lengths))
-            h, owner, start = h[first], owner[first], start[first]
-            order = np.lexsort((start, owner))
-            h, owner, start = h[order], owner[order], start[order]
+            order = np.flatnonzero(first)[np.lexsort((start[first], owner[first]))]
+            h, more, owner, start = h[order], more[order], owner[order], start[order]
             for b, at in by_bucket(bucket_of(h, buckets)):
                 x, c = run_lengths(owner[at])
-                put(b, _low(h[at]), *_pack(doc[x], mark[x], c, start[at], None))
+                put(b, _key(h[at], more[at]), *_pack(doc[x], mark[x], c, start[at], None))
 
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for w in words_of(batch.column(1)):
-                text, start, h = _windows(w, window)
+            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint32)
+            for w in words_of(batch.column(2)):
+                text, start, h, more = _windows(w, window)
                 if len(h):
                     has, n = run_lengths(text)
-                    held.append((ids[w.lo + has], _marks(w)[has], n, h, start))
+                    held.append((ids[w.lo + has], marks[w.lo + has], n, h, more, start))
                     size += len(h)
-                if size >= HELD:
+                if size >= most:
                     send()
                     size = 0
                     yield from take(True)
@@ -150,15 +150,19 @@ def _send_windows(window: int, buckets: int):
     return run
 
 
-def _low(h: np.ndarray) -> bytes:
-    """The lower 56 bits of hashes: the bucket has the upper ones."""
-    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+def _key(h: np.ndarray, more: np.ndarray) -> bytes:
+    """The lower 56 bits of hashes (the bucket has the upper ones) and 24 bits of the second ones."""
+    out = np.empty((len(h), 10), np.uint8)
+    out[:, :7] = np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7]
+    out[:, 7:] = np.ascontiguousarray(more).view(np.uint8).reshape(-1, 4)[:, :3]
+    return out.tobytes()
 
 
-def _unlow(column: pa.ChunkedArray) -> np.ndarray:
-    out = np.zeros((sum(len(x) for x in column.to_pylist()) // 7, 8), np.uint8)
-    out[:, :7] = joined(column, np.uint8).reshape(-1, 7)
-    return out.view(np.uint64).reshape(-1)
+def _unkey(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    packed = joined(column, np.uint8).reshape(-1, 10)
+    h, more = np.zeros((len(packed), 8), np.uint8), np.zeros((len(packed), 4), np.uint8)
+    h[:, :7], more[:, :3] = packed[:, :7], packed[:, 7:]
+    return h.view(np.uint64).reshape(-1), more.view(np.uint32).reshape(-1)
 
 
 def _pack(doc: np.ndarray, mark: np.ndarray, count: np.ndarray, start: np.ndarray, length: np.ndarray | None) -> tuple:
@@ -190,7 +194,7 @@ def _settle(groups: int):
 
         def tell(doc: np.ndarray, mark: np.ndarray, count: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
             owner = np.repeat(np.arange(len(doc)), count)
-            to = doc % _PRIME * _SPREAD % _PRIME % groups
+            to = (doc % _PRIME * _SPREAD % _PRIME + mark) % groups
             for b, at in by_bucket(to[owner].astype(np.int32)):
                 x, c = run_lengths(owner[at])
                 put(b, *_pack(doc[x], mark[x], c, start[at], length[at]))
@@ -202,16 +206,17 @@ def _settle(groups: int):
             if len(doc):
                 tell(doc, mark, count, start, _lengths(done))
             doc, mark, count, start = _unpack(rows)
-            h = _unlow(rows["hashes"])
+            h, more = _unkey(rows["hashes"])
             order = np.argsort(h, kind="stable")
             twice = np.zeros(len(h), bool)
             twice[order] = same_as_neighbour(h[order])
             owner = np.repeat(np.arange(len(doc)), count)[twice]
-            h, start = h[twice], start[twice]
+            h, more, start = h[twice], more[twice], start[twice]
             if len(h):
-                order = np.lexsort((start, mark[owner], doc[owner], h))
-                h, owner, start = h[order], owner[order], start[order]
-                lead = np.maximum.accumulate(np.where(np.concatenate(([True], h[1:] != h[:-1])), np.arange(len(h)), 0))
+                order = np.lexsort((start, mark[owner], doc[owner], more, h))
+                h, more, owner, start = h[order], more[order], owner[order], start[order]
+                new = np.concatenate(([True], (h[1:] != h[:-1]) | (more[1:] != more[:-1])))
+                lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
                 gone = (doc[owner] != doc[owner[lead]]) | (mark[owner] != mark[owner[lead]]) | (start != start[lead])
                 owner, start = owner[gone], start[gone]
                 order = np.lexsort((start, owner))
@@ -254,14 +259,13 @@ def _cut(window: int, joined_words: bool):
 
 
 def _kept(part: pa.RecordBatch, told: dict, window: int, joined_words: bool) -> pa.RecordBatch:
-    column, ids = part.column("text"), part.column("doc").to_numpy()
+    column, ids, marks = part.column("text"), part.column("doc").to_numpy(), part.column("mark").to_numpy()
     words, removed, left = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
     for w in words_of(column):
-        marks = _marks(w)
         for i in range(w.n):
             n = int(w.first[i + 1] - w.first[i])
             words[w.lo + i] = n
-            gone = told.get((int(ids[w.lo + i]), int(marks[i]))) if n >= window else None
+            gone = told.get((int(ids[w.lo + i]), int(marks[w.lo + i]))) if n >= window else None
             text = column[w.lo + i].as_py()
             if gone:
                 edge = np.zeros(n + 1, np.int64)

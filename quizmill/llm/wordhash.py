@@ -23,7 +23,7 @@ _AS_IS = np.arange(256, dtype=np.uint8)
 _LOWER = _AS_IS.copy()
 _LOWER[65:91] += 32
 _U = np.uint64
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 5, 0xD6E8FEB86659FD93 | 5
+_BYTE_BASE, _WORD_BASES = 0x9E3779B97F4A7C15 | 5, (0xD6E8FEB86659FD93 | 5, 0xA0761D6478BD642F | 5)
 
 
 def scramble(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -63,9 +63,9 @@ class Words:
     lo: int  # number of the first text in its batch
     n: int
 
-    def runs(self, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        """Hashes of the ``length`` words from each word of ``at`` on."""
-        up, down = _powers_of(_WORD_BASE, len(self.hash) + 1)
+    def runs(self, at: np.ndarray, length: np.ndarray | int, which: int = 0) -> np.ndarray:
+        """Hashes of the ``length`` words from each word of ``at`` on; ``which`` of two independent ones."""
+        up, down = _powers_of(_WORD_BASES[which], len(self.hash) + 1)
         total = np.zeros(len(self.hash) + 1, np.uint64)
         np.cumsum(self.hash * up[:-1], out=total[1:])
         return scramble((total[at + length] - total[at]) * down[at] + _U(0x632BE59BD9B4E019) * np.asarray(length, np.uint64))
