@@ -1,11 +1,12 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 Documents are tokenised where they lie; only ids, lengths and checksums of pieces travel on. Pieces
-are dealt evenly, by a hash, to groups of some million tokens, and Spark hands over a group's pieces
-longest first. They are packed as they come, with a fixed number of open bins: a bitset holds, per amount of free
-space, whether a bin with it is open, so the fullest bin that a piece fits into is the lowest set bit
-from the piece's length on. When a piece fits nowhere and all bins are open, the fullest closes.
-Memory is the open bins, however many pieces come.
+are dealt evenly, by a hash of a number of their own, to groups of many million tokens and within these to
+runs of about ``RUN`` pieces; Spark hands over a group run by run, a run's pieces longest first. They are
+packed online, as they come, with a fixed number of open bins: a bitset holds, per amount of free space,
+whether a bin with it is open, so the fullest bin that a piece fits into is the lowest set bit from the
+piece's length on. When a piece fits nowhere and all bins are open, the fullest closes. Memory is the
+open bins, however many pieces come; short pieces of one run fill what long ones of earlier runs left.
 
 Null texts count as empty: their document is the end id alone. Rows that share an id are packed each
 on its own. An empty table gives no rows. Columns other than id and text are not read.
@@ -21,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .scratch import materialize
 from .tasks import tidy
 
-#: Tokens that are packed together, about, and bins that are open meanwhile.
-TASK_TOKENS, OPEN_BINS = 2 << 20, 4096
+#: Tokens that are packed together, about, pieces that come longest first, and bins that are open meanwhile.
+TASK_TOKENS, RUN, OPEN_BINS = 32 << 20, 1024, 512
 #: Group numbers are the high part of sequence numbers.
 _TASK_BITS = 40
 
@@ -66,30 +68,32 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, limit: in
         encode = _encoder(vocabulary, ranks)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for at, text in enumerate(batch.column(1)):
                 ids = np.array([*(encode(t) if (t := text.as_py()) else ()), end_id], "<u4")
                 cut = [0, *range(len(ids) % limit or limit, len(ids) + 1, limit)]
-                rows += [(doc, k, a, b - a, zlib.crc32(ids[a:b])) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
+                rows += [(at, k, a, b - a, zlib.crc32(ids[a:b])) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                at, *rest = zip(*rows, strict=True)
+                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    key = docs.schema[id_col].dataType.simpleString()
-    types = [{"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[key], pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"doc_id {key}, piece int, start long, length long, ids_crc32 long")
+    out = StructType([StructField("doc_id", docs.schema[id_col].dataType), *(StructField(c, t) for c, t in (("piece", IntegerType()), ("start", LongType()), ("length", LongType()), ("ids_crc32", LongType())))])
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), out)
 
 
-def pack(found: DataFrame, limit: int = 2048, task_tokens: int = TASK_TOKENS, open_bins: int = OPEN_BINS) -> DataFrame:
+def pack(found: DataFrame, limit: int = 2048, task_tokens: int = TASK_TOKENS, open_bins: int = OPEN_BINS, run: int = RUN) -> DataFrame:
     """``found`` with ``sequence_id, offset``: where each piece lies, gapless from offset 0."""
-    found = materialize(found)
-    tokens = found.where(F.col("length") < limit).agg(F.sum("length")).first()[0] or 0
+    kept = materialize(found.withColumn("_row", F.monotonically_increasing_id()))
+    n, tokens = kept.where(F.col("length") < limit).agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     tasks = max(1, -(-tokens // task_tokens))
+    runs = max(1, -(-n // (tasks * run)))
+    part = lambda k, salt: F.pmod(F.xxhash64("_row", F.lit(salt)), F.lit(k)).cast("int")
     return (
-        found.withColumn("spread", F.xxhash64("doc_id", "piece", "ids_crc32"))
-        .withColumn("task", F.pmod(F.col("spread"), F.lit(tasks)).cast("int"))
-        .repartition("task")
-        .sortWithinPartitions("task", F.desc("length"), "spread", "doc_id", "piece")
-        .drop("spread")
-        .mapInArrow(tidy(_place(limit, open_bins)), found.schema.add("sequence_id", "long").add("offset", "long"))
+        kept.withColumns({"task": part(tasks, 1), "_run": part(runs, 2)})
+        .repartitionById(tasks, F.col("task"))
+        .sortWithinPartitions("task", "_run", F.desc("length"), "_row")
+        .drop("_row", "_run")
+        .mapInArrow(tidy(_place(limit, open_bins)), StructType([*found.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
     )
 
 
@@ -114,7 +118,7 @@ class OpenBins:
     """Online best fit with a fixed number of open bins."""
 
     def __init__(self, limit: int, most: int, first_id: int = 0) -> None:
-        self.limit, self.most, self.next, self.open = limit, most, first_id, 0
+        self.limit, self.most, self.next, self.open, self.closed = limit, most, first_id, 0, 0
         self.bits = 0  # bit f: a bin with f free places is open
         self.bins: list[list[int]] = [[] for _ in range(limit + 1)]
 
@@ -136,6 +140,7 @@ class OpenBins:
             self.next += 1
             if n < self.limit and self.open == self.most:
                 self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest closes
+                self.closed += 1
         rest = free - n
         if rest:
             self.bins[rest].append(name)
