@@ -1,21 +1,22 @@
 """N-gram Jaccard join: which documents are near copies of each other, as connected components.
 
-The candidate index is a count-vector R-tree: a document's shingles are hashed into a fixed number of
-groups, the group counts are a point, and the sum of coordinate minima bounds the overlap of two
-documents (or of a document and all documents of a tree node) from above; surviving pairs are
-verified on their texts. The tree alone cannot be dealt out: in count space all texts of one length
-lie close together, so each query would have to visit each machine. Therefore
+The candidate index is a forest of count-vector R-trees: a document's shingles are hashed into a fixed
+number of groups, the group counts are a point, and the sum of coordinate minima bounds the overlap of two
+documents (or of a document and all documents of a tree node) from above; pairs that survive are verified
+on their texts. One tree cannot be dealt out: in count space all texts of one length lie close together,
+so each query would have to visit each machine. Shingles therefore route documents to trees:
 
 1. documents with equal shingle sets become one class (aggregation by a 128-bit signature);
 2. a document all of whose partners would leave too many of its (sampled) shingles unshared is put
    aside: a necessary condition, evaluated over all documents, that costs no link;
-3. the rest send their prefix: of any two documents that link, each has one of the other's first
+3. the rest are routed by their prefix: of any two documents that link, each has one of the other's first
    ``n - ceil(t * n) + 1`` shingles in a common order. Shingles that are frequent, by a count sketch
    of fixed size, come last in the order;
-4. each document is verified against the smallest document with the same shingle. Most groups of
-   copies, however large, are resolved here with a number of pairs in proportion to their size;
-5. shingles whose documents are still in several components go to count-vector R-trees, in blocks of
-   bounded size that meet pairwise, and only pairs across components are looked for.
+4. the documents of a shingle, in blocks of bounded size, form trees (one leaf where they are few). Each
+   document takes from each tree the smallest document that the tree lets through. These pairs, one a
+   document and tree at most, are verified; most groups of copies, however large, become one component;
+5. documents of shingles that are still in several components meet in trees over larger blocks, two and
+   two where there are more, and all pairs across components that the trees let through are verified.
 
 Nulls: a null or blank text has an empty set and links with nothing; a row with a null id counts its
 shingles and has a null component. Rows that share an id are one node, each with its own size. An
@@ -24,7 +25,7 @@ empty table gives no rows. Columns other than id and text are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour
+from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, whole_groups
 from .scratch import materialize
 from .tasks import tidy
 from .wordhash import scramble, shingle_sets
@@ -43,13 +44,17 @@ SAMPLE = 4
 HELD, BUCKET = 1 << 19, 1 << 20
 #: Counters of the frequency sketch, sent to tasks as one byte each.
 SKETCH = 1 << 22
-#: Groups that shingles are hashed into, documents in a leaf, children of a node, documents in a block.
-GROUPS, LEAF, FAN, BLOCK = 128, 16, 8, 512
+#: Groups that shingles are hashed into, documents in a leaf, children of a node.
+GROUPS, LEAF, FAN = 128, 16, 8
+#: Documents in a tree at first, and in a block of those that meet across components.
+BLOCK, WIDE_BLOCK = 512, 2048
+#: Pairs whose bounds are taken at once.
+_AT_ONCE = 1 << 15
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
 
-def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, wide_block: int = WIDE_BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs``.
 
     Two documents link when ``100 * intersection >= percent * union`` of their ``width``-word shingle
@@ -63,15 +68,10 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     copies = copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
 
     texts = _survivors(docs, sizes, classes, width, percent)
-    keys = materialize(_prefixes(texts, width, percent))
-    heads = keys.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("tail")).where("head.doc <> tail")
-    shared = materialize(keys.join(heads.select("key", "head"), "key"))
-    near = f"100 * least(n, head.n) >= {percent} * greatest(n, head.n)"
-    first = materialize(shared.where(f"doc <> head.doc and {near}").select(F.col("head.doc").alias("a"), F.col("doc").alias("b")).distinct())
+    routed = materialize(_routed(texts, width, percent))
+    first = materialize(_first_pairs(routed, percent, block))
     links = materialize(_verified(first, texts, width, percent))
-    groups = connected_components(links)
-
-    rest = _open_pairs(shared.select("key", "doc", "n"), groups, texts, width, percent).join(first, ["a", "b"], "left_anti")
+    rest = _open_pairs(routed, connected_components(links), percent, wide_block).join(first, ["a", "b"], "left_anti")
     more = _verified(materialize(rest), texts, width, percent)
     found = connected_components(links.unionByName(more).unionByName(copies))
     return (
@@ -267,36 +267,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     )
 
 
-def _open_pairs(shared: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of different components with a common prefix shingle that the R-trees let through."""
-    marked = materialize(
-        shared.join(groups, shared["doc"] == groups["node"], "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    )
-    still = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi")
-    rows = materialize(marked.join(still.select("key", "members"), "key"))
-    wanted = rows.select(F.col("doc").alias("doc_id")).distinct()
-    points = texts.join(wanted, "doc_id", "left_semi").mapInArrow(tidy(_points(width)), "doc long, size long, point binary")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    return (
-        rows.join(points, "doc")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("x", F.least("block", "other"))
-        .withColumn("y", F.greatest("block", "other"))
-        .select("key", "x", "y", "block", "doc", "size", "component", "point")
-        .repartition("key", "x", "y")
-        .sortWithinPartitions("key", "x", "y", "doc")
-        .mapInArrow(tidy(_tree_pairs(percent)), "a long, b long")
-        .distinct()
-    )
+def _routed(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, members, doc, size, point``: the documents of each prefix shingle that several have."""
+    keys = materialize(_prefixes(texts, width, percent))
+    shared = keys.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("members")).where("lo <> hi")
+    rows = keys.select("key", "doc").join(shared.select("key", "members"), "key")
+    points = texts.mapInArrow(tidy(_points(width)), "doc long, size long, point binary")
+    return rows.join(points, "doc").select("key", "members", "doc", "size", "point")
 
 
 def _points(width: int):
+    """Counts of a document's shingles by group, in bytes: rounded up to a power of two where they are large."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column(0).to_numpy()
-            found = [(doc[i], len(u), np.bincount((u >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32).tobytes()) for i, u in shingle_sets(batch.column(1), width)]
+            found = [(doc[i], len(u), _packed(np.bincount((u >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS))) for i, u in shingle_sets(batch.column(1), width)]
             if found:
                 ids, sizes, points = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary())], names=["doc", "size", "point"])
@@ -304,21 +290,101 @@ def _points(width: int):
     return run
 
 
-def _tree_pairs(percent: int):
+def _packed(counts: np.ndarray) -> bytes:
+    shift = max(0, int(counts.max() - 1).bit_length() - 8)
+    while -(-int(counts.max()) >> shift) > 255:
+        shift += 1
+    return np.append(-(-counts >> shift), shift).astype(np.uint8).tobytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    """No count is less than it was."""
+    packed = joined(column, np.uint8).reshape(-1, GROUPS + 1)
+    points, shift = packed[:, :GROUPS], packed[:, GROUPS:]
+    return points.astype(np.int64) << shift if shift.any() else points
+
+
+def _first_pairs(routed: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs ``a, b``: each document with the smallest one that a tree it is in lets through."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups_in_order(batches, ["key", "x", "y"]):
-            if rows.num_rows < 2:
-                continue
-            doc, size, component, block = (rows[c].to_numpy() for c in ("doc", "size", "component", "block"))
-            point = joined(rows["point"], np.int32).reshape(-1, GROUPS)
-            i, j = CountTree(point, size).pairs(percent)
-            ok = (doc[i] < doc[j]) & (component[i] != component[j])
-            if rows["x"][0].as_py() != rows["y"][0].as_py():
-                ok &= block[i] != block[j]
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(doc[i[ok]]), pa.array(doc[j[ok]])], names=["a", "b"])
+        for rows in whole_groups(batches, ["key", "x"]):
+            doc, best = rows["doc"].to_numpy(), np.full(rows.num_rows, rows.num_rows)
+            for i, j in _let_through(rows, ["key", "x"], percent, lambda i, j, doc=doc: doc[i] < doc[j]):
+                np.minimum.at(best, j, i)
+            has = np.flatnonzero(best < len(best))
+            if len(has):
+                yield pa.RecordBatch.from_arrays([pa.array(doc[best[has]]), pa.array(doc[has])], names=["a", "b"])
+
+    blocks = F.ceil(F.col("members") / block)
+    return (
+        routed.withColumn("x", F.pmod(F.xxhash64("doc", "key"), blocks))
+        .repartition("key", "x")
+        .sortWithinPartitions("key", "x", "doc")
+        .mapInArrow(tidy(run), "a long, b long")
+        .distinct()
+    )
 
-    return run
+
+def _open_pairs(routed: DataFrame, groups: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a prefix shingle and that the trees let through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["key", "x", "y"]):
+            doc, component, own, x, y = (rows[c].to_numpy() for c in ("doc", "component", "block", "x", "y"))
+            wanted = lambda i, j: (doc[i] < doc[j]) & (component[i] != component[j]) & ((x[i] == y[i]) | (own[i] != own[j]))  # noqa: B023, E731
+            for i, j in _let_through(rows, ["key", "x", "y"], percent, wanted):
+                yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(doc[j])], names=["a", "b"])
+
+    marked = routed.join(groups, routed["doc"] == groups["node"], "left").select(*routed.columns, F.coalesce("component", "doc").alias("component"))
+    marked = materialize(marked)
+    still = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    blocks = F.ceil(F.col("members") / block)
+    return (
+        marked.join(still.select("key"), "key")
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("x", F.least("block", "other"))
+        .withColumn("y", F.greatest("block", "other"))
+        .select("key", "x", "y", "block", "doc", "size", "component", "point")
+        .repartition("key", "x", "y")
+        .sortWithinPartitions("key", "x", "y", "doc")
+        .mapInArrow(tidy(run), "a long, b long")
+        .distinct()
+    )
+
+
+def _let_through(rows: pa.Table, key: list[str], percent: int, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of one group that are ``wanted`` and that the group's tree lets through. A group of
+    no more documents than a leaf is a tree of one leaf; these are taken together."""
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for k in key:
+        c = rows[k].to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    start = np.flatnonzero(new)
+    length = np.diff(np.append(start, rows.num_rows))
+    size, points = rows["size"].to_numpy(), _unpacked(rows["point"])
+    place = np.arange(rows.num_rows) - np.repeat(start, length)
+    few = np.repeat(length <= LEAF, length)
+    for step in range(1, LEAF):
+        later = np.flatnonzero(few & (place >= step))
+        for lo in range(0, len(later), _AT_ONCE):
+            j = later[lo : lo + _AT_ONCE]
+            i = j - step
+            ok = wanted(i, j) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+            i, j = i[ok], j[ok]
+            bound = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
+            ok = (100 + percent) * bound >= percent * (size[i] + size[j])
+            if ok.any():
+                yield i[ok], j[ok]
+    for at, n in zip(start[length > LEAF].tolist(), length[length > LEAF].tolist(), strict=True):
+        for i, j in CountTree(points[at : at + n].astype(np.int64), size[at : at + n]).visits(percent):
+            i, j = at + np.minimum(i, j), at + np.maximum(i, j)
+            ok = wanted(i, j)
+            if ok.any():
+                yield i[ok], j[ok]
 
 
 class CountTree:
@@ -351,9 +417,13 @@ class CountTree:
             at = np.arange(0, len(most), FAN)
 
     def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of all pairs, either way round, that may link: the sum of minima reaches the overlap
-        that their sizes call for."""
-        out_i, out_j = [], []
+        """Places of all pairs, both ways round, that may link."""
+        found = list(self.visits(percent))
+        return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+    def visits(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of documents and of those that each may link with (itself too): the sum of minima
+        reaches the overlap that their sizes call for. Some documents at a time, from the root down."""
         for lo in range(0, len(self.points), 32):  # bounds the pairs that are held at once
             q = np.arange(lo, min(lo + 32, len(self.points)))
             node = np.zeros(len(q), np.int64)
@@ -367,9 +437,7 @@ class CountTree:
                 cut = np.cumsum(stop - start)
                 node = np.arange(len(q)) - np.repeat(cut - (stop - start), stop - start) + np.repeat(start, stop - start)
             ok = self._may(q, self.points[node], self.sizes[node], self.sizes[node], percent)
-            out_i.append(self.order[q[ok]])
-            out_j.append(self.order[node[ok]])
-        return np.concatenate(out_i), np.concatenate(out_j)
+            yield self.order[q[ok]], self.order[node[ok]]
 
     def _may(self, q: np.ndarray, most: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> np.ndarray:
         own = self.sizes[q]

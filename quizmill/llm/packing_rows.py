@@ -71,6 +71,27 @@ def groups_in_order(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterat
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """Stretches of a partition that Spark has sorted by ``key``, each of whole groups: about a batch of
+    rows, or one group if that is larger."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in key]
+        new = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = bool(held) and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(key, cols, strict=True))
+        at = np.flatnonzero(new)
+        if len(at):
+            yield pa.Table.from_batches([*held, batch.slice(0, int(at[-1]))])
+            held = []
+        held.append(batch.slice(int(at[-1]) if len(at) else 0))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def joined(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
     """The numbers of a column of packed values, one after another."""
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x is not None), dtype)

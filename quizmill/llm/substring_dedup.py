@@ -35,8 +35,8 @@ from .wordhash import Words, words_of
 HELD, BUCKET = 1 << 19, 1 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 8 << 20
-#: Tasks that buckets or groups are dealt to at most; beyond, a task takes several, one after another.
-MOST_TASKS = 50_000
+#: Buckets or groups of a task, one after another, as long as these are not more tasks than the second number.
+EACH, MOST_TASKS = 2, 50_000
 _LAST = 2**63 - 1
 #: Spread ids over the groups of documents, the same way in SQL and in tasks.
 _PRIME, _SPREAD = 2**31 - 1, 1_103_515
@@ -52,7 +52,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     """
     spark = docs.sparkSession
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    mark = F.xxhash64(text_col).bitwiseAND(F.lit(2**32 - 1))
+    # only rows that share an id need a mark of their own
+    unique = docs.groupBy(own.alias("id")).count().where("count > 1").isEmpty()
+    mark = F.lit(0).cast("long") if unique else F.xxhash64(text_col).bitwiseAND(F.lit(2**32 - 1))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = spark.sparkContext.defaultParallelism
     buckets, groups = max(tasks, -(-size // (6 * bucket))), max(tasks, -(-size // group_bytes))
@@ -70,8 +72,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
 
 def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
-    """A task for each bucket; where they are very many, for several."""
-    each = -(-buckets // MOST_TASKS)
+    """Some neighbouring buckets to each task."""
+    each = max(EACH, -(-buckets // MOST_TASKS))
     return rows.repartitionById(-(-buckets // each), F.floor(F.col("bucket") / each).cast("int"))
 
 
@@ -167,7 +169,7 @@ def _unkey(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def _pack(doc: np.ndarray, mark: np.ndarray, count: np.ndarray, start: np.ndarray, length: np.ndarray | None) -> tuple:
     """Runs of windows: of each document its id, mark and number of windows; of each window its start."""
-    return squeezed(np.diff(doc, prepend=0), np.int64), mark.tobytes(), squeezed(count, np.uint32), squeezed(steps(start, count), np.uint32), None if length is None else squeezed(length, np.uint32)
+    return squeezed(np.diff(doc, prepend=0), np.int64), squeezed(mark, np.uint32), squeezed(count, np.uint32), squeezed(steps(start, count), np.uint32), None if length is None else squeezed(length, np.uint32)
 
 
 def _unpack(rows: pa.Table) -> tuple[np.ndarray, ...]:
@@ -178,7 +180,7 @@ def _unpack(rows: pa.Table) -> tuple[np.ndarray, ...]:
     count = [c.astype(np.int64) for c in unsqueezed(rows["counts"], np.uint32)]
     start = [unsteps(s.astype(np.int64), c) for s, c in zip(unsqueezed(rows["starts"], np.uint32), count, strict=True)]
     doc = [np.cumsum(d) for d in unsqueezed(rows["docs"], np.int64)]
-    return np.concatenate(doc), joined(rows["marks"], np.uint32), np.concatenate(count), np.concatenate(start)
+    return np.concatenate(doc), np.concatenate(unsqueezed(rows["marks"], np.uint32)), np.concatenate(count), np.concatenate(start)
 
 
 def _lengths(rows: pa.Table) -> np.ndarray:
