@@ -107,17 +107,21 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE, conv_col: s
 
 def read_back(parts: DataFrame) -> DataFrame:
     """What the formatted parts say: ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars``. Parts must lie as ``format_conversations`` leaves them."""
+    formatted_chars``. Parts must lie as ``format_conversations`` leaves them, each conversation's in order
+    and in one partition; others raise an error."""
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     names = [x.split()[0] for x in schema.split(", ")]
     turn = re.compile(f"{re.escape(START)}(.*?)\n(.*?){re.escape(STOP)}\n", re.S)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = lambda: [0, hashlib.sha256(), 0, hashlib.sha256(), 0, ""]
-        now = fresh()
+        now, follows = fresh(), (None, 0)
         for b in batches:
             done = []
-            for conv, _, last, text, loss in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for conv, part, last, text, loss in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part != (follows[1] if conv == follows[0] else 0):
+                    raise ValueError(f"part {part} of conversation {conv} is out of order")
+                follows = (None, 0) if last else (conv, part + 1)
                 for i in range(0, len(loss), 2):
                     said = unescape(text[loss[i] : loss[i + 1]])
                     now[2] += len(said)

@@ -3,10 +3,10 @@
 A text's vector counts its character n-grams (1 to 3, letters lower-cased, other characters one
 blank) hashed into ``DIMS`` dimensions, damped by a logarithm, weighted by inverse document frequency
 and normalised. Each language has several centroids, from spherical k-means over a sample of labelled
-documents of at most ``SAMPLE`` rows in all, chosen by a hash of the id; frequencies come from that
+documents of a bounded number of rows, chosen by a hash of the id; frequencies come from that
 sample too, being part of the classifier. A text takes the language of the centroid with the greatest
-cosine. It is rejected if it has no letter, or if that cosine is under ``SLACK`` times the least one
-that any sampled text of similar length has.
+cosine. It is rejected if it has no letter, or if that cosine is far under those that sampled texts of the
+language and of similar length have: under a share of their low quantile.
 
 Nulls: a null text has no letter. Rows with a null language or id teach nothing. Without labelled
 rows every text is ``und`` with score 0. Ties go to the smaller code. An empty table gives no rows.
@@ -14,7 +14,6 @@ rows every text is ``und`` with score 0. Ties go to the smaller code. An empty t
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,11 @@ from pyspark.sql.types import StructType
 
 from .tasks import tidy
 
-DIMS, SAMPLE, CENTROIDS, SLACK = 2048, 4000, 3, 0.5
+#: Dimensions of a vector, labelled rows of the sample (about, and at most twice), centroids of a language.
+DIMS, SAMPLE, CENTROIDS = 2048, 4000, 3
+#: Share of a language's texts that a centroid needs. Texts are rejected under ``SLACK`` times the ``LOW``
+#: quantile of the cosines of texts of their length; a length with less than ``FEW`` texts has no quantile.
+SHARE, SLACK, LOW, FEW = 0.05, 0.75, 0.02, 20
 _LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
 _U = np.uint32
 
@@ -59,15 +62,21 @@ class Centroids:
         langs_ = np.array(langs)
         self.centroids = np.concatenate([_spherical_means(x[langs_ == name]) for name in self.names])
         self.owner = np.repeat(np.arange(len(self.names)), CENTROIDS)
-        best, _ = self._best(x)
-        least: dict[int, float] = {}
-        for n, s in zip(letters.tolist(), best.tolist(), strict=True):
-            k = int(math.log2(n + 1))
-            least[k] = min(least.get(k, 1.0), s)
-        floor, self.least = 1.0, np.zeros(64)
-        for k in range(63, -1, -1):  # shorter texts are never held to more than longer ones
-            floor = min(floor, least.get(k, floor))
-            self.least[k] = SLACK * floor if k >= min(least) else 0.0
+        best, name = self._best(x)
+        length = np.log2(letters + 1).astype(np.int64)
+        self.least = np.stack([self._limits(best[name == k], length[name == k]) for k in range(len(self.names))])
+
+    @staticmethod
+    def _limits(best: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The least cosine of a text that isn't rejected, by the binary logarithm of its letters."""
+        low = {k: float(np.quantile(best[length == k], LOW)) for k in np.unique(length).tolist() if (length == k).sum() >= FEW}
+        floor, out = min(low.values(), default=0.0), np.zeros(64)
+        for k in range(64):
+            # lengths with few texts have the limit of the shorter ones; the shortest have none
+            floor = low.get(k, floor if low and k > min(low) else 0.0)
+            out[k] = floor
+        # shorter texts are never held to more than longer ones
+        return SLACK * np.minimum.accumulate(out[::-1])[::-1]
 
     def _normal(self, vectors: np.ndarray) -> np.ndarray:
         x = vectors * self.idf
@@ -81,20 +90,19 @@ class Centroids:
     def predict(self, vectors: np.ndarray, letters: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         score, name = self._best(self._normal(vectors))
         score = np.where(letters > 0, np.clip(score, 0, 1), 0.0).astype(np.float64)
-        rejected = (letters == 0) | (score < self.least[np.log2(letters + 1).astype(np.int64)])
+        rejected = (letters == 0) | (score < self.least[name, np.log2(letters + 1).astype(np.int64)])
         return [self.names[k] if n else "und" for k, n in zip(name.tolist(), letters.tolist(), strict=True)], score, rejected
 
 
 def _spherical_means(x: np.ndarray) -> np.ndarray:
-    """``CENTROIDS`` unit vectors, from starts that lie far apart."""
-    centre = [x.mean(axis=0)]
-    for _ in range(CENTROIDS - 1):
-        centre.append(x[int(np.argmin((x @ np.stack(centre).T).max(axis=1)))])
-    means = np.stack(centre)
+    """``CENTROIDS`` unit vectors. They start from equal shares of the texts in the order of their cosine
+    with the mean, so an odd text is no start; one that keeps few texts becomes the mean of all."""
+    whole = x.mean(axis=0)
+    means = np.stack([x[part].mean(axis=0) if len(part) else whole for part in np.array_split(np.argsort(-(x @ whole), kind="stable"), CENTROIDS)])
     for _ in range(10):
         means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
         near = (x @ means.T).argmax(axis=1)
-        means = np.stack([x[near == k].mean(axis=0) if (near == k).any() else means[k] for k in range(CENTROIDS)])
+        means = np.stack([x[near == k].mean(axis=0) if (near == k).sum() >= SHARE * len(x) else whole for k in range(CENTROIDS)])
     return means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
 
 
@@ -102,17 +110,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids | None:
-    """A classifier from the labelled rows that aren't held out; None without any."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE) -> Centroids | None:
+    """A classifier from the labelled rows that aren't held out; None without any. ``size`` bounds the
+    sample, about, and with it the number of languages: more raise an error."""
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE).collect()}
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().limit(size + 1).collect()}
     if not counts:
         return None
-    each = max(1, SAMPLE // len(counts))
+    if len(counts) > size:
+        raise ValueError(f"more than {size} languages: a larger sample is needed")
+    each = max(1, size // len(counts))
     parts = 1_000_000
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(parts, -(-each * parts // n)))])
     sample = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0)))
-    found = sample.mapInArrow(tidy(_vectors), "lang string, letters long, vector binary").where("letters > 0").limit(2 * SAMPLE).collect()
+    found = sample.mapInArrow(tidy(_vectors), "lang string, letters long, vector binary").where("letters > 0").limit(2 * size).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.lang, r.vector))

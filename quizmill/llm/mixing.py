@@ -136,14 +136,15 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CA
     stream), and the slots: ``shard, number, turn, block``."""
     spark = sized.sparkSession
     kinds = materialize(sized.groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("n"), F.min("row").alias("row")))
+    n_kinds, most = kinds.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
     sources = source_targets(kinds.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap)
     blocks = F.ceil(F.col("source_size") / block)
     slots = F.when(blocks > 0, F.least(blocks * cap, F.round(F.col("target") * blocks / F.col("source_size")).cast("long"))).otherwise(0)
     sources = materialize(sources.withColumn("blocks", blocks).withColumn("slots", slots))
     named = sources.select(F.col("source").alias("source_name"), "number", "source_size", "target")
     rows = kinds.join(named, F.col("source").eqNullSafe(F.col("source_name"))).drop("source_name").withColumn("_all", F.col("size") * F.col("n"))
-    rows = running_sum(rows, "_all", ["number"], ["doc_id", "size", "mark"], kinds.count(), "_first", bucket, in_range)
-    rows = copies(rows, "n", "copy").withColumn("start", F.col("_first") + F.col("copy") * F.col("size")).drop("_first", "_all", "n")
+    rows = running_sum(rows, "_all", ["number"], ["doc_id", "size", "mark"], n_kinds, "_first", bucket, in_range)
+    rows = copies(rows, "n", "copy", most).withColumn("start", F.col("_first") + F.col("copy") * F.col("size")).drop("_first", "_all", "n")
     total = sources.agg(F.sum("slots")).first()[0] or 0
     shards, tasks = max(1, -(-total // shard_slots)), max(1, -(-total // TASK_SLOTS))
     drawn = sources.select("number", "blocks", "slots").mapInArrow(tidy(_shard_draws(shards, seed, fan)), "number long, blocks long, lo long, hi long, first long, n long")

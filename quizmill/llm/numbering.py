@@ -38,12 +38,15 @@ def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str],
     )
 
 
-def copies(rows: DataFrame, n: str, out: str, part: int = COPIES) -> DataFrame:
-    """Each row ``n`` times, numbered from 0 in ``out``. A row that stands for very many is dealt out
-    over tasks in parts of ``part`` copies."""
+def copies(rows: DataFrame, n: str, out: str, most: int, part: int = COPIES) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``out``; ``most`` is the greatest ``n``. A row that stands
+    for very many is dealt out over tasks in parts of ``part`` copies."""
+    if most <= part:
+        return rows.withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    rows = materialize(rows)
     few = rows.where(F.col(n) <= part).withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = rows.where(F.col(n) > part).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {part}")))).repartition(tasks, "_part")
+    parts = rows.where(F.col(n) > part).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {part}")))).repartitionById(tasks, F.pmod("_part", F.lit(tasks)).cast("int"))
     last = F.least(F.col(n), (F.col("_part") + 1) * part) - 1
     return few.unionByName(parts.withColumn(out, F.explode(F.sequence(F.col("_part") * part, last))).drop("_part"))
 

@@ -1,3 +1,36 @@
-"""DuckDB SQL with the same rows as the queries, where SQL can express them."""
+"""DuckDB SQL with the same rows as the queries, where SQL can express them.
 
-ORACLES: dict[str, str] = {}
+The others can't be: approximate search, a trained classifier, keyed permutations and draws, tokenizers
+and templates. Tests hold those against plain versions."""
+
+from __future__ import annotations
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": f"""
+with recursive d as (select doc_id, {_WORDS.format(_LOWER)} as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s from d),
+e as (select doc_id, len(s) as n, unnest(s) as k from s),
+pairs as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as m, any_value(b.n) as n, count(*) as shared from e a join e b on a.k = b.k and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs where 100 * shared >= 90 * (m + n - shared)),
+ways as (select a, b from links union select b, a from links),
+reached as (select doc_id as a, doc_id as b from s union select reached.a, ways.b from reached join ways on reached.b = ways.a)
+select doc_id, len(s) as n_shingles, component_id from s join (select a as doc_id, min(b) as component_id from reached group by 1) using (doc_id)""",
+    "op6_maxscore": """
+with v as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as w from embeddings
+           where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select q.r as q, q.vec_id as query_id, v.vec_id, cast(list_dot_product(q.w, v.w) as bigint) as score from v q join v on q.r <> v.r and len(q.w) = len(v.w) where q.vec_id % 20 = 0)
+select query_id, cast(row_number() over (partition by q order by score desc, vec_id) as int) as rank, vec_id, score from p
+qualify row_number() over (partition by q order by score desc, vec_id) <= 20""",
+    "op9_substring_dedup": f"""
+with d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+windows as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as k from d, unnest(range(1, len(w) - 18)) t(i)),
+again as (select doc_id, i from windows qualify row_number() over (partition by k order by doc_id, i) > 1),
+gone as (select distinct doc_id, i + j as p from again, unnest(range(0, 20)) t(j)),
+words as (select doc_id, p, w[p] as x from d, unnest(range(1, len(w) + 1)) t(p)),
+kept as (select doc_id, count(*) as n, string_agg(x, ' ' order by p) as s from words anti join gone using (doc_id, p) group by 1)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(s, '')) as kept_sha256 from d left join kept using (doc_id)""",
+}

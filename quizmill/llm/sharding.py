@@ -77,9 +77,9 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 1, id_col: str = "
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     kinds = materialize(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n")))
-    n_kinds, n = kinds.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    n_kinds, n, most = kinds.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
     kinds = running_sum(kinds, "_n", [], ["doc_id", "text_crc32", "size"], n_kinds, "_first", bucket, in_range)
-    rows = copies(kinds, "_n", "_copy").withColumn("row_number", F.col("_first") + F.col("_copy"))
+    rows = copies(kinds, "_n", "_copy", most).withColumn("row_number", F.col("_first") + F.col("_copy"))
     rows = rows.withColumn("_place", permuted(F.col("row_number"), max(n, 1), seed))
     return rows.select(
         "doc_id",
