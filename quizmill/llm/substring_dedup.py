@@ -8,8 +8,8 @@ times sends only the first occurrence and settles the others itself, so a passag
 documents reaches its bucket once a task, not once a document.
 
 Two windows count as equal if they agree in bucket, in 56 bits of the first hash and in 24 bits of the
-second: different ones do with a probability of ``2**-80`` over the number of buckets. Of ``n`` windows
-about ``n * n / (buckets * 2**81)`` are expected to be removed wrongly: of 10**13, in millions of buckets, none.
+second. A bucket fixes up to 8 bits more, so from 256 buckets on different windows do with a probability of
+``2**-88``: of ``n`` windows about ``n * n / 2**89`` are expected to be removed wrongly, 0.2 of 10**13.
 
 Nulls: a null text has no words. A null id counts as the largest. Rows that share id and text are
 copies of one document and fare alike; rows that share an id only are ordered by a hash of their
@@ -32,11 +32,11 @@ from .tasks import tidy
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 19, 1 << 20
+HELD, BUCKET = 1 << 19, 2 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
-GROUP_BYTES = 8 << 20
-#: Buckets or groups of a task, one after another, as long as these are not more tasks than the second number.
-EACH, MOST_TASKS = 2, 50_000
+GROUP_BYTES = 16 << 20
+#: Tasks that buckets or groups are dealt to at most; beyond, a task takes several, one after another.
+MOST_TASKS = 50_000
 _LAST = 2**63 - 1
 #: Spread ids over the groups of documents, the same way in SQL and in tasks.
 _PRIME, _SPREAD = 2**31 - 1, 1_103_515
@@ -72,8 +72,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
 
 def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
-    """Some neighbouring buckets to each task."""
-    each = max(EACH, -(-buckets // MOST_TASKS))
+    """A task for each bucket; where they are very many, for some neighbours."""
+    each = -(-buckets // MOST_TASKS)
     return rows.repartitionById(-(-buckets // each), F.floor(F.col("bucket") / each).cast("int"))
 
 
