@@ -150,6 +150,15 @@ _EDGE = "[\"'`«»\\s]+"
 _CLEAN = f"""select conv_id, turn, trim(case when ends_with(d, '.') and not ends_with(d, '..') then d[:-2] else d end, ' ' || chr(9) || chr(10) || chr(13)) as ai_answer
   from (select *, regexp_replace(regexp_replace(regexp_replace(trim(string_split(trim(regexp_replace(coalesce(text, ''), '<think>.*?</think>', '', 'gis'), ' ' || chr(9) || chr(10) || chr(13)), chr(10))[1], ' ' || chr(9) || chr(13)),
     '^(answer|réponse)\\s*[:\\-]\\s*', '', 'i'), '^{_EDGE.replace("'", "''")}', ''), '{_EDGE.replace("'", "''")}$', '') as d from said)"""
+#: The token-set ratio: sets of words, what they share and what is left, and the longest common
+#: subsequence of the rests by bits (a text's places that hold a character, one character of the other at a time).
+_FUZZY = _AQ + f""", sets as (select question_id, model_slug, prompt_variant, list_sort(list_distinct(list_filter(string_split({_bare('ai_answer')}, ' '), lambda w: w <> ''))) as x,
+    list_sort(list_distinct(list_filter(string_split(correct_answer_norm, ' '), lambda w: w <> ''))) as y from aq),
+rests as (select *, array_to_string(list_filter(x, lambda w: list_contains(y, w)), ' ') as held, array_to_string(list_filter(x, lambda w: not list_contains(y, w)), ' ') as l, array_to_string(list_filter(y, lambda w: not list_contains(x, w)), ' ') as r from sets),
+bits as (select *, (1::hugeint << length(l)) - 1 as whole, list_transform(string_split(r, ''), lambda c: coalesce(list_sum(list_transform(range(1, length(l) + 1), lambda i: case when l[i] = c then 1::hugeint << cast(i - 1 as int) else 0::hugeint end)), 0)::hugeint) as masks from rests),
+common as (select *, length(l) - case when l = '' or r = '' then length(l) else bit_count(list_reduce(list_prepend(whole, masks), lambda v, m: ((v + (v & m)) | (v - (v & m))) & whole)) end as shared,
+    length(held) as n, case when held = '' then 0 else 1 end as gap from bits),
+sizes as (select *, n + gap + length(l) as p, n + gap + length(r) as q from common)"""
 _PROBE_ABOUT = "'Category: <category>' || chr(10) || 'Difficulty: <difficulty>' || chr(10) || 'Question: <probe>' || chr(10)"
 _HASHES = f"""probes as (
   select 'p1_constrained_mcq' as prompt_variant, {_SYSTEM['p1_constrained_mcq']} as system,
@@ -191,6 +200,7 @@ ORACLES: dict[str, str] = {
     "io_run_summary": _with(_ALL, "select run_id, model_name, model_slug, string_agg(distinct prompt_variant, '|' order by prompt_variant) as variants, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status <> 'ok') as n_error, max(answered_at) as finished_at, max(host) as host, max(hardware) as hardware from aa group by 1, 2, 3"),
     "sc_boolean": _with(_A, f"select question_id, model_slug, prompt_variant, {_truth(_bare('ai_answer'))} as label from a"),
     "sc_reference": _with(_AQ, f"select question_id, model_slug, prompt_variant, {_NAMED} as named, {_GUARDED} as guarded from aq"),
+    "sc_fuzzy": _with(_FUZZY, "select question_id, model_slug, prompt_variant, round(case when len(x) = 0 or len(y) = 0 then 0.0 when n > 0 and (l = '' or r = '') then 100.0 when n > 0 then greatest(200.0::double * (n + gap + shared) / (p + q), 200.0::double * n / (n + p), 200.0::double * n / (n + q)) else 200.0::double * shared / (p + q) end, 6) as score from sizes"),
     "sc_single_choice": _with(_AQ, f"select question_id, model_slug, prompt_variant, case when len(list_filter(choices_norm, lambda c: c = m)) = 1 then choices[list_position(choices_norm, m)] end as choice from (select *, {_bare('ai_answer')} as m from aq)"),
     "jd_cascade": _with(_CASCADE, f"select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, n as ai_answer_norm, case match_method when 'exact' then 100.0 when 'fuzzy' then 100.0 when 'undecided' then null else 0.0 end::double as fuzzy_score from j3"),
     "jd_arbitrate": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, 'arbiter' as judge_model, 'v1' as judgment_version, '2026-01-03' as judged_at
