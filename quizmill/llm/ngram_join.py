@@ -48,6 +48,8 @@ SKETCH = 1 << 22
 GROUPS, LEAF, FAN = 128, 16, 8
 #: Documents in a tree at first, and in a block of those that meet across components.
 BLOCK, WIDE_BLOCK = 512, 2048
+#: Tasks, at most, that the rows of one class are dealt to.
+SALTS = 32
 #: Pairs whose bounds are taken at once.
 _AT_ONCE = 1 << 15
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
@@ -64,7 +66,9 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     sizes = materialize(docs.mapInArrow(tidy(_sizes(width)), "doc_id long, n long, sampled long, s1 long, s2 long"))
     known = sizes.where("n > 0 and doc_id is not null")
     classes = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail"), F.max("sampled").alias("sampled"))
-    copies = known.join(classes.where("head <> tail").select("s1", "s2", "n", "head"), ["s1", "s2", "n"]).where("doc_id <> head")
+    # a class may hold a third of all rows: its rows meet its head in several tasks
+    repeated = classes.where("head <> tail").select("s1", "s2", "n", "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    copies = known.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(repeated, ["s1", "s2", "n", "salt"]).where("doc_id <> head")
     copies = copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
 
     texts = _survivors(docs, sizes, classes, width, percent)
