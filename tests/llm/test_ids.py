@@ -59,3 +59,19 @@ def test_passages_of_documents_without_an_id_go(spark):
     docs = spark.createDataFrame([(5, a, "en", "x"), (None, a, "en", "x"), (None, b, "en", "x"), (None, b, "en", "x"), (None, c, "en", "y"), (None, None, "en", "y"), (None, "", "en", "y")], DOCS)
     got = rows(corpus_pipeline.substring_dedup(spark, docs, ""))
     assert got == rows(spark.createDataFrame([(5, a, "en", "x"), (None, b, "en", "x"), (None, c, "en", "y"), (None, None, "en", "y"), (None, "", "en", "y")], DOCS))
+
+
+def test_stages_of_empty_and_odd_tables(spark):
+    """Every stage takes an empty table, null ids and texts, ids shared by different rows, and columns that clash."""
+    schema = DOCS + ", row string, size int, mark string, n_chars long"
+    empty = spark.createDataFrame([], schema)
+    odd = spark.createDataFrame([(1, text("a"), "en", "x", "r", 1, "m", 0), (1, text("b"), None, None, "r", 1, "m", 0), (None, text("c"), "en", None, "r", None, "m", 0), (None, None, None, None, None, None, None, None), (3, "", "en", "x", "r", 1, "m", 0)] * 2, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0, name
+        out = stage(spark, odd, "")
+        assert name == "best_fit" or out.columns == odd.columns
+        assert out.count() > 0, name
+    once = corpus_pipeline.ngram_join(spark, odd, "")
+    assert once.where("doc_id = 1").count() == 2 and once.where("doc_id is null and text is not null").count() == 1
+    mixed = corpus_pipeline.mixing(spark, once, "")
+    assert all(r.n_chars == len(r.text) and r.mark == "m" for r in mixed.collect())
