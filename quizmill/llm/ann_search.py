@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .scratch import materialize
 from .vector_blocks import QUERIES, SAMPLE, SHARD, ranked, sample_of, top_pairs, usable, visit, with_bounds
 
-PROJECTIONS, STEPS, MARGIN, HIT, DEVIATIONS = 64, 128, 1.5, 0.86, 0.5
-_WIDER = (1.0, 1.2, 1.5, np.inf)
+PROJECTIONS, STEPS, MARGIN, HIT, DEVIATIONS = 64, 128, 2.0, 0.86, 0.3
+_WIDER = (1.0, 1.08, 1.2, np.inf)
 
 
 def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 1, shard: int = SHARD, group: int = QUERIES, sample: int = SAMPLE) -> DataFrame:
