@@ -1,4 +1,4 @@
-"""Tables that cut lineage, kept in the folder that the cluster names for checkpoints."""
+"""Tables that cut lineage, kept in the folder that the cluster names for checkpoints, one folder an application."""
 
 from __future__ import annotations
 
@@ -24,6 +24,6 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: later jobs, and retries after
     a lost executor, start from that table."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
