@@ -28,7 +28,8 @@ def _documents(found: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no language's centroid is near, or without a letter, go."""
+    """Documents that no language's centroid is near, or without a letter (null texts too), go. Ids only
+    choose rows for the fit: rows that share an id or have none are judged each on its own."""
     return _documents(identify(docs, fit(docs), keep_text=True).where("not rejected"), docs)
 
 
@@ -98,13 +99,15 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources come near their target shares, by whole blocks of words."""
+    """Sources come near their target shares, by whole blocks of words. Rows count each on their own, whether
+    they share an id or have none; texts without words leave."""
     found = mixed_documents(docs)
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences of at most 2048."""
+    """The documents' tokens in sequences of at most 2048; rows that share an id or have none are packed
+    each on their own, null texts as empty ones."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
