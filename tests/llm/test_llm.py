@@ -89,6 +89,20 @@ def test_targets(spark, sizes):
     assert [r.target for r in got] == pytest.approx(targets(sizes)) and [r.source_size for r in got] == sizes
 
 
+def test_targets_of_many_sources(spark):
+    """Ranks go on over partitions, and more sources than any driver-side limit would allow need no special way."""
+    from plain_versions import targets
+
+    from quizmill.llm.mixing import source_targets
+
+    names = sorted(f"{i * 7919 % 100_003:x}é" for i in range(6000))
+    sizes = [(i * i) % 977 + (5_000_000 if i % 1500 == 0 else 0) for i in range(6000)]
+    sources = spark.createDataFrame(list(zip(names, sizes, strict=True))[::-1], "source string, source_size long").repartition(9)
+    got = source_targets(sources).orderBy("number").collect()
+    assert [r.source for r in got] == names and [r.number for r in got] == list(range(6000))
+    assert [r.target for r in got] == pytest.approx(targets(sizes))
+
+
 def test_mix(docs):
     from quizmill.llm.mixing import mix, mixed_documents
 
