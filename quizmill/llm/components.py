@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from .scratch import materialize
 
+#: Tasks, at most, that the edges of one node are dealt to.
+SALTS = 16
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for each node of ``edges(a, b)``: component is its smallest reachable node.
 
     Alternating large-star and small-star contractions; each step is an aggregation (combined before
-    the shuffle, so a node with very many edges is no hot group) and an equi-join, and is written to
-    the shared folder. Null ends, loops and repeated edges have no effect; no edges give no rows.
+    the shuffle) and an equi-join, in which the edges of a node with very many are dealt to ``SALTS``
+    tasks, and is written to the shared folder. Null ends, loops and repeated edges have no effect; no edges give no rows.
     """
     now = materialize(
         edges.where("a is not null and b is not null and a <> b")
@@ -37,7 +40,9 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    greater = both.where("b > a").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    return greater.join(least, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
