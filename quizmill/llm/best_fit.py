@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from .numbering import dealt
 from .scratch import materialize
 from .tasks import tidy
 
@@ -89,8 +90,7 @@ def pack(found: DataFrame, limit: int = 2048, task_tokens: int = TASK_TOKENS, op
     runs = max(1, -(-n // (tasks * run)))
     part = lambda k, salt: F.pmod(F.xxhash64("_row", F.lit(salt)), F.lit(k)).cast("int")
     return (
-        kept.withColumns({"task": part(tasks, 1), "_run": part(runs, 2)})
-        .repartitionById(tasks, F.col("task"))
+        dealt(kept.withColumns({"task": part(tasks, 1), "_run": part(runs, 2)}), F.col("task"), tasks)
         .sortWithinPartitions("task", "_run", F.desc("length"), "_row")
         .drop("_row", "_run")
         .mapInArrow(tidy(_place(limit, open_bins)), StructType([*found.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))

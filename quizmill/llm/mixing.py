@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from .numbering import BUCKET, RANGE, copies, numbered, running_sum
+from .numbering import BUCKET, MOST_TASKS, RANGE, copies, numbered, running_sum
 from .scratch import materialize
 from .tasks import tidy
 from .wordhash import scramble
@@ -146,7 +146,7 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CA
     rows = running_sum(rows, "_all", ["number"], ["doc_id", "size", "mark"], n_kinds, "_first", bucket, in_range)
     rows = copies(rows, "n", "copy", most).withColumn("start", F.col("_first") + F.col("copy") * F.col("size")).drop("_first", "_all", "n")
     total = sources.agg(F.sum("slots")).first()[0] or 0
-    shards, tasks = max(1, -(-total // shard_slots)), max(1, -(-total // TASK_SLOTS))
+    shards, tasks = max(1, -(-total // shard_slots)), min(MOST_TASKS, max(1, -(-total // TASK_SLOTS)))
     drawn = sources.select("number", "blocks", "slots").mapInArrow(tidy(_shard_draws(shards, seed, fan)), "number long, blocks long, lo long, hi long, first long, n long")
     slots = drawn.repartition(tasks, "number", "lo").mapInArrow(tidy(_slots(seed, at_once)), "shard long, number long, turn int, block long")
     return materialize(rows), slots

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .numbering import dealt
 from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, whole_groups
 from .scratch import materialize
 from .tasks import tidy
@@ -105,8 +106,7 @@ def _survivors(docs: DataFrame, sizes: DataFrame, classes: DataFrame, width: int
     total = sizes.agg(F.sum("sampled")).first()[0] or 0
     buckets = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET))
     counts = (
-        docs.mapInArrow(tidy(_send_sampled(width, buckets)), "bucket int, hashes binary, docs binary, counts binary")
-        .repartition(-(-buckets // 4), "bucket")
+        dealt(docs.mapInArrow(tidy(_send_sampled(width, buckets)), "bucket int, hashes binary, docs binary, counts binary"), F.floor(F.col("bucket") / 4), -(-buckets // 4))
         .sortWithinPartitions("bucket")
         .mapInArrow(tidy(_count_shared), "doc long, shared long")
         .groupBy("doc")

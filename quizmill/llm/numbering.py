@@ -1,14 +1,23 @@
-"""Running sums over very many rows, without a window over all of them or over a large group; row numbers."""
+"""Running sums over very many rows, without a window over all of them or over a large group; row numbers;
+dealing rows out to tasks by a number."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import materialize
 
 #: Rows of a bucket and buckets of a range, on average; copies of one row that a task makes at once.
 BUCKET, RANGE, COPIES = 512, 4096, 4096
+#: Tasks that rows are dealt to by number at most; beyond, a task gets the rows of several numbers.
+MOST_TASKS = 50_000
+
+
+def dealt(rows: DataFrame, number: Column, n: int, most: int = MOST_TASKS) -> DataFrame:
+    """``rows`` with those of each ``number`` (from 0 to ``n - 1``) in one task, neighbours together."""
+    each = -(-n // most)
+    return rows.repartitionById(-(-n // each), F.floor(number / each).cast("int"))
 
 
 def running_sum(rows: DataFrame, value: str, group: list[str], order: list[str], n_rows: int, out: str, bucket: int = BUCKET, in_range: int = RANGE) -> DataFrame:

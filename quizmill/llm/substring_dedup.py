@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .numbering import dealt
 from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, squeezed, steps, unsqueezed, unsteps
 from .tasks import tidy
 from .wordhash import Words, words_of
@@ -35,8 +36,6 @@ from .wordhash import Words, words_of
 HELD, BUCKET = 1 << 19, 2 << 20
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 16 << 20
-#: Tasks that buckets or groups are dealt to at most; beyond, a task takes several, one after another.
-MOST_TASKS = 50_000
 _LAST = 2**63 - 1
 #: Spread ids over the groups of documents, the same way in SQL and in tasks.
 _PRIME, _SPREAD = 2**31 - 1, 1_103_515
@@ -59,7 +58,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     tasks = spark.sparkContext.defaultParallelism
     buckets, groups = max(tasks, -(-size // (6 * bucket))), max(tasks, -(-size // group_bytes))
     told = (
-        _dealt(docs.select(own.alias("doc"), mark.alias("mark"), F.col(text_col).alias("text")).mapInArrow(tidy(_send_windows(window, buckets, held)), _SENT), buckets)
+        dealt(docs.select(own.alias("doc"), mark.alias("mark"), F.col(text_col).alias("text")).mapInArrow(tidy(_send_windows(window, buckets, held)), _SENT), F.col("bucket"), buckets)
         .sortWithinPartitions("bucket")
         .mapInArrow(tidy(_settle(groups)), _TOLD)
     )
@@ -68,13 +67,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     texts = docs.select(spread.cast("int").alias("bucket"), own.alias("doc"), mark.alias("mark"), F.struct(*rest).alias("row"), F.col(text_col).alias("text"))
     both = texts.unionByName(told, allowMissingColumns=True)
     out = StructType([texts.schema["row"]]).add("text", "string").add("n_words", "long").add("n_removed", "long")
-    return _dealt(both.withColumn("second", F.col("docs").isNull()), groups).sortWithinPartitions("bucket", "second").mapInArrow(tidy(_cut(window, joined_words)), out)
-
-
-def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
-    """A task for each bucket; where they are very many, for some neighbours."""
-    each = -(-buckets // MOST_TASKS)
-    return rows.repartitionById(-(-buckets // each), F.floor(F.col("bucket") / each).cast("int"))
+    return dealt(both.withColumn("second", F.col("docs").isNull()), F.col("bucket"), groups).sortWithinPartitions("bucket", "second").mapInArrow(tidy(_cut(window, joined_words)), out)
 
 
 def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import dealt
 from .tasks import tidy
 
 #: Vectors of a shard and queries that share a copy of it, on average; queries answered at once; vectors
@@ -88,7 +89,7 @@ def visit(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int, index:
                 if len(place):
                     yield pa.RecordBatch.from_arrays([pa.array(own[cut][place]), pa.array(ids[cut][place]), pa.array(vec), pa.array(score)], names=["query", "query_id", "vec_id", "score"])
 
-    both = left.unionByName(right).repartitionById(shards * groups, F.col("shard") * groups + F.col("group"))
+    both = dealt(left.unionByName(right), F.col("shard").cast("long") * groups + F.col("group"), shards * groups)
     return both.sortWithinPartitions("shard", "group", "dim", "side", "row").mapInArrow(tidy(run), f"query long, query_id long, vec_id long, score {score_type}")
 
 

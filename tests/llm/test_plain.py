@@ -11,9 +11,11 @@ import numpy as np
 import pytest
 import xxhash
 from plain_versions import targets
+from pyspark.sql import functions as F
 
 from quizmill.llm.language_id import DIMS, Centroids, fit, identify, vector
 from quizmill.llm.mixing import mix, mixed_documents, plan_mix
+from quizmill.llm.numbering import dealt
 from quizmill.llm.queries import QUERIES
 from quizmill.llm.scratch import materialize
 from quizmill.llm.sharding import ROUNDS, shard_rows
@@ -60,6 +62,14 @@ def test_equal_rows_spread(spark):
     assert sum(hot) == 10_001 and max(hot) <= 4097 and sum(n > 1000 for n in hot) == 3
 
 
+def test_numbers_are_dealt_to_few_tasks(spark):
+    """Rows of one number stay together, neighbours share a task where there are more numbers than tasks."""
+    rows = spark.range(3000).selectExpr("id % 100 as n")
+    parts = [{r.n for r in p} for p in dealt(rows, F.col("n"), 100, most=7).rdd.glom().collect()]
+    assert len(parts) == 7 and sorted(x for p in parts for x in p) == list(range(100)) and max(map(len, parts)) == 15
+    assert len(dealt(rows, F.col("n"), 100).rdd.glom().collect()) == 100
+
+
 DOCS = "doc_id long, text string, source string, kind string"
 
 
