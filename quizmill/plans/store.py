@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _PATHS: dict[tuple[str, str, str], str] = {}
@@ -31,10 +32,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name`` over the tables of ``sf_dir``, built by the first query of the session that asks for it."""
+    """The table ``name`` over the tables of ``sf_dir``, built by the first query of the session that asks
+    for it, and again where its folder was cleared since."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PATHS:
-        path = fresh_path(spark, name)
-        build().write.parquet(path)
-        _PATHS[key] = path
-    return spark.read.parquet(_PATHS[key])
+    if key in _PATHS:
+        try:
+            return spark.read.parquet(_PATHS[key])
+        except AnalysisException:  # no such path
+            del _PATHS[key]
+    path = fresh_path(spark, name)
+    build().write.parquet(path)
+    _PATHS[key] = path
+    return spark.read.parquet(path)

@@ -58,3 +58,21 @@ def test_pending_of_all_models(spark):
     asked = [r.question_id for r in V.questions(spark, SF).select("question_id").collect()]
     want = sorted((q, v, m) for q in asked for v in variants for m in {r.model_slug for r in given} if (q, v, m) not in done)
     assert sorted(map(tuple, QUERIES["pr_pending_all"](spark, SF).collect())) == want and len({m for _, _, m in want}) == 4
+
+
+def test_stored_tables_are_built_once_and_again_when_cleared(spark, tmp_path):
+    import shutil
+
+    from quizmill.plans import store
+
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    for _ in range(2):
+        assert store.stored(spark, str(tmp_path), "numbers", build).count() == 3
+    assert len(built) == 1
+    shutil.rmtree(store._PATHS[spark.sparkContext.applicationId, str(tmp_path), "numbers"])
+    assert store.stored(spark, str(tmp_path), "numbers", build).count() == 3 and len(built) == 2
