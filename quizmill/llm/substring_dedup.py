@@ -33,7 +33,7 @@ from .tasks import tidy
 from .wordhash import Words, words_of
 
 #: Windows that a task keeps before it sends them, and that a bucket holds on average.
-HELD, BUCKET = 1 << 19, 2 << 20
+HELD, BUCKET = 1 << 19, 3 << 19
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 16 << 20
 _LAST = 2**63 - 1

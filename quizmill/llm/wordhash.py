@@ -14,8 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text taken at once; a longer text is taken alone.
-CHUNK_BYTES = 1 << 20
+#: Bytes and rows of text taken at once; a longer text is taken alone.
+CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 1024
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -80,17 +80,16 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(column: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """The words of a batch's texts, some MB at a time."""
-    if not len(column):
-        return
-    data, offsets = _buffers(column)
-    lo = 0
-    while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1)
-        hi = min(hi, len(column))
-        part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        yield _words(part, at, lo, lower)
-        lo = hi
+    """The words of a batch's texts, about ``CHUNK_BYTES`` at a time; only some rows are converted at once."""
+    for base in range(0, len(column), CHUNK_ROWS):
+        data, offsets = _buffers(column.slice(base, CHUNK_ROWS))
+        lo, rows = 0, len(offsets) - 1
+        while lo < rows:
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1)
+            hi = min(hi, rows)
+            part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            yield _words(part, at, base + lo, lower)
+            lo = hi
 
 
 def _words(data: np.ndarray, at: np.ndarray, lo: int, lower: bool) -> Words:
