@@ -33,4 +33,14 @@ gone as (select distinct doc_id, i + j as p from again, unnest(range(0, 20)) t(j
 words as (select doc_id, p, w[p] as x from d, unnest(range(1, len(w) + 1)) t(p)),
 kept as (select doc_id, count(*) as n, string_agg(x, ' ' order by p) as s from words anti join gone using (doc_id, p) group by 1)
 select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(s, '')) as kept_sha256 from d left join kept using (doc_id)""",
+    "op11_hard_negatives": """
+with v as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as w from embeddings
+           where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select a.r as a, a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same, cast(list_dot_product(a.w, b.w) as bigint) as score
+      from v a join v b on a.r <> b.r and len(a.w) = len(b.w) where a.vec_id % 50 = 0),
+pos as (select a, anchor_id, row_number() over (partition by a order by score desc, vec_id) as k, vec_id as positive_id, score as positive_score from p where same
+        qualify row_number() over (partition by a order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by a, k order by score desc, vec_id) as int) as rank, vec_id as negative_id, positive_score, score as negative_score
+from pos join p using (a, anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by a, k order by score desc, vec_id) <= 3""",
 }

@@ -80,6 +80,46 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_read(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import collapse_runs
+
+    found = collapse_runs(_with_planted_runs(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+    kind = "struct<start: long, length: long, period: long>"
+    longer = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.reduce("runs", F.lit(None).cast(kind), lambda best, r: F.when(longer(best, r), r).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    found = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    milli = F.expr("1000 * best.length div best.period")
+    digest = F.sha2(F.when(F.col("n_runs") == 0, "").otherwise(F.concat("lines", F.lit("\n"))), 256)
+    return found.select("doc_id", "n_words", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), digest.alias("runs_sha256"), "collapsed_sha256")
+
+
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .private_data import KINDS, find_private, written
+
+    found = find_private(_read(spark, sf_dir, "documents"))
+    number = lambda k: F.size(F.filter("base", lambda b: b["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+    return found.select("doc_id", *map(number, range(len(KINDS))), F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.concat("base", "added")).alias("spans"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by a hash of the id, repeat some of their words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.withColumns({"h": h, "g": F.floor(h / 10)})
+    planted = docs.where("h % 10 = 0").withColumn("w", F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    planted = planted.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).otherwise(0).cast("int"))
+    planted = planted.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    word = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get(F.col("w"), F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return planted.select("doc_id", F.array_join(word, " ").alias("text")).unionByName(docs.where("h is null or h % 10 <> 0").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,5 +133,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_format,
         op9_substring_dedup,
         op10_best_fit,
+        op11_hard_negatives,
+        op12_periodic_runs,
+        op13_private_data,
     )
 }

@@ -51,6 +51,11 @@ def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+def prefix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers and inverse powers for hashes of word sequences."""
+    return _powers_of(_WORD_BASES[0], n)
+
+
 @dataclass
 class Words:
     """The words of consecutive texts: places in ``data``, hash, and where each text's words begin."""
