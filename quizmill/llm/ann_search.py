@@ -41,12 +41,12 @@ _WIDER = (1.0, 1.08, 1.2, np.inf)
 def nearest(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 1, shard: int = SHARD, group: int = QUERIES, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``table`` where ``queries`` holds, the ``k``
     nearest other rows found, by inner product in double precision."""
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    vectors = materialize(usable(table, queries, id_col, vector_col).withColumn("norm", length).where("norm > 0"))
+    # lengths by way of the largest component, whose square may be 0 or infinite
+    most = F.array_max(F.transform("vector", F.abs))
+    length = F.least(F.col("most") * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("most")) * (x / F.col("most")))), F.lit(float(np.finfo(float).max)))
+    vectors = materialize(usable(table, queries, id_col, vector_col).withColumn("most", most).where("most > 0").withColumn("norm", length).drop("most"))
     n, longest = vectors.agg(F.count("*"), F.max("norm")).first()
     longest = longest or 1.0
-    if not np.isfinite(longest):
-        raise ValueError("the square of a vector's length is more than a double holds")
     asked = materialize(with_bounds(vectors.where("asked"), _radii(n, longest, k), sample_of(vectors.select("row", "id", "vector"), sample)))
     same = vectors.groupBy(F.size("vector").alias("dim")).agg((F.count("*") - 1).alias("others"))
     results = None
@@ -78,6 +78,12 @@ def directions(dim: int, seed: int) -> np.ndarray:
     return np.concatenate(axes, axis=1)[:, :PROJECTIONS]
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Of the rows; their squares may pass what a double holds, either way."""
+    most = np.abs(x).max(axis=1)
+    return np.minimum(most * np.linalg.norm(x / most[:, None], axis=1), np.finfo(float).max)
+
+
 class CollisionIndex:
     """The sorted arrays of a shard, and the search in them."""
 
@@ -106,7 +112,7 @@ class CollisionIndex:
 
     def collided(self, q: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the queries and vectors that collide often enough."""
-        own = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ self.axes[:-1]
+        own = (q / lengths(q)[:, None]) @ self.axes[:-1]
         width = NormalDist().inv_cdf((1 + HIT) / 2) * radius
 
         def windows():
@@ -125,7 +131,7 @@ class CollisionIndex:
         other = rows[i] != self.rows[j]
         i, j = i[other], j[other]
         score = inner_products(q, self.x, i, j)
-        near = score >= ((1 - radius * radius / 2) * np.linalg.norm(q, axis=1) * self.longest)[i] - 1e-9
+        near = score / lengths(q)[i] >= ((1 - radius * radius / 2 - 1e-9) * self.longest)[i]
         i, j, score = i[near], j[near], score[near]
         best = top_pairs(i, self.ids[j], score, self.k)
         return i[best], self.ids[j[best]], score[best]
@@ -186,7 +192,7 @@ def _radii(n: int, longest: float, k: int):
         place = int(np.ceil(MARGIN * k * len(sample) / max(n, 1))) - 1
         if place >= len(sample) - 1:
             return np.full(len(q), np.inf)
-        cosine = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (sample / longest).T
+        cosine = (q / lengths(q)[:, None]) @ (sample / longest).T
         cosine[own] = -2.0
         return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * -np.partition(-cosine, place, axis=1)[:, place]))
 

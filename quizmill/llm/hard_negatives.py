@@ -36,7 +36,7 @@ from .tasks import tidy
 #: Candidates of a block on average, anchors that share a copy of a block, anchors answered at once, rows of
 #: the sample that tasks get, places of each list that are read first.
 BLOCK, ANCHORS, AT_ONCE, SAMPLE, FIRST = 4096, 65_536, 256, 2048, 32
-_LOW = np.iinfo(np.int64).min
+_LOW, _MOST = -(2**63), 2**63 - 1
 
 _ANCHOR = "array<struct<id: long, score: long, low: long, high: long>>"
 
@@ -79,9 +79,9 @@ def hard_negatives(
     # positives: an anchor meets the blocks of its label
     parts = rows.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     of_label = rows.drop("asked").join(parts, "label")
-    tasks = -(-n // block)
+    tasks = max(1, -(-n // block))
     part = lambda k, salt: F.pmod(F.xxhash64("row", F.lit(salt)), k).cast("int")
-    any_score = F.array(F.struct(F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("score"), F.lit(_LOW).alias("low"), F.lit(2**63 - 1).alias("high")))
+    any_score = F.array(F.struct(F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("score"), F.lit(_LOW).alias("low"), F.lit(_MOST).alias("high")))
     wanted = _with_floors(asked.withColumn("windows", any_score.cast(_ANCHOR)), known, positives, same=True)
     left = of_label.select(F.col("label").alias("cell"), part(F.col("parts"), 1).alias("part"), "dim", F.lit(0).alias("side"), "row", "id", "label", "vector", F.lit(None).cast(_ANCHOR).alias("windows"))
     right = wanted.join(parts, "label").select(F.col("label").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "dim", F.lit(1).alias("side"), "row", "id", "label", "vector", "windows")
@@ -98,10 +98,9 @@ def hard_negatives(
     wanted = materialize(_with_floors(asked.join(windows, "row"), known, negatives, same=False))
     groups = max(1, -(-n_asked // group))
     each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    blocks = max(1, tasks)
-    left = rows.select(part(F.lit(blocks), 2).alias("cell"), each(groups).alias("part"), "dim", F.lit(0).alias("side"), "row", "id", "label", "vector", F.lit(None).cast(_ANCHOR).alias("windows"))
-    right = wanted.withColumn("part", part(F.lit(groups), 3)).select(each(blocks).alias("cell"), "part", "dim", F.lit(1).alias("side"), "row", "id", "label", "vector", "windows")
-    both = left.unionByName(right).withColumn("cell", F.col("cell").cast("long")).repartition(blocks * groups, "cell", "part")
+    left = rows.select(part(F.lit(tasks), 2).alias("cell"), each(groups).alias("part"), "dim", F.lit(0).alias("side"), "row", "id", "label", "vector", F.lit(None).cast(_ANCHOR).alias("windows"))
+    right = wanted.withColumn("part", part(F.lit(groups), 3)).select(each(tasks).alias("cell"), "part", "dim", F.lit(1).alias("side"), "row", "id", "label", "vector", "windows")
+    both = left.unionByName(right).withColumn("cell", F.col("cell").cast("long")).repartition(tasks * groups, "cell", "part")
     found = _meet(both, negatives, same=False)
     order = Window.partitionBy("row", "positive_id", "which").orderBy(F.desc("score"), "other")
     return (
@@ -127,6 +126,7 @@ def _with_floors(asked: DataFrame, known: list[tuple[int, int, np.ndarray]], k:
                 for at in np.array_split(np.flatnonzero(dims == dim), -(-int((dims == dim).sum()) // AT_ONCE)):
                     s = products(np.stack([x[i] for i in at]), vectors)
                     usable = (rows != own[at][:, None]) & ((labels == label[at][:, None]) == same)
+                    _fit(s, usable)
                     for w in np.flatnonzero(np.isin(owner, at)):
                         i = np.searchsorted(at, owner[w])
                         inside = s[i][usable[i] & (s[i] >= low[w]) & (s[i] <= high[w])]
@@ -224,6 +224,7 @@ class SortedLists:
                 self.scored += int(new.sum())
                 s = products(q[active], self.x[columns])
                 usable = new[:, columns] & ((self.labels[columns] == labels[active][:, None]) == same) & (self.rows[columns] != rows[active][:, None])
+                _fit(s, usable)
                 more = [(window, at, score)]
                 of = np.full(len(q), -1)
                 of[active] = np.arange(len(active))
@@ -254,7 +255,8 @@ class SortedLists:
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact: by doubles where they pass no 53 bits, else by Python's integers."""
+    """Inner products of whole numbers, exact: by doubles where they pass no 53 bits, else by Python's
+    integers; what passes 63 bits is cut to the most that they hold."""
     most = int(np.sqrt(2.0**53 / q.shape[1])) - 1
     small_q, small_x = (np.abs(m).max(axis=1, initial=0) <= most for m in (q, x))
     out = np.empty((len(q), len(x)), np.int64)
@@ -262,11 +264,14 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     for rows, columns in ((~small_q, np.ones(len(x), bool)), (small_q, ~small_x)):
         if rows.any() and columns.any():
             whole = _whole(q[rows]) @ _whole(x[columns]).T
-            if any(abs(s) >= 2**63 for s in whole.flat):
-                raise ValueError("vectors are so large that a score passes 63 bits")
-            out[np.ix_(rows, columns)] = whole.astype(np.int64)
+            out[np.ix_(rows, columns)] = np.clip(whole, -_MOST, _MOST).astype(np.int64)
     return out
 
 
+def _fit(scores: np.ndarray, wanted: np.ndarray) -> None:
+    if (wanted & (np.abs(scores) == _MOST)).any():
+        raise ValueError("vectors are so large that a score passes 63 bits")
+
+
 def _whole(m: np.ndarray) -> np.ndarray:
     return np.vectorize(int, otypes=[object])(m)

@@ -122,7 +122,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     each = max(1, size // len(counts))
     parts = 1_000_000
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(parts, -(-each * parts // n)))])
-    sample = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0)))
+    # by id and text, equal rows once: rows that share an id, or are repeated very often, don't fill the sample
+    drawn = known.withColumn("draw", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    sample = drawn.where(F.pmod("draw", F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0))).dropDuplicates(["lang", "draw"])
     found = sample.mapInArrow(tidy(_vectors), "lang string, letters long, vector binary").where("letters > 0").limit(2 * size).collect()
     if not found:
         return None
@@ -158,8 +160,8 @@ def identify(docs: DataFrame, model: Centroids | None, text_col: str = "text", k
     return rows.mapInArrow(tidy(run), out.add("text", "string") if keep_text else out)
 
 
-def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` for each row."""
-    model = fit(docs, id_col, text_col, lang_col)
+def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score, rejected`` for each row; ``size`` bounds the sample that is fitted."""
+    model = fit(docs, id_col, text_col, lang_col, size)
     found = identify(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model)
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

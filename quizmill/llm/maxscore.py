@@ -16,8 +16,8 @@ best k are merged by Spark. Ties go to the smaller id; a vector that equals the
 
 Vectors that are null or hold null or non-finite components, and rows without an id, take no part.
 Rows that share an id are vectors of their own: a query's candidates are all rows but its own. Only
-vectors of the query's dimension are its candidates. Where products could pass 63 bits, an error names
-the vector with the largest component.
+vectors of the query's dimension are its candidates. Where the product of the two vectors with the largest
+components could pass 63 bits, an error names the first; one large vector among small ones is no error.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ BLOCK, PROBED = 1024, 8
 def best_scores(table: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD, group: int = QUERIES, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``queries`` holds, the ``k`` other rows with
     the greatest integer inner products."""
-    whole = F.transform("vector", lambda x: F.floor(x * scale).cast("double"))
+    whole = F.transform("vector", lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(x * scale).cast("double")).otherwise(x * scale))
     vectors = materialize(usable(table, queries, id_col, vector_col).withColumn("vector", whole))
-    large = F.size("vector") * F.pow(F.array_max(F.transform("vector", F.abs)), F.lit(2.0))
-    n, worst = vectors.agg(F.count("*"), F.max(F.struct(large.alias("square"), "id"))).first()
-    if worst is not None and worst["square"] >= 2.0**63:
-        raise ValueError(f"components of vector {worst['id']} are so large that its products may pass 63 bits")
+    n = vectors.count()
+    large = vectors.select(F.array_max(F.transform("vector", F.abs)).alias("most"), "id", F.size("vector").alias("dim")).orderBy(F.desc("most"), F.desc("id")).limit(2).collect()
+    if len(large) == 2 and max(r.dim for r in large) * large[0].most * large[1].most >= 2.0**63:
+        raise ValueError(f"components of vector {large[0].id} are so large that its products may pass 63 bits")
     asked = materialize(with_bounds(vectors.where("asked"), _thresholds(k), sample_of(vectors.select("row", "id", "vector"), sample)))
     found = visit(vectors, asked, n, asked.count(), lambda rows, ids, x: PostingIndex(rows, ids, x, k, block), "long", shard, group)
     return ranked(found, k).drop("query")

@@ -1,7 +1,8 @@
 """A small sandboxed template language, compiled to closures.
 
 Statements: ``{% for x in e %} {% endfor %}``, ``{% if e %} {% elif e %} {% else %} {% endif %}``,
-``{% set x = e %}``, ``{% generation %} {% endgeneration %}``; output: ``{{ e }}``. Expressions:
+``{% set x = e %}``, ``{% generation %} {% endgeneration %}``; output: ``{{ e }}``; comments: ``{# #}``. A ``-``
+inside the braces (``{%- -%}``, ``{{- -}}``, ``{#- -#}``) takes the blanks on its side away. Expressions:
 strings, numbers, ``true false none``, names, ``x.key``, ``x[e]``, ``+ ~ == != in not and or``,
 brackets, and filters ``e | name``. Names reach only what the caller passes, keys only the items of
 mappings and lists: no attribute of a Python object can be read and nothing called.
@@ -26,7 +27,7 @@ class Mark(Enum):
 
 
 BEGIN, END = Mark.BEGIN, Mark.END
-_CUT = re.compile(r"\{\{(.*?)\}\}|\{%-?(.*?)-?%\}", re.S)
+_CUT = re.compile(r"(?:\s*\{\{-|\{\{)(.*?)(?:-\}\}\s*|\}\})|(?:\s*\{%-|\{%)(.*?)(?:-%\}\s*|%\})|(?:\s*\{#-|\{#).*?(?:-#\}\s*|#\})", re.S)
 _TOKEN = re.compile(r"""\s*(?:(?P<str>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<num>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|[-+~.|()\[\]=]))""")
 _PLAIN = {"n": "\n", "t": "\t", "r": "\r"}
 
@@ -139,6 +140,8 @@ def parse(source: str) -> list:
         if m[1] is not None:
             stack[-1][1].append(("out", _Expressions(m[1]).whole()))
             continue
+        if m[2] is None:  # a comment
+            continue
         e = _Expressions(m[2])
         word = e.name()
         if word == "for":

@@ -92,3 +92,27 @@ def test_collision_counts():
     verified = Counter(zip(i.tolist(), j.tolist(), strict=True))
     wanted = list(zip(*np.nonzero(s >= near[:, None]), strict=True))
     assert len(verified) < 0.15 * s.size and sum((a, b) in verified for a, b in wanted) >= 0.6 * len(wanted)
+
+
+def test_tiny_and_huge_vectors_take_part(spark):
+    """Vectors whose squares a double can't hold, either way, are queries and candidates like any other."""
+    x = vectors(11, 80, 8)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(100, [1e-200] * 8), (101, [1e-170, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (120, [1e200, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (140, [0.0] * 8)]
+    found = answers(nearest(spark.createDataFrame(rows, SCHEMA), k=5))
+    assert set(found) == {0, 20, 40, 60, 100, 120}
+    for q, got in found.items():
+        own = np.array(dict(rows)[q])
+        want = sorted(((-float(np.array(v) @ own), i) for i, v in rows if i not in (q, 140)))[:5]
+        assert len(got) == 5 and got[0][0] == want[0][1]
+        assert all(s == pytest.approx(float(np.array(dict(rows)[i]) @ own)) for i, s in got)
+
+
+def test_one_large_vector_is_no_error(spark):
+    x = vectors(12, 60, 4)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, [1e10, 0.0, 0.0, 0.0])]
+    found = answers(best_scores(spark.createDataFrame(rows, SCHEMA), k=5))
+    whole = {i: [int(np.floor(64 * c)) for c in v] for i, v in rows}
+    for q, got in found.items():
+        scores = {i: sum(a * b for a, b in zip(whole[q], v, strict=True)) for i, v in whole.items() if i != q}
+        assert got == sorted(scores.items(), key=lambda r: (-r[1], r[0]))[:5]
