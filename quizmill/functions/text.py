@@ -59,6 +59,12 @@ def folded(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(fold_text(F.when(~plain, text)))
 
 
+def casefolded(text: Column) -> Column:
+    """Case folded; only texts with other than ASCII characters go to the helper."""
+    plain = _ascii(text)
+    return F.when(plain, F.lower(text)).otherwise(casefold_text(F.when(~plain, text)))
+
+
 def normalize_answer(text: Column) -> Column:
     """A reference answer made comparable. Articles stay: see ``normalize``."""
     return F.coalesce(_bare(folded(text)), F.lit(""))

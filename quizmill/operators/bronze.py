@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import casefold_text
+from ..functions.text import casefolded
+from .first import first_of_each
 
 SEPARATOR = "␟"
 
@@ -28,17 +29,18 @@ def decode_results(exploded: DataFrame) -> DataFrame:
     return exploded.withColumns({c: decode_field(F.col(c)) for c in texts} | {"incorrect_answers": F.transform("incorrect_answers", decode_field)})
 
 
-def question_id(question: Column, answer: Column, exact: bool = False) -> Column:
-    """16 hex digits that stand for question and answer, whatever their case and blanks. ``exact``
-    folds letters like ß too, by a helper."""
-    fold = casefold_text if exact else F.lower
+def question_id(question: Column, answer: Column, exact: bool = True) -> Column:
+    """16 hex digits that stand for question and answer, whatever their case and blanks. Case is folded
+    (ß like ss); texts with other than ASCII characters go to a helper for that. ``exact=False`` only
+    lower-cases, all in the JVM."""
+    fold = casefolded if exact else F.lower
     plain = lambda c: F.regexp_replace(fold(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
     return F.substring(F.sha2(F.concat_ws(SEPARATOR, plain(question), plain(answer)), 256), 1, 16)
 
 
-def bronze_rows(decoded: DataFrame, fetched_at: Column) -> DataFrame:
+def bronze_rows(decoded: DataFrame, fetched_at: Column, exact: bool = True) -> DataFrame:
     return decoded.select(
-        question_id(F.col("question"), F.col("correct_answer")).alias("question_id"),
+        question_id(F.col("question"), F.col("correct_answer"), exact).alias("question_id"),
         "category", "type", "difficulty", "question", "correct_answer",
         F.to_json("incorrect_answers").alias("incorrect_answers"),
         fetched_at.alias("fetched_at"), "batch_id", "pos",
@@ -46,11 +48,8 @@ def bronze_rows(decoded: DataFrame, fetched_at: Column) -> DataFrame:
 
 
 def dedupe_questions(df: DataFrame, order_by: tuple[str, ...] = ("fetched_at", "batch_id", "pos")) -> DataFrame:
-    """The first row of each id. An aggregate that drops later rows before the shuffle; as its state holds
-    texts, Spark sorts rows by id on both sides of it."""
-    rest = [c for c in df.columns if c != "question_id"]
-    first = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("r")
-    return df.groupBy("question_id").agg(first).select("question_id", "r.*").select(*df.columns)
+    """The first row of each id, by a pass over ids and order alone."""
+    return first_of_each(df, ["question_id"], [(F.col(c), True) for c in order_by])
 
 
 def new_questions(batch: DataFrame, existing: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    groups = df.groupBy(*columns).count()
+    """How many keys occur more than once; a key that holds a null is none."""
+    groups = df.where(" and ".join(f"`{c}` is not null" for c in columns)).groupBy(*columns).count()
     return _counted(groups, "unique", table, "+".join(columns), F.col("count") > 1)
 
 

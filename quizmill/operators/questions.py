@@ -27,17 +27,18 @@ def split_category(category: Column) -> Column:
 
 
 def parse_incorrect(text: Column) -> Column:
-    """Wrong options from JSON text (a list or one string) or a list as Python writes it; a bare value is
-    one option. Entities are decoded option by option, after parsing: a ``&quot;`` must not end a JSON
+    """Wrong options from JSON text (a list, or strings with commas between) or a list as Python writes it; a
+    bare value is one option, ``null`` an empty one. Entities are decoded option by option, after parsing: a ``&quot;`` must not end a JSON
     string. Only lists that aren't JSON go to a helper."""
     bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
     listed = F.from_json(bare, "array<string>")
-    quoted = F.get(F.from_json(F.concat(F.lit("["), bare, F.lit("]")), "array<string>"), F.lit(0))
+    quoted = F.from_json(F.concat(F.lit("["), bare, F.lit("]")), "array<string>")
     odd = bare.startswith("[") & (listed.isNull() | bare.contains("\\x"))
     options = (
         F.when(F.coalesce(bare, F.lit("")) == "", F.array().cast("array<string>"))
         .when(bare.startswith("["), F.coalesce(literal_list(F.when(odd, bare)), listed, F.array(text)))
-        .when(bare.startswith('"'), F.array(F.coalesce(quoted, text)))
+        .when(bare.startswith('"'), F.coalesce(quoted, F.array(text)))
+        .when(bare == "null", F.array(F.lit("")))
         .otherwise(F.array(text))
     )
     return unescape_all(options)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TRIPLE
+from .first import first_of_each
 
 
 def done_keys(answers: DataFrame) -> DataFrame:
@@ -99,8 +100,7 @@ def flag_warmup(df: DataFrame, order_by: tuple[str, ...] = ("answered_at", *TRIP
 
 
 def latest_answers(answers: DataFrame, order_by: tuple[str, ...] = ("answered_at", "run_id")) -> DataFrame:
-    """One row a triple: an answer that is ok before one that failed, then the latest. Rows that lose
-    are dropped before the shuffle; as the state holds texts, Spark sorts rows by triple around it."""
-    rest = [c for c in answers.columns if c not in TRIPLE]
-    best = F.max_by(F.struct(*rest), F.struct((F.col("status") == "ok").alias("ok"), *order_by)).alias("_r")
-    return answers.groupBy(*TRIPLE).agg(best).select(*TRIPLE, "_r.*").select(*answers.columns)
+    """One row a triple: an answer that is ok before one that failed, then the latest, by a pass over
+    triples, status and order alone."""
+    ok = F.coalesce(F.col("status") == "ok", F.lit(False))
+    return first_of_each(answers, TRIPLE, [(ok, False), *((F.col(c), False) for c in order_by)])

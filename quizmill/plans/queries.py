@@ -14,10 +14,11 @@ from ..operators import facts, judge, marts, prompts, quality, views, work
 from ..operators.questions import clean_questions
 from ..schemas import ANSWERS, BRONZE, QUESTIONS, conform
 from ..sources import tables as T
+from ..sources.scratch import fresh_path
 from ..sources.tables import run_summary
 from ..streaming.bronze import stream_bronze
 from . import driver_views as V
-from .store import fresh_path, stored
+from .store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -1,46 +1,36 @@
-"""Tables that several queries start from, built once a session and kept as Parquet.
+"""Tables that several queries start from, built once for given inputs and kept as Parquet.
 
 The pipeline keeps its questions, answers and fact table the same way: marts, views and checks read
-them and don't build them again."""
+them and don't build them again. A table is built anew where an input's files changed (names, lengths or
+times, as a listing has them)."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_PATHS: dict[tuple[str, str, str], str] = {}
+from ..sources.scratch import fingerprint, fresh_path
 
+#: Of the tables in the driver's folders those that stored tables are built from.
+INPUTS = ("part", "lineitem")
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset, one of this machine, for sessions that run on it alone."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """In the application's own folder, which can go when it has ended."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+_PATHS: dict[tuple[str, str, str], tuple[str, tuple[int, int, int]]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name`` over the tables of ``sf_dir``, built by the first query of the session that asks
-    for it, and again where its folder was cleared since."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _PATHS:
+    """The table ``name`` over the tables of ``sf_dir``: built by the first query of the session that asks
+    for it, and again where the inputs changed or its folder was cleared since."""
+    key, now = (spark.sparkContext.applicationId, sf_dir, name), fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in INPUTS])
+    path, was = _PATHS.get(key, ("", None))
+    if was == now:
         try:
-            return spark.read.parquet(_PATHS[key])
-        except AnalysisException:  # no such path
-            del _PATHS[key]
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     path = fresh_path(spark, name)
     build().write.parquet(path)
-    _PATHS[key] = path
+    _PATHS[key] = (path, now)
     return spark.read.parquet(path)
