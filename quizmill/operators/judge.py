@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.answers import boolean_of, matches_single_choice, resolve_guarded
 from ..functions.text import fuzzy_score, normalize
 from ..schemas import JUDGMENTS, TRIPLE, conform
+from ..sources.scratch import fresh_path
+from .verdicts import PAIR, ask_new, one_verdict, pair_key
 
 # Methods that the strict verdict counts, the threshold, and what the arbiter is told and says.
 STRICT = ["boolean", "exact", "choice_letter", "choice_match"]
@@ -95,26 +96,24 @@ def parse_verdict(text: Column, status: Column, finish_reason: Column) -> Column
     return F.when(readable, word).otherwise("failed")
 
 
-def arbitrate(judged: DataFrame, verdict_source: DataFrame | Callable | None = None, concurrency: int | None = None) -> DataFrame:
-    """Settle the ``undecided`` rows: by a table ``question_id, ai_answer, verdict``, by a function from
-    (question id, answer) that is called for each distinct pair, or, without either, as ``no_match``."""
+def arbitrate(judged: DataFrame, verdict_source: DataFrame | Callable | None = None, concurrency: int | None = None, kept: str | None = None, asked_of: str = "", retry_failed: bool = False) -> DataFrame:
+    """Settle the ``undecided`` rows: by a table ``question_id, ai_answer, verdict`` (of a pair's verdicts
+    ``one_verdict`` chooses), by a function from (question id, answer) that is called for each distinct
+    pair, or, without either, as ``no_match``. With ``kept``, a path, the function's verdicts are looked up
+    there, and only new pairs are asked; ``asked_of`` names the arbiter whose verdicts they are."""
     if verdict_source is None:
         verdict = F.lit(None).cast("string")
         rest = judged
     else:
-        pair = ["question_id", "ai_answer"]
+        key = pair_key(*map(F.col, PAIR), asked_of)
         if isinstance(verdict_source, DataFrame):
-            table = verdict_source
+            table = one_verdict(verdict_source.withColumn("pair_key", key))
         else:
-            ask = verdict_source
-
-            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for b in batches:
-                    yield b.assign(verdict=[ask(q, a) for q, a in zip(b["question_id"], b["ai_answer"], strict=True)])
-
-            asked = judged.where("match_method = 'undecided'").select(*pair).distinct()
-            table = (asked.repartition(concurrency) if concurrency else asked).mapInPandas(run, "question_id string, ai_answer string, verdict string")
-        rest = judged.join(table.select(*pair, "verdict"), pair, "left")
+            asked = judged.where("match_method = 'undecided'")
+            path = kept or fresh_path(judged.sparkSession, "verdicts")
+            table = ask_new(asked, verdict_source, path, asked_of, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS"), concurrency, retry_failed)
+        rest = judged.withColumn("_pair", key)  # of decided rows too: nulls would all meet in one task
+        rest = rest.join(table.withColumnRenamed("pair_key", "_pair"), "_pair", "left")
         verdict = F.coalesce("verdict", F.lit("failed"))
     undecided = F.col("match_method") == "undecided"
     method = F.lit("no_match")
@@ -126,9 +125,10 @@ def arbitrate(judged: DataFrame, verdict_source: DataFrame | Callable | None = N
     return rest.select(*judged.columns)
 
 
-def run_judge(answers: DataFrame, questions: DataFrame, judge_model: str, version: str, judged_at: Column, model_slug: str | None = None, verdict_source: DataFrame | Callable | None = None) -> DataFrame:
-    """The judgment table of all answers, or of one model's."""
+def run_judge(answers: DataFrame, questions: DataFrame, judge_model: str, version: str, judged_at: Column, model_slug: str | None = None, verdict_source: DataFrame | Callable | None = None, kept: str | None = None, retry_failed: bool = False) -> DataFrame:
+    """The judgment table of all answers, or of one model's. ``kept``: where verdicts of this judge and
+    version are looked up and added."""
     if model_slug is not None:
         answers = answers.where(F.col("model_slug") == model_slug)
-    judged = arbitrate(judge(judge_input(answers, questions)), verdict_source)
+    judged = arbitrate(judge(judge_input(answers, questions)), verdict_source, kept=kept, asked_of=f"{judge_model}/{version}", retry_failed=retry_failed)
     return conform(judged.withColumns({"judge_model": F.lit(judge_model), "judgment_version": F.lit(version), "judged_at": judged_at}).select(*TRIPLE, *[c for c in JUDGMENTS.names if c not in TRIPLE]), JUDGMENTS)

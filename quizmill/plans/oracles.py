@@ -209,8 +209,14 @@ ORACLES: dict[str, str] = {
     "jd_arbitrate_all": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, 'arbiter' as judge_model, 'v1' as judgment_version, '2026-01-03' as judged_at
         from (select * replace (case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge' when question_id < 'c' then 'llm_judge_rejected' else 'llm_judge_failed' end as match_method,
           case when match_method <> 'undecided' then ai_correct else question_id < '4' end as ai_correct) from j3)"""),
+    "jd_kept_verdicts": _with(_CASCADE, """select question_id, count(distinct ai_answer) filter (where model_slug = 'org_model-2') as n_first,
+        count(distinct ai_answer) - count(distinct ai_answer) filter (where model_slug = 'org_model-2') as n_second, 0 as n_third from j3 where match_method = 'undecided' group by 1"""),
+    "jd_doubled_verdicts": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict
+        from (select * replace (case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge_rejected' when question_id < '8' then 'llm_judge' else 'llm_judge_failed' end as match_method,
+          case when match_method <> 'undecided' then ai_correct else question_id >= '4' and question_id < '8' end as ai_correct) from j3)"""),
     "jd_verdicts": _with(_AQ, "select aq.question_id, model_slug, prompt_variant, 'Question: ' || question || chr(10) || 'Reference answer: ref' || chr(10) || 'Candidate answer: ' || ai_answer || chr(10) || 'Does the candidate answer mean the same as the reference answer? YES or NO.' as prompt, case when status = 'ok' and kind = 8 then 'yes' when kind = 9 then 'no' else 'failed' end as verdict from aq join qq using (question_id)"),
     "ft_results": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
+    "ft_bucketed": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
     "mt_model_performance": _with(_R, _PERF),
     "mt_performance_by_category": _with(_S, f"select * exclude (m), round(acc - m, 6) as delta_to_model_average from (select model_slug, category, category_group, category_name, count(*) as n_questions, count(*) filter (where is_empty_answer) as n_empty, {_ACC}, avg(ai_correct::int) as acc from s group by 1, 2, 3, 4) join (select model_slug, avg(ai_correct::int) as m from s group by 1) using (model_slug)").replace("select * exclude (m), round", "select * exclude (m, acc), round"),
     "mt_performance_by_difficulty": _with(_S, f"select model_slug, prompt_variant, difficulty, question_type, count(*) as n_questions, count(*) filter (where is_empty_answer) as n_empty, {_ACC}, round(median(response_time) filter (where not is_warmup), 6) as response_time_median from s group by 1, 2, 3, 4"),
@@ -258,6 +264,7 @@ ORACLES: dict[str, str] = {
     "io_bronze": _with(_RAW, f"select question_id, category, type, difficulty, {_SAID_QUESTION} as question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, 'b0' as batch_id from raw"),
     "io_questions": _with(_Q, "select question_id, category, category_group, category_name, type, difficulty, question, correct_answer, array_to_string(incorrect_answers, '|') as incorrect_answers, array_to_string(choices, '|') as choices, correct_answer_position, n_choices, correct_answer_norm, answer_is_numeric, length(question) as question_len, length(correct_answer) as answer_len, '2026-01-02' as cleaned_at from qq"),
     "io_answers": _with(_ALL, "select question_id, model_slug, prompt_variant, model_name, seq, ai_answer, response_time, completion_tokens, finish_reason, status, is_warmup, answered_at, run_id, host, hardware from aa"),
+    "io_compaction": _with(_ALL, "select model_slug, prompt_variant, count(*) as n_rows, sum(seq) as sum_seq, count(ai_answer) as n_answers, count(distinct seq % 50) as n_files_before, 1 as n_files_after from aa group by 1, 2"),
     "io_answer_files": _with(_ALL, "select question_id, model_slug, prompt_variant, seq, status, case when seq % 2 = 0 then ai_answer end as ai_answer from aa"),
     "io_judgments": _with(_R, "select question_id, model_slug, prompt_variant, match_method, ai_correct, case when model_slug = 'org_model-1' then 'v2' else 'v1' end as judgment_version from r where not starts_with(question_id, '0')"),
     "io_conform": _with(_ALL, "select model_slug, count(*) as n, 0 as n_answers, 'ai_answer string|response_time double|attempt bigint|is_warmup boolean' as types from aa where status = 'error' group by 1"),

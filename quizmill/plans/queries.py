@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import answers as A
 from ..functions.text import fuzzy_score, normalize, normalize_answer, unescape_text
 from ..operators import bronze as B
-from ..operators import facts, judge, marts, prompts, quality, views, work
+from ..operators import facts, judge, marts, prompts, quality, verdicts, views, work
 from ..operators.questions import clean_questions
 from ..schemas import ANSWERS, BRONZE, QUESTIONS, conform
 from ..sources import tables as T
-from ..sources.scratch import fresh_path
+from ..sources.compaction import live_files
+from ..sources.scratch import fresh_path, materialize, settings
 from ..sources.tables import run_summary
 from ..streaming.bronze import stream_bronze
 from . import driver_views as V
@@ -276,6 +277,34 @@ def jd_arbitrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _arbitrated(spark, sf_dir, None)
 
 
+@query
+def jd_kept_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged three times with verdicts kept: one model, then all, then all again, when nobody is left to be
+    asked. How many pairs each run asked, by question."""
+    at, pairs = fresh_path(spark, "verdicts"), []
+
+    def arbiter(qid: str, answer: str) -> str:
+        return "yes" if qid < "4" else "no" if qid < "c" else "failed"
+
+    for model in ("org_model-2", None, None):
+        done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), model, arbiter, at)
+        pairs.append(materialize(verdicts.kept_verdicts(done, at).groupBy("question_id").agg(F.count("*").alias("n"))))
+    counts = [F.coalesce(F.col(f"n{i}"), F.lit(0)) for i in range(3)]
+    sums = [p.withColumnRenamed("n", f"n{i}") for i, p in enumerate(pairs)]
+    found = sums[2].join(sums[1], "question_id", "left").join(sums[0], "question_id", "left")
+    return found.select("question_id", counts[0].alias("n_first"), (counts[1] - counts[0]).alias("n_second"), (counts[2] - counts[1]).alias("n_third"))
+
+
+@query
+def jd_doubled_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a table in which each pair has three verdicts: the latest that can be read counts."""
+    open_pairs = _judged(spark, sf_dir).where("match_method = 'undecided'").select("question_id", "ai_answer")
+    said = F.array(*[F.struct(F.when(F.col("question_id") < less, F.lit(word)).otherwise("?").alias("verdict"), F.lit(at).alias("decided_at")) for word, less, at in (("yes", "8", "2026-01-01"), ("no", "4", "2026-01-02"), ("no", "2", "2026-01-01"))])
+    table = open_pairs.withColumn("s", F.explode(said)).select("question_id", "ai_answer", "s.*")
+    done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), None, table)
+    return done.select(*_KEY, "match_method", "ai_correct", "ai_correct_strict")
+
+
 @query
 def jd_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.answers(spark, sf_dir).join(V.questions(spark, sf_dir).select("question_id", "question"), "question_id")
@@ -298,6 +327,19 @@ def ft_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _results(spark, sf_dir).select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
 
 
+@query
+def ft_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ft_results`` over tables dealt out by question: answers, questions and judgments meet where they lie,
+    and the fact table is dealt out the same way."""
+    a, n = V.answers(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, "bucketed")
+    put = lambda df, name, dealt=False: T.write_bucketed(df, f"{name}_{path.rsplit('-', 1)[1]}", f"{path}/{name}", n, dealt)
+    tables = put(a, "answers"), put(V.questions(spark, sf_dir), "questions"), put(V.judgments(a), "judgments")
+    with settings(spark, T.MEET_ON_QUESTION):
+        r = put(facts.int_results(*tables), "results", True)
+    return r.select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
+
+
 def _mart(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(build(results(spark, sf_dir)))
@@ -472,6 +514,20 @@ def io_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("question_id", "model_slug", "prompt_variant", "model_name", F.col("attempt").alias("seq"), "ai_answer", "response_time", "completion_tokens", "finish_reason", "status", "is_warmup", "answered_at", "run_id", "host", "hardware")
 
 
+@query
+def io_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers appended fifty times, then compacted: rows read back, and files of each partition before and after."""
+    at, given = fresh_path(spark, "answers"), V.all_answers(spark, sf_dir).withColumn("attempt", F.col("seq"))
+    for k in range(50):
+        T.append_answers(given.where(F.col("seq") % 50 == k).coalesce(1), at)
+    place = [F.regexp_extract("path", f"{c}=([^/]*)", 1).alias(c) for c in ("model_slug", "prompt_variant")]
+    files = lambda name: materialize(live_files(spark, at).groupBy(*place).agg(F.count("*").alias(name)))
+    before = files("n_files_before")
+    T.compact_answers(spark, at)
+    rows = T.read_answers(spark, at).groupBy("model_slug", "prompt_variant").agg(F.count("*").alias("n_rows"), F.sum("attempt").alias("sum_seq"), F.count("ai_answer").alias("n_answers"))
+    return rows.join(before, ["model_slug", "prompt_variant"]).join(files("n_files_after"), ["model_slug", "prompt_variant"])
+
+
 @query
 def io_answer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree whose path names other columns and whose files differ in theirs: the files count."""

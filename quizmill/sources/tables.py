@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import ANSWERS, BRONZE, JUDGMENTS, QUESTIONS, RESPONSES, conform
+from ..schemas import ANSWERS, BRONZE, JUDGMENTS, QUESTIONS, RESPONSES, TRIPLE, conform
+from .compaction import compact, drop_replaced, read_live
 
 #: The marts, in catalogue order.
 MARTS = ("model_performance", "performance_by_category", "performance_by_difficulty", "prompt_performance", "latency", "question_hardness", "matching_impact", "position_bias", "errors")
@@ -37,11 +38,33 @@ def append_answers(df: DataFrame, path: str, rows_per_file: int = 1_000_000) ->
     conform(df, ANSWERS).write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("model_slug", "prompt_variant").parquet(path)
 
 
+def compact_answers(spark: SparkSession, path: str, target: int = 256 << 20, keep_replaced: bool = True) -> int:
+    """Join small files of appended answers, see ``compaction``; readers and appends may go on."""
+    n = compact(spark, path, ANSWERS, ["model_slug", "prompt_variant"], target)
+    if not keep_replaced:
+        drop_replaced(spark, path)
+    return n
+
+
+#: Tables dealt out by question also meet on the triple only if Spark may use a part of a join's keys.
+MEET_ON_QUESTION = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """``df`` as a catalogue table dealt out by question and sorted by triple (what it has of it), one file
+    a bucket. Such tables of as many buckets meet on the question without a shuffle, and under the
+    settings ``MEET_ON_QUESTION`` on the triple too; what they give is ``dealt`` out already."""
+    by = [c for c in TRIPLE if c in df.columns]
+    rows = df if dealt else df.repartition(buckets, "question_id")
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, "question_id").sortBy(*by).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def _partitioned(spark: SparkSession, path: str, layout: str, schema) -> DataFrame:
     if layout == "files":  # the files hold all columns; names in the path are ignored, files united by name
         return conform(spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path), schema)
     if layout == "spark":
-        return conform(spark.read.schema(schema).parquet(path), schema)
+        return read_live(spark, path, schema)
     raise ValueError(f"layout is 'files' or 'spark', not {layout!r}")
 
 
