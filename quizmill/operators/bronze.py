@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import casefolded
 from .first import first_of_each
+from .prefilter import may_match
 
 SEPARATOR = "␟"
 
@@ -52,9 +53,11 @@ def dedupe_questions(df: DataFrame, order_by: tuple[str, ...] = ("fetched_at", "
     return first_of_each(df, ["question_id"], [(F.col(c), True) for c in order_by])
 
 
-def new_questions(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """``existing`` and the questions of ``batch`` whose ids it lacks."""
-    fresh = batch.join(existing.select("question_id"), "question_id", "left_anti")
+def new_questions(batch: DataFrame, existing: DataFrame, prefilter: bool = False) -> DataFrame:
+    """``existing`` and the questions of ``batch`` whose ids it lacks. With ``prefilter``, for a batch that
+    is small beside what exists, only ids that may be the batch's are shuffled."""
+    had = existing.select("question_id")
+    fresh = batch.join(may_match(had, batch, ["question_id"]) if prefilter else had, "question_id", "left_anti")
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 

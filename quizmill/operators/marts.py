@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .facts import stg_questions
+from .percentiles import ranged_percentiles, same
 from .prompts import VARIANTS, mode
 
 
@@ -21,21 +22,35 @@ def _accuracies() -> list[Column]:
     ]
 
 
-def _quantile(x: Column, p: float, approx: bool) -> Column:
-    # times have 4 decimals, so an exact percentile keeps one count a distinct time, however many rows
+MEDIAN, P95 = {"response_time_median": 0.5}, {"response_time_p95": 0.95}
+
+
+def _times(x: Column, shares: dict[str, float], how: str) -> list[Column]:
+    """Percentiles of times, which have 4 decimals: an exact one keeps one count a distinct time, however many
+    rows. ``how``: ``exact``, ``approx``, or ``ranged``, exact too, for more distinct times than a task
+    should hold (see ``_in_place``)."""
     x = F.round(x, 4)
-    return F.percentile_approx(x, p, 10_000).cast("double") if approx else F.percentile(x, F.lit(p))
+    of = {"exact": lambda p: F.percentile(x, F.lit(p)), "approx": lambda p: F.percentile_approx(x, p, 10_000).cast("double"), "ranged": lambda p: F.lit(None).cast("double")}[how]
+    return [of(p).alias(name) for name, p in shares.items()]
+
+
+def _in_place(mart: DataFrame, rows: DataFrame, keys: list[str], x: Column, shares: dict[str, float], how: str) -> DataFrame:
+    if how != "ranged":
+        return mart
+    found = ranged_percentiles(rows, keys, F.round(x, 4), shares)
+    return mart.join(found, same(mart, found, keys), "left").select(*[found[c] if c in shares else mart[c] for c in mart.columns])
 
 
 def _scorable(results: DataFrame) -> DataFrame:
     return results.where("is_scorable")
 
 
-def mart_model_performance(results: DataFrame, approx: bool = False) -> DataFrame:
+def mart_model_performance(results: DataFrame, how: str = "exact") -> DataFrame:
     s = F.col("is_scorable")
     warm = F.when(s & ~F.col("is_warmup"), F.col("response_time"))
     only = lambda c: F.when(s, F.col(c).cast("int"))
-    return results.groupBy("model_slug", "model_name").agg(
+    keys = ["model_slug", "model_name"]
+    mart = results.groupBy(*keys).agg(
         F.count("*").alias("n_total"),
         F.count_if(s).alias("n_scorable"),
         F.count_if(~s).alias("n_errors"),
@@ -45,10 +60,10 @@ def mart_model_performance(results: DataFrame, approx: bool = False) -> DataFram
         F.avg(only("ai_correct_strict")).alias("accuracy_strict"),
         F.avg(only("ai_correct")).alias("accuracy_permissive"),
         F.avg(F.when(s & ~F.col("is_empty_answer"), F.col("ai_correct").cast("int"))).alias("accuracy_permissive_excl_empty"),
-        _quantile(warm, 0.5, approx).alias("response_time_median"),
-        _quantile(warm, 0.95, approx).alias("response_time_p95"),
+        *_times(warm, MEDIAN | P95, how),
         F.avg(F.when(s, F.col("completion_tokens"))).alias("completion_tokens_avg"),
     )
+    return _in_place(mart, results, keys, warm, MEDIAN | P95, how)
 
 
 def mart_performance_by_category(results: DataFrame) -> DataFrame:
@@ -58,16 +73,17 @@ def mart_performance_by_category(results: DataFrame) -> DataFrame:
     return own.join(model, "model_slug").withColumn("delta_to_model_average", F.col("accuracy_permissive") - F.col("_mean")).drop("_mean")
 
 
-def mart_performance_by_difficulty(results: DataFrame, approx: bool = False) -> DataFrame:
+def mart_performance_by_difficulty(results: DataFrame, how: str = "exact") -> DataFrame:
     warm = F.when(~F.col("is_warmup"), F.col("response_time"))
-    return _scorable(results).groupBy("model_slug", "prompt_variant", "difficulty", "question_type").agg(
-        F.count("*").alias("n_questions"), F.count_if("is_empty_answer").alias("n_empty"), *_accuracies(), _quantile(warm, 0.5, approx).alias("response_time_median")
-    )
+    keys, rows = ["model_slug", "prompt_variant", "difficulty", "question_type"], _scorable(results)
+    mart = rows.groupBy(*keys).agg(F.count("*").alias("n_questions"), F.count_if("is_empty_answer").alias("n_empty"), *_accuracies(), *_times(warm, MEDIAN, how))
+    return _in_place(mart, rows, keys, warm, MEDIAN, how)
 
 
-def mart_prompt_performance(results: DataFrame, approx: bool = False) -> DataFrame:
+def mart_prompt_performance(results: DataFrame, how: str = "exact") -> DataFrame:
     warm = F.when(~F.col("is_warmup"), F.col("response_time"))
-    return _scorable(results).groupBy("model_slug", "prompt_variant").agg(
+    keys, rows = ["model_slug", "prompt_variant"], _scorable(results)
+    mart = rows.groupBy(*keys).agg(
         mode(F.first("prompt_variant")).alias("mode"),
         F.count("*").alias("n_questions"),
         F.count_if("is_empty_answer").alias("n_empty"),
@@ -75,19 +91,21 @@ def mart_prompt_performance(results: DataFrame, approx: bool = False) -> DataFra
         *_accuracies(),
         F.avg(F.length("ai_answer")).alias("answer_len_avg"),
         F.avg("completion_tokens").alias("completion_tokens_avg"),
-        _quantile(warm, 0.5, approx).alias("response_time_median"),
+        *_times(warm, MEDIAN, how),
     )
+    return _in_place(mart, rows, keys, warm, MEDIAN, how)
 
 
-def mart_latency(results: DataFrame, approx: bool = False) -> DataFrame:
+def mart_latency(results: DataFrame, how: str = "exact") -> DataFrame:
     t = F.col("response_time")
-    return _scorable(results).where("not is_warmup").groupBy("model_slug", "host", "hardware", "prompt_variant").agg(
+    keys, rows = ["model_slug", "host", "hardware", "prompt_variant"], _scorable(results).where("not is_warmup")
+    mart = rows.groupBy(*keys).agg(
         F.count("*").alias("n_questions"),
         F.avg(t).alias("response_time_avg"),
-        _quantile(t, 0.5, approx).alias("response_time_median"),
-        _quantile(t, 0.95, approx).alias("response_time_p95"),
+        *_times(t, MEDIAN | P95, how),
         (F.sum("completion_tokens") / F.nullif(F.sum(t), F.lit(0.0))).alias("tokens_per_second"),
     )
+    return _in_place(mart, rows, keys, t, MEDIAN | P95, how)
 
 
 def mart_question_hardness(results: DataFrame, questions: DataFrame | None = None) -> DataFrame:

@@ -10,16 +10,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TRIPLE
+from ..sources.scratch import materialize
 from .first import first_of_each
+from .percentiles import same
+from .prefilter import may_match
 
 
 def done_keys(answers: DataFrame) -> DataFrame:
     return answers.where("status = 'ok'").select(*TRIPLE).distinct()
 
 
-def select_pending(work: DataFrame, answers: DataFrame) -> DataFrame:
-    """The work without an answer that is ok; failed answers are asked again."""
-    return work.join(answers.where("status = 'ok'").select(*TRIPLE), TRIPLE, "left_anti")
+def select_pending(work: DataFrame, answers: DataFrame, prefilter: bool = False) -> DataFrame:
+    """The work without an answer that is ok; failed answers are asked again. With ``prefilter``, for work
+    that is small beside the answers, only answers that may be to it are shuffled."""
+    done = answers.where("status = 'ok'").select(*TRIPLE)
+    return work.join(may_match(done, work, TRIPLE) if prefilter else done, TRIPLE, "left_anti")
 
 
 def shard_of(qid: Column, n: int) -> Column:
@@ -39,14 +44,25 @@ def stratified_sample(df: DataFrame, k: int, seed: int = 0, strata: tuple[str, .
     """``k`` rows, one of each stratum in turn, in an order by a hash of id and seed. ``k`` under 1, or
     all rows and more, gives all rows.
 
-    The window ranks ids only, and a rank over ``k`` never counts, so Spark drops what is over before
-    the shuffle; the chosen ids, at most ``k``, are joined back."""
+    Strata are counted first. Of a stratum of n rows the k smallest hashes lie under about k / n of their
+    range, so only rows under that share and some deviations are ranked, about k a stratum; a stratum left
+    short of its rows is ranked whole. Ranks are of ids only, and the chosen ids, at most ``k``, are joined back."""
     if k <= 0:
         return df
+    keys = list(strata)
     noise = F.sha2(F.concat("question_id", F.lit(f"␟{seed}")), 256)
     ids = df.select("question_id", *strata, noise.alias("_noise"))
+    counts = materialize(ids.groupBy(*strata).agg(F.count("*").alias("_n")), "strata")
+    share = (k + 6 * k**0.5 + 12) / F.col("_n")
+    low = F.conv(F.substring("_noise", 1, 8), 16, 10).cast("long") / 2.0**32
+    near = materialize(ids.join(counts, same(ids, counts, keys)).where(low < share).select(*[ids[c] for c in ids.columns]), "near")
+    have = near.groupBy(*strata).agg(F.count("*").alias("_have"))
+    short = counts.join(have, same(counts, have, keys), "left").where(F.coalesce("_have", F.lit(0)) < F.least("_n", F.lit(k))).select(*[counts[c] for c in keys])
+    if not short.isEmpty():
+        short = materialize(short, "short")
+        near = near.join(short, same(near, short, keys), "left_anti").unionByName(ids.join(short, same(ids, short, keys), "left_semi"))
     turn = F.row_number().over(Window.partitionBy(*strata).orderBy("_noise", "question_id"))
-    chosen = ids.withColumn("_turn", turn).where(F.col("_turn") <= k).orderBy("_turn", *strata).limit(k)
+    chosen = near.withColumn("_turn", turn).where(F.col("_turn") <= k).orderBy("_turn", *strata).limit(k)
     return df.join(chosen.select("question_id"), "question_id", "left_semi")
 
 

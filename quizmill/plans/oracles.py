@@ -173,6 +173,7 @@ ORACLES: dict[str, str] = {
     "br_question_id": _with(_RAW, f"select p_partkey, {_id('question', 'correct_answer')} as question_id from raw"),
     "br_dedupe": f"select {_id(chr(39) + 'q' + chr(39), 'cast(l_partkey as varchar)')} as question_id, strftime(l_shipdate, '%Y-%m-%d') as fetched_at, l_orderkey as batch_id, l_linenumber as pos from lineitem qualify row_number() over (partition by l_partkey order by strftime(l_shipdate, '%Y-%m-%d'), l_orderkey, l_linenumber) = 1",
     "br_new_questions": _with(_RAW, "select question_id, case when p_partkey % 3 = 0 then question else question || ' (new)' end as question from raw"),
+    "br_new_questions_prefiltered": _with(_RAW, "select question_id, case when p_partkey % 20 <> 0 then question else question || ' (new)' end as question from raw"),
     "br_ingest_summary": _with(_RESPONSES, f"select count(distinct {_id('question', 'correct_answer')}) as unique_questions, 1000::bigint as expected_questions, arg_max(category, p_partkey) as last_category, case when count(distinct {_id('question', 'correct_answer')}) >= 1000 then 'complete' else 'partial' end as status from ok"),
     "br_response_audit": _with(_RESPONSES, "select batch % 24 + 9 as category_id, case when batch % 7 = 6 then 4 else 0 end as response_code, count(distinct batch) as n_batches, cast(sum(case when batch % 7 = 6 then 0 else 1 end) as bigint) as n_results from b group by 1, 2"),
     "sq_unescape": "select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&amp;', '&'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&apos;', ''''), '\\s+', ' ', 'g')) as title from pages",
@@ -222,6 +223,8 @@ ORACLES: dict[str, str] = {
     "mt_performance_by_difficulty": _with(_S, f"select model_slug, prompt_variant, difficulty, question_type, count(*) as n_questions, count(*) filter (where is_empty_answer) as n_empty, {_ACC}, round(median(response_time) filter (where not is_warmup), 6) as response_time_median from s group by 1, 2, 3, 4"),
     "mt_prompt_performance": _with(_S, _PROMPT),
     "mt_latency": _with(_S, _LATENCY),
+    "mt_latency_ranged": _with(_S, _LATENCY),
+    "mt_model_performance_ranged": _with(_R, _PERF),
     "mt_question_hardness": _with(_S, _HARD),
     "mt_matching_impact": _with(_S, _IMPACT),
     "mt_position_bias": _with(_S, _BIAS),
@@ -259,6 +262,7 @@ ORACLES: dict[str, str] = {
     "st_bronze": _with(_RESPONSES, f"select {_id('question', 'correct_answer')} as question_id, category, type, difficulty, question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, batch_id from ok"),
     "pr_prompt_hash": _with(_ALL + ", " + _HASHES, "select prompt_variant, substr(sha256(system || '␟' || multiple || '␟' || boolean), 1, 12) as prompt_hash, n_answers from probes join (select prompt_variant, count(*) as n_answers from aa group by 1) using (prompt_variant)"),
     "pr_pending_all": _with(_ALL, "select question_id, v as prompt_variant, model_slug from qq, (select unnest(['p1_constrained_mcq', 'p2_open_minimal', 'p3_open_guided']) as v), (select distinct model_slug from aa) m where not exists (select 1 from aa where aa.question_id = qq.question_id and aa.prompt_variant = v and aa.model_slug = m.model_slug and status = 'ok')"),
+    "pr_pending_prefiltered": _with(_ALL, "select question_id, v as prompt_variant, model_slug from qq, (select unnest(['p1_constrained_mcq', 'p2_open_minimal', 'p3_open_guided']) as v), (select distinct model_slug from aa) m where not exists (select 1 from aa where aa.question_id = qq.question_id and aa.prompt_variant = v and aa.model_slug = m.model_slug and status = 'ok')"),
     "mt_judged": _with(_CASCADE + f", js as (select * replace (case when match_method = 'undecided' then 'no_match' else match_method end as match_method, case when match_method = 'undecided' then false else ai_correct end as ai_correct) from j3 where status = 'ok'), jt as (select *, {_STRICT} as ai_correct_strict from js)", f"select model_slug, prompt_variant, {_MODE} as mode, match_method, count(*) as n_answers, round(count(*)::double / sum(count(*)) over (partition by model_slug, prompt_variant), 6) as share, round(avg(ai_correct::int), 6) as accuracy_permissive, round(avg(ai_correct_strict::int), 6) as accuracy_strict from jt group by 1, 2, 3, 4"),
     "io_responses": _with(_RESPONSES, "select 'b' || lpad(cast(batch as varchar), 6, '0') as batch_id, batch % 24 + 9 as category_id, case when batch % 7 = 6 then 4 else 0 end as response_code, case when batch % 7 = 6 then 0 else count(*) end as n_results, case when batch % 7 <> 6 then base64(encode(arg_min(question, p_partkey))) end as first_question from b group by batch"),
     "io_bronze": _with(_RAW, f"select question_id, category, type, difficulty, {_SAID_QUESTION} as question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, 'b0' as batch_id from raw"),

@@ -65,6 +65,14 @@ def br_new_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.new_questions(raw.select("question_id", F.concat("question", F.lit(" (new)")).alias("question")), had)
 
 
+@query
+def br_new_questions_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``br_new_questions``, for a batch that is small beside what exists."""
+    raw = V.raw_questions(spark, sf_dir).select("question_id", "question", "p_partkey")
+    batch = raw.where("p_partkey % 10 = 0").select("question_id", F.concat("question", F.lit(" (new)")).alias("question"))
+    return B.new_questions(batch, raw.where("p_partkey % 20 <> 0").select("question_id", "question"), prefilter=True)
+
+
 @query
 def br_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bronze_of_responses(spark, sf_dir)
@@ -126,6 +134,14 @@ def pr_pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.select_pending(todo, given).select("question_id", "prompt_variant", "model_slug")
 
 
+@query
+def pr_pending_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``pr_pending_all``, with a filter before the answers are shuffled."""
+    given = V.all_answers(spark, sf_dir)
+    todo = prompts.expand_variants(V.questions(spark, sf_dir).select("question_id")).crossJoin(given.select("model_slug").distinct())
+    return work.select_pending(todo, given, prefilter=True).select("question_id", "prompt_variant", "model_slug")
+
+
 @query
 def pr_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.done_keys(V.all_answers(spark, sf_dir))
@@ -352,6 +368,8 @@ _mart("performance_by_category", marts.mart_performance_by_category)
 _mart("performance_by_difficulty", marts.mart_performance_by_difficulty)
 _mart("prompt_performance", marts.mart_prompt_performance)
 _mart("latency", marts.mart_latency)
+_mart("model_performance_ranged", lambda r: marts.mart_model_performance(r, "ranged"))
+_mart("latency_ranged", lambda r: marts.mart_latency(r, "ranged"))
 _mart("matching_impact", marts.mart_matching_impact)
 _mart("errors", marts.mart_errors)
 
