@@ -259,6 +259,24 @@ ORACLES: dict[str, str] = {
         union all select 'accepted_range', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < 0 or c > 1)
         union all select 'accepted_range', 'int_results', 'fuzzy_score', (select count(*) from r where fuzzy_score < 0 or fuzzy_score > 50)
         union all select 'permissive_at_least_strict', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < t)"""),
+    "qc_one_pass": _with(_S, """, p as (select avg(ai_correct_strict::int) as t, avg(ai_correct::int) as c from s group by model_slug, prompt_variant)
+        select 'not_null' as "check", 'int_results' as "table", 'question_id' as "column", count(*) filter (where question_id is null) as n_bad from r
+        union all select 'not_null', 'int_results', 'model_slug', count(*) filter (where model_slug is null) from r
+        union all select 'not_null', 'int_results', 'prompt_variant', count(*) filter (where prompt_variant is null) from r
+        union all select 'not_null', 'int_results', 'match_method', count(*) filter (where match_method is null) from r
+        union all select 'not_null', 'int_results', 'ai_correct', count(*) filter (where ai_correct is null) from r
+        union all select 'unique', 'questions', 'question_id', (select count(*) from (select 1 from qq group by question_id having count(*) > 1))
+        union all select 'unique', 'int_results', 'question_id+model_slug+prompt_variant', (select count(*) from (select 1 from r group by question_id, model_slug, prompt_variant having count(*) > 1))
+        union all select 'unique', 'answers', 'question_id+model_slug+prompt_variant', (select count(*) from (select 1 from aa group by question_id, model_slug, prompt_variant having count(*) > 1))
+        union all select 'accepted_values', 'questions', 'difficulty', (select count(*) from qq where difficulty not in ('easy', 'medium', 'hard'))
+        union all select 'accepted_values', 'questions', 'type', (select count(*) from qq where type not in ('multiple', 'boolean'))
+        union all select 'accepted_values', 'int_results', 'match_method', (select count(*) from r where match_method not in ('boolean', 'exact', 'choice_letter', 'choice_match', 'fuzzy', 'no_match'))
+        union all select 'relationship', 'answers', 'question_id', (select count(*) from aa where question_id not in (select question_id from qq where type = 'multiple'))
+        union all select 'accepted_range', 'mart_prompt_performance', 'accuracy_strict', (select count(*) from p where t < 0 or t > 1)
+        union all select 'accepted_range', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < 0 or c > 1)
+        union all select 'accepted_range', 'int_results', 'fuzzy_score', (select count(*) from r where fuzzy_score < 0 or fuzzy_score > 50)
+        union all select 'permissive_at_least_strict', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < t)"""),
+    "qc_offending_keys": _with(_ALL, "select question_id, model_slug, prompt_variant, count(*) as n from aa group by 1, 2, 3 having count(*) > 1 order by n desc, question_id, model_slug, prompt_variant limit 20"),
     "st_bronze": _with(_RESPONSES, f"select {_id('question', 'correct_answer')} as question_id, category, type, difficulty, question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, batch_id from ok"),
     "pr_prompt_hash": _with(_ALL + ", " + _HASHES, "select prompt_variant, substr(sha256(system || '␟' || multiple || '␟' || boolean), 1, 12) as prompt_hash, n_answers from probes join (select prompt_variant, count(*) as n_answers from aa group by 1) using (prompt_variant)"),
     "pr_pending_all": _with(_ALL, "select question_id, v as prompt_variant, model_slug from qq, (select unnest(['p1_constrained_mcq', 'p2_open_minimal', 'p3_open_guided']) as v), (select distinct model_slug from aa) m where not exists (select 1 from aa where aa.question_id = qq.question_id and aa.prompt_variant = v and aa.model_slug = m.model_slug and status = 'ok')"),

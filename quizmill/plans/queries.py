@@ -356,6 +356,33 @@ def ft_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
 
 
+@query
+def qc_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of ``qc_suite`` by one scan and one shuffle a table."""
+    r, q, raw = results(spark, sf_dir), V.questions(spark, sf_dir), V.all_answers(spark, sf_dir)
+    return quality.suite(
+        [
+            quality.by_key(
+                r,
+                "int_results",
+                _KEY,
+                not_null=["question_id", "model_slug", "prompt_variant", "match_method", "ai_correct"],
+                accepted={"match_method": ["boolean", "exact", "choice_letter", "choice_match", "fuzzy", "no_match"]},
+                ranges={"fuzzy_score": (0.0, 50.0)},
+            ),
+            quality.by_key(q, "questions", ["question_id"], accepted={"difficulty": ["easy", "medium", "hard"], "type": ["multiple", "boolean"]}),
+            quality.by_key(raw, "answers", _KEY, relationship=("question_id", q.where("type = 'multiple'"))),
+            quality.rates(marts.mart_prompt_performance(r), "mart_prompt_performance", ["accuracy_strict", "accuracy_permissive"], "accuracy_strict", "accuracy_permissive"),
+        ]
+    )
+
+
+@query
+def qc_offending_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triples with most answers, whose repeats the checks find: a report of twenty."""
+    return quality.offending_keys(V.all_answers(spark, sf_dir), _KEY)
+
+
 def _mart(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(build(results(spark, sf_dir)))

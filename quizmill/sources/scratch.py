@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,10 +41,18 @@ def listed(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", "length", "modificationTime")
 
 
-def fingerprint(spark: SparkSession, paths: list[str]) -> tuple[int, int, int]:
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple[int, ...]:
     """Tells whether files were added, replaced or taken away since: their number, bytes, and a hash of
-    names, lengths and times."""
-    return tuple(listed(spark, paths).agg(F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+    names, lengths and times. Paths that don't exist have no files."""
+    try:
+        files = listed(spark, paths)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if len(paths) > 1:
+            return sum((fingerprint(spark, [p]) for p in paths), ())
+        return (0, 0, 0)
+    return tuple(files.agg(F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
 
 @contextmanager

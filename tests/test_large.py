@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_first import shuffled_bytes
 
+from quizmill.operators import quality
 from quizmill.operators.bronze import new_questions
 from quizmill.operators.percentiles import ranged_percentiles
 from quizmill.operators.prefilter import may_match
@@ -100,3 +101,21 @@ def test_samples_of_large_strata(spark, n, k):
         order.append((turns[category], category, q))
     assert got == sorted(q for *_, q in sorted(order)[:k])
     assert n < 1000 or moved < 200 * 3 * 3 * k
+
+
+def test_checks_by_key(spark):
+    """As the single checks: null keys are neither repeated nor lost; empty tables have nothing to find."""
+    rows = [("a", 1, "ok", 0.5), ("a", 1, "bad", 1.5), ("a", 2, None, None), (None, 1, "ok", 0.1), (None, 1, "ok", -1.0), ("z", 1, "ok", 0.2), ("z", 1, "ok", 0.2), ("z", 1, "ok", 0.2)]
+    df = spark.createDataFrame(rows, "k string, n int, s string, x double")
+    parent = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    how = {"not_null": ["s"], "accepted": {"s": ["ok"]}, "ranges": {"x": (0.0, 1.0)}, "relationship": ("k", parent)}
+    found = lambda d: {(r.check, r.column): r.n_bad for r in quality.by_key(d, "t", ["k", "n"], **how).collect()}
+    assert found(df) == {("unique", "k+n"): 2, ("not_null", "s"): 1, ("accepted_values", "s"): 1, ("accepted_range", "x"): 2, ("relationship", "k"): 3}
+    single = [quality.unique(df, "t", ["k", "n"]), quality.not_null(df, "t", ["s"]), quality.accepted(df, "t", "s", ["ok"]), quality.in_range(df, "t", ["x"]), quality.relationship(df, "t", "k", parent)]
+    assert {(r.check, r.column): r.n_bad for r in quality.suite(single).collect()} == found(df)
+    assert set(found(df.where("false")).values()) == {0}
+    assert [tuple(r) for r in quality.offending_keys(df, ["k", "n"]).collect()] == [("z", 1, 3), ("a", 1, 2)]
+    plan = quality.by_key(df, "t", ["k", "n"], accepted={"s": ["ok"]})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rates = spark.createDataFrame([(0.2, 0.1), (0.2, 1.3), (-0.1, 0.5)], "low double, high double")
+    assert {(r.check, r.column): r.n_bad for r in quality.rates(rates, "m", ["low", "high"], "low", "high").collect()} == {("accepted_range", "low"): 1, ("accepted_range", "high"): 1, ("permissive_at_least_strict", "high"): 1}
