@@ -80,8 +80,8 @@ def by_key(
 
 def offending_keys(df: DataFrame, key: list[str], k: int = 20) -> DataFrame:
     """``k`` of the keys that occur more than once, the most frequent first, with their counts."""
-    counts = df.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-    return counts.orderBy(F.desc("n"), *key).limit(k)
+    counts = df.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    return counts.orderBy(F.desc("n_rows"), *key).limit(k)
 
 
 def rates(df: DataFrame, table: str, columns: list[str], low: str, high: str) -> DataFrame:

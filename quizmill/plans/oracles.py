@@ -276,7 +276,7 @@ ORACLES: dict[str, str] = {
         union all select 'accepted_range', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < 0 or c > 1)
         union all select 'accepted_range', 'int_results', 'fuzzy_score', (select count(*) from r where fuzzy_score < 0 or fuzzy_score > 50)
         union all select 'permissive_at_least_strict', 'mart_prompt_performance', 'accuracy_permissive', (select count(*) from p where c < t)"""),
-    "qc_offending_keys": _with(_ALL, "select question_id, model_slug, prompt_variant, count(*) as n from aa group by 1, 2, 3 having count(*) > 1 order by n desc, question_id, model_slug, prompt_variant limit 20"),
+    "qc_offending_keys": _with(_ALL, "select question_id, model_slug, prompt_variant, count(*) as n_rows from aa group by 1, 2, 3 having count(*) > 1 order by n_rows desc, question_id, model_slug, prompt_variant limit 20"),
     "st_bronze": _with(_RESPONSES, f"select {_id('question', 'correct_answer')} as question_id, category, type, difficulty, question, correct_answer, {_INCORRECT_JSON} as incorrect_answers, '2026-01-01' as fetched_at, batch_id from ok"),
     "pr_prompt_hash": _with(_ALL + ", " + _HASHES, "select prompt_variant, substr(sha256(system || '␟' || multiple || '␟' || boolean), 1, 12) as prompt_hash, n_answers from probes join (select prompt_variant, count(*) as n_answers from aa group by 1) using (prompt_variant)"),
     "pr_pending_all": _with(_ALL, "select question_id, v as prompt_variant, model_slug from qq, (select unnest(['p1_constrained_mcq', 'p2_open_minimal', 'p3_open_guided']) as v), (select distinct model_slug from aa) m where not exists (select 1 from aa where aa.question_id = qq.question_id and aa.prompt_variant = v and aa.model_slug = m.model_slug and status = 'ok')"),
