@@ -43,4 +43,19 @@ pos as (select a, anchor_id, row_number() over (partition by a order by score de
 select anchor_id, positive_id, cast(row_number() over (partition by a, k order by score desc, vec_id) as int) as rank, vec_id as negative_id, positive_score, score as negative_score
 from pos join p using (a, anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
 qualify row_number() over (partition by a, k order by score desc, vec_id) <= 3""",
+    "op12_periodic_runs": f"""
+with d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+c as (select *, len(w) as n, xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint), lambda r, b: list_reduce(range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(r, b)), 4294967295::bigint), 4294967295) as h from d),
+g as (select *, h // 10 as g, case when n > 0 and h % 10 = 0 then (h // 10) % n else n end as a from c),
+p as (select *, 1 + (n - a) // (3 + g % 8) as p from g),
+t as (select doc_id, n, i, case when i < a or a is null then w[i + 1] else w[(a + (i - a) % p)::bigint + 1] end as x from p, unnest(range(n)) u(i)),
+same as (select l.doc_id, r.i - l.i as q, l.i from t l join t r on l.doc_id = r.doc_id and l.x = r.x and r.i > l.i and 3 * (r.i - l.i) <= l.n),
+islands as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as k from same),
+stretches as (select doc_id, q, min(i) as s, max(i) + 1 + q as e from islands group by doc_id, q, k having max(i) + 1 + q - min(i) >= greatest(24, 3 * q)),
+runs as (select doc_id, s, e - s as len, min(q) as q from stretches group by doc_id, s, e),
+best as (select doc_id, count(*) as n_runs, arg_max(struct_pack(s := s, len := len, q := q), struct_pack(x := len::double / q, s := -s, q := -q)) as b, sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q)) as sha from runs group by doc_id),
+gone as (select distinct r.doc_id, u.i from runs r, unnest(range(r.s + r.q, r.s + r.len)) u(i)),
+kept as (select doc_id, string_agg(x, ' ' order by i) as text from t anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(n_runs, 0) as n_runs, b.s as start, b.len as length, b.q as period, 1000 * b.len // b.q as exponent_milli, coalesce(sha, sha256('')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
+from d left join best using (doc_id) left join kept using (doc_id)""",
 }
