@@ -230,6 +230,7 @@ ORACLES: dict[str, str] = {
     "mt_position_bias": _with(_S, _BIAS),
     "mt_errors": _with(_R, _ERRORS),
     "rv_accuracy_long": _with(_R, f"select model_slug, model_name, measure, accuracy from (unpivot (select model_slug, model_name, accuracy_strict, accuracy_permissive, accuracy_permissive_excl_empty from ({_PERF})) on accuracy_strict, accuracy_permissive, accuracy_permissive_excl_empty into name measure value accuracy)"),
+    "rv_explore_categories": _with(_S + f", hard as ({_HARD})", "select question_id, category, n_attempts, success_rate from hard where category in (select category from hard group by 1 order by count(*) desc, category limit 2)"),
     "rv_explore_questions": _with(_S, f"select question_id, category, n_attempts, success_rate from ({_HARD}) where failed_by_everyone order by success_rate asc nulls last, question_id limit 25"),
     "rv_category_gaps": _with(_S, "select model_slug, category, round(acc - m, 6) as delta_to_model_average from (select model_slug, category, avg(ai_correct::int) as acc from s group by 1, 2) join (select model_slug, avg(ai_correct::int) as m from s group by 1) using (model_slug)"),
     "rv_leaked_letters": _with(_S, "select model_slug, count(*) as n_answers from s where match_method = 'choice_letter' and prompt_variant <> 'p1_constrained_mcq' group by 1"),

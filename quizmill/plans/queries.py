@@ -430,6 +430,14 @@ def rv_explore_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(views.explore_questions(mt_question_hardness(spark, sf_dir), only_failed=True, k=25)).select("question_id", "category", "n_attempts", "success_rate")
 
 
+@query
+def rv_explore_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All questions of the two categories with most questions, as the explorer's category filter shows them."""
+    hardness = materialize(mt_question_hardness(spark, sf_dir))
+    chosen = [r.category for r in hardness.groupBy("category").count().orderBy(F.desc("count"), "category").limit(2).collect()]
+    return rounded(views.explore_questions(hardness, categories=chosen)).select("question_id", "category", "n_attempts", "success_rate")
+
+
 @query
 def rv_category_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(views.category_gaps(marts.mart_performance_by_category(results(spark, sf_dir)))).select("model_slug", "category", "delta_to_model_average")
