@@ -1,7 +1,7 @@
 """Text functions: folding, normalising, unescaping, similarity.
 
-Three small Arrow helpers do what Spark has no function for: full case folding with decomposition,
-HTML entities, and the token-set ratio. All else is built from Spark's functions.
+Small Arrow helpers do what Spark has no function for: full case folding with decomposition,
+HTML entities, and the token-set ratio (``similarity.py``). All else is built from Spark's functions.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
+from .similarity import common_length, token_set_ratios
+
 _ARTICLE = r"^(?:the|a|an) "
 
 
@@ -136,21 +138,6 @@ def literal_list(texts: pd.Series) -> pd.Series:
     return texts.map(_literal)
 
 
-def _common(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bit-parallel columns."""
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    free = full
-    for c in b:
-        hit = free & masks.get(c, 0)
-        free = (free + hit | free - hit) & full
-    return len(a) - free.bit_count()
-
-
 def _ratio(a: int, b: int, shared: int) -> float:
     return 100.0 * 2 * shared / (a + b) if a + b else 100.0
 
@@ -166,7 +153,7 @@ def token_set_ratio(a: str | None, b: str | None) -> float:
     common, left, right = (" ".join(sorted(s)) for s in (both, x - y, y - x))
     gap = 1 if common else 0
     n, p, q = len(common), len(common) + gap + len(left), len(common) + gap + len(right)
-    best = _ratio(p, q, n + gap + _common(left, right))
+    best = _ratio(p, q, n + gap + common_length(left, right))
     if common:
         best = max(best, _ratio(n, p, n), _ratio(n, q, n))
     return best
@@ -174,4 +161,8 @@ def token_set_ratio(a: str | None, b: str | None) -> float:
 
 @F.pandas_udf(DoubleType())
 def fuzzy_score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """``token_set_ratio``, a whole batch at once; 0 where a text is null."""
+    score = pd.Series(0.0, index=a.index)
+    given = a.notna() & b.notna()
+    score[given] = token_set_ratios(a[given].tolist(), b[given].tolist())
+    return score
