@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.questions import clean_questions
 from ..operators.work import latest_answers
-from ..schemas import ANSWERS, TRIPLE, conform
+from ..schemas import ANSWERS, conform
 from .store import stored
 
 RAW_QUESTIONS = """
@@ -116,20 +116,6 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "latest_answers", lambda: latest_answers(all_answers(spark, sf_dir), ("answered_at", "seq")))
 
 
-#: Judgments in closed form by kind of answer, without the ids that begin with 0.
-METHODS = ["choice_letter", "choice_letter", "exact", "exact", "choice_letter", "choice_letter", "choice_match", "fuzzy", "no_match", "llm_judge_failed", "no_match", "error"]
-RIGHT = [True, False, True, True, False, True, False, True, False, False, False, None]
-SCORE = [0.0, 0.0, 100.0, 100.0, 0.0, 0.0, 0.0, 100.0, 25.0, 10.0, 0.0, 0.0]
-
-
-def judgments(answers: DataFrame) -> DataFrame:
-    kind = F.col("kind") + 1
-    method, right = F.element_at(F.array(*map(F.lit, METHODS)), kind), F.element_at(F.array(*[F.lit(x).cast("boolean") for x in RIGHT]), kind)
-    strict = F.when(method != "error", method.isin("exact", "choice_letter", "choice_match") & right)
-    norm = F.when(kind == 2, "a").when(kind == 1, F.lower("ai_answer")).otherwise(F.lower(F.regexp_replace("ai_answer", "[^A-Za-z0-9 ]", "")))
-    return answers.where(~F.col("question_id").startswith("0")).select(*TRIPLE, method.alias("match_method"), norm.alias("ai_answer_norm"), strict.alias("ai_correct_strict"), right.alias("ai_correct"), F.element_at(F.array(*map(F.lit, SCORE)), kind).alias("fuzzy_score"))
-
-
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions in responses of 50, texts in base64; every seventh response failed and is empty."""
     raw = raw_questions(spark, sf_dir).withColumn("batch", F.floor(F.col("p_partkey") / 50))

@@ -64,20 +64,6 @@ _A = (
     + """,
 a as (select * from aa qualify row_number() over (partition by question_id, model_slug, prompt_variant order by status = 'ok' desc, answered_at desc, seq desc) = 1)"""
 )
-_R = (
-    _A
-    + """,
-r as (
-  select a.*, qq.category, qq.category_group, qq.category_name, qq.type as question_type, qq.difficulty, qq.question, qq.correct_answer, qq.choices, qq.n_choices, qq.correct_answer_position,
-    case when not starts_with(a.question_id, '0') then (['choice_letter','choice_letter','exact','exact','choice_letter','choice_letter','choice_match','fuzzy','no_match','llm_judge_failed','no_match','error'])[kind + 1] end as match_method,
-    case when not starts_with(a.question_id, '0') then ([true,false,true,true,false,true,false,true,false,false,false,null])[kind + 1] end as ai_correct,
-    case when not starts_with(a.question_id, '0') then ([true,false,true,true,false,true,false,false,false,false,false,null])[kind + 1] end as ai_correct_strict,
-    case when not starts_with(a.question_id, '0') then ([0.0,0.0,100.0,100.0,0.0,0.0,0.0,100.0,25.0,10.0,0.0,0.0])[kind + 1]::double end as fuzzy_score,
-    case when not starts_with(a.question_id, '0') then case kind when 1 then 'a' when 0 then lower(ai_answer) else lower(regexp_replace(ai_answer, '[^A-Za-z0-9 ]', '', 'g')) end end as ai_answer_norm,
-    status = 'ok' as is_scorable, status = 'ok' and trim(ai_answer) = '' as is_empty_answer, finish_reason = 'maxPredictedTokensReached' as is_truncated
-  from a join qq using (question_id))"""
-)
-_S = _R + ", s as (select * from r where is_scorable)"
 _ACC = """round(avg(ai_correct_strict::int), 6) as accuracy_strict, round(avg(ai_correct::int), 6) as accuracy_permissive,
   round(avg(ai_correct::int) filter (where not is_empty_answer), 6) as accuracy_permissive_excl_empty"""
 _MODE = "case when prompt_variant = 'p1_constrained_mcq' then 'constrained' else 'open' end"
@@ -113,16 +99,14 @@ def _truth(norm: str) -> str:
 
 _SINGLE = "case when len(list_filter(choices_norm, lambda c: c = n)) = 1 then choices[list_position(choices_norm, n)] end"
 _AQ = _A + f", aq as (select a.*, choices, choices_norm, correct_answer_norm, answer_is_numeric, type, case when status = 'ok' then {_bare('ai_answer')} else '' end as n from a join qq using (question_id))"
-_CASCADE = (
-    _AQ
-    + f""",
+_STAGES = f""",
 j1 as (select *, {_truth('n')} as truth, {_truth('correct_answer_norm')} as want, {_GUARDED} as named, {_SINGLE} as single,
          n <> '' and len(list_filter(string_split(n, ' '), lambda w: not list_contains(string_split(correct_answer_norm, ' '), w))) = 0 as subset from aq),
 j2 as (select *, case when status <> 'ok' then 'error' when n = '' then 'no_match' when type = 'boolean' and truth is not null and want is not null then 'boolean' when n = correct_answer_norm then 'exact'
          when named is not null then 'choice_letter' when single is not null then 'choice_match' when subset and not answer_is_numeric then 'fuzzy' else 'undecided' end as match_method from j1),
 j3 as (select *, case match_method when 'boolean' then truth = want when 'exact' then true when 'fuzzy' then true when 'choice_letter' then choices_norm[list_position(choices, named)] = correct_answer_norm
          when 'choice_match' then choices_norm[list_position(choices, single)] = correct_answer_norm when 'no_match' then false end as ai_correct from j2)"""
-)
+_CASCADE = _AQ + _STAGES
 _STRICT = "case when match_method = 'error' then null when match_method in ('boolean','exact','choice_letter','choice_match') then ai_correct else false end"
 _HARD = "select question_id, any_value(question) as question, any_value(category) as category, any_value(difficulty) as difficulty, any_value(question_type) as question_type, any_value(correct_answer) as correct_answer, count(*) as n_attempts, count(ai_correct) as n_judged, count(*) filter (where ai_correct) as n_correct, count(*) filter (where is_empty_answer) as n_empty, round(avg(ai_correct::int), 6) as success_rate, count(*) filter (where ai_correct) = 0 as failed_by_everyone from s group by 1"
 _IMPACT = f"select model_slug, prompt_variant, {_MODE} as mode, coalesce(match_method, 'unjudged') as match_method, count(*) as n_answers, round(count(*)::double / sum(count(*)) over (partition by model_slug, prompt_variant), 6) as share, round(avg(ai_correct::int), 6) as accuracy_permissive, round(avg(ai_correct_strict::int), 6) as accuracy_strict, round(avg(fuzzy_score), 6) as fuzzy_score_avg from s group by 1, 2, 3, 4"
@@ -152,13 +136,32 @@ _CLEAN = f"""select conv_id, turn, trim(case when ends_with(d, '.') and not ends
     '^(answer|réponse)\\s*[:\\-]\\s*', '', 'i'), '^{_EDGE.replace("'", "''")}', ''), '{_EDGE.replace("'", "''")}$', '') as d from said)"""
 #: The token-set ratio: sets of words, what they share and what is left, and the longest common
 #: subsequence of the rests by bits (a text's places that hold a character, one character of the other at a time).
-_FUZZY = _AQ + f""", sets as (select question_id, model_slug, prompt_variant, list_sort(list_distinct(list_filter(string_split({_bare('ai_answer')}, ' '), lambda w: w <> ''))) as x,
+_SETS = f""", sets as (select question_id, model_slug, prompt_variant, list_sort(list_distinct(list_filter(string_split({_bare('ai_answer')}, ' '), lambda w: w <> ''))) as x,
     list_sort(list_distinct(list_filter(string_split(correct_answer_norm, ' '), lambda w: w <> ''))) as y from aq),
 rests as (select *, array_to_string(list_filter(x, lambda w: list_contains(y, w)), ' ') as held, array_to_string(list_filter(x, lambda w: not list_contains(y, w)), ' ') as l, array_to_string(list_filter(y, lambda w: not list_contains(x, w)), ' ') as r from sets),
 bits as (select *, (1::hugeint << length(l)) - 1 as whole, list_transform(string_split(r, ''), lambda c: coalesce(list_sum(list_transform(range(1, length(l) + 1), lambda i: case when l[i] = c then 1::hugeint << cast(i - 1 as int) else 0::hugeint end)), 0)::hugeint) as masks from rests),
 common as (select *, length(l) - case when l = '' or r = '' then length(l) else bit_count(list_reduce(list_prepend(whole, masks), lambda v, m: ((v + (v & m)) | (v - (v & m))) & whole)) end as shared,
     length(held) as n, case when held = '' then 0 else 1 end as gap from bits),
 sizes as (select *, n + gap + length(l) as p, n + gap + length(r) as q from common)"""
+_FUZZY = _AQ + _SETS
+_RATIO = "case when len(x) = 0 or len(y) = 0 then 0.0 when n > 0 and (l = '' or r = '') then 100.0 when n > 0 then greatest(200.0::double * (n + gap + shared) / (p + q), 200.0::double * n / (n + p), 200.0::double * n / (n + q)) else 200.0::double * shared / (p + q) end"
+#: Judgments as the stored fact table has them: the cascade, then an arbiter; ids that begin with 0 have none yet.
+_R = (
+    _CASCADE
+    + _SETS
+    + f""",
+j4 as (select question_id, model_slug, prompt_variant, n as ai_answer_norm, case when match_method = 'exact' then 100.0 when match_method in ('fuzzy', 'undecided') then score else 0.0 end::double as fuzzy_score,
+    case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge' when question_id < 'c' then 'llm_judge_rejected' else 'llm_judge_failed' end as match_method,
+    case when match_method <> 'undecided' then ai_correct else question_id < '4' end as ai_correct
+  from j3 join (select question_id, model_slug, prompt_variant, {_RATIO} as score from sizes) using (question_id, model_slug, prompt_variant) where not starts_with(question_id, '0')),
+v as (select *, {_STRICT} as ai_correct_strict from j4),
+r as (
+  select a.*, qq.category, qq.category_group, qq.category_name, qq.type as question_type, qq.difficulty, qq.question, qq.correct_answer, qq.choices, qq.n_choices, qq.correct_answer_position,
+    v.match_method, v.ai_correct, v.ai_correct_strict, v.fuzzy_score, v.ai_answer_norm,
+    status = 'ok' as is_scorable, status = 'ok' and trim(ai_answer) = '' as is_empty_answer, finish_reason = 'maxPredictedTokensReached' as is_truncated
+  from a join qq using (question_id) left join v using (question_id, model_slug, prompt_variant))"""
+)
+_S = _R + ", s as (select * from r where is_scorable)"
 _PROBE_ABOUT = "'Category: <category>' || chr(10) || 'Difficulty: <difficulty>' || chr(10) || 'Question: <probe>' || chr(10)"
 _HASHES = f"""probes as (
   select 'p1_constrained_mcq' as prompt_variant, {_SYSTEM['p1_constrained_mcq']} as system,
@@ -201,7 +204,7 @@ ORACLES: dict[str, str] = {
     "io_run_summary": _with(_ALL, "select run_id, model_name, model_slug, string_agg(distinct prompt_variant, '|' order by prompt_variant) as variants, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status <> 'ok') as n_error, max(answered_at) as finished_at, max(host) as host, max(hardware) as hardware from aa group by 1, 2, 3"),
     "sc_boolean": _with(_A, f"select question_id, model_slug, prompt_variant, {_truth(_bare('ai_answer'))} as label from a"),
     "sc_reference": _with(_AQ, f"select question_id, model_slug, prompt_variant, {_NAMED} as named, {_GUARDED} as guarded from aq"),
-    "sc_fuzzy": _with(_FUZZY, "select question_id, model_slug, prompt_variant, round(case when len(x) = 0 or len(y) = 0 then 0.0 when n > 0 and (l = '' or r = '') then 100.0 when n > 0 then greatest(200.0::double * (n + gap + shared) / (p + q), 200.0::double * n / (n + p), 200.0::double * n / (n + q)) else 200.0::double * shared / (p + q) end, 6) as score from sizes"),
+    "sc_fuzzy": _with(_FUZZY, f"select question_id, model_slug, prompt_variant, round({_RATIO}, 6) as score from sizes"),
     "sc_single_choice": _with(_AQ, f"select question_id, model_slug, prompt_variant, case when len(list_filter(choices_norm, lambda c: c = m)) = 1 then choices[list_position(choices_norm, m)] end as choice from (select *, {_bare('ai_answer')} as m from aq)"),
     "jd_cascade": _with(_CASCADE, f"select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, n as ai_answer_norm, case match_method when 'exact' then 100.0 when 'fuzzy' then 100.0 when 'undecided' then null else 0.0 end::double as fuzzy_score from j3"),
     "jd_arbitrate": _with(_CASCADE, f"""select question_id, model_slug, prompt_variant, match_method, ai_correct, {_STRICT} as ai_correct_strict, 'arbiter' as judge_model, 'v1' as judgment_version, '2026-01-03' as judged_at
@@ -216,8 +219,8 @@ ORACLES: dict[str, str] = {
         from (select * replace (case when match_method <> 'undecided' then match_method when question_id < '4' then 'llm_judge_rejected' when question_id < '8' then 'llm_judge' else 'llm_judge_failed' end as match_method,
           case when match_method <> 'undecided' then ai_correct else question_id >= '4' and question_id < '8' end as ai_correct) from j3)"""),
     "jd_verdicts": _with(_AQ, "select aq.question_id, model_slug, prompt_variant, 'Question: ' || question || chr(10) || 'Reference answer: ref' || chr(10) || 'Candidate answer: ' || ai_answer || chr(10) || 'Does the candidate answer mean the same as the reference answer? YES or NO.' as prompt, case when status = 'ok' and kind = 8 then 'yes' when kind = 9 then 'no' else 'failed' end as verdict from aq join qq using (question_id)"),
-    "ft_results": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
-    "ft_bucketed": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
+    "ft_results": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, round(fuzzy_score, 6) as fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
+    "ft_bucketed": _with(_R, "select question_id, model_slug, prompt_variant, question_type, difficulty, category_group, status, match_method, ai_correct, ai_correct_strict, round(fuzzy_score, 6) as fuzzy_score, is_scorable, is_empty_answer, is_truncated from r"),
     "mt_model_performance": _with(_R, _PERF),
     "mt_performance_by_category": _with(_S, f"select * exclude (m), round(acc - m, 6) as delta_to_model_average from (select model_slug, category, category_group, category_name, count(*) as n_questions, count(*) filter (where is_empty_answer) as n_empty, {_ACC}, avg(ai_correct::int) as acc from s group by 1, 2, 3, 4) join (select model_slug, avg(ai_correct::int) as m from s group by 1) using (model_slug)").replace("select * exclude (m), round", "select * exclude (m, acc), round"),
     "mt_performance_by_difficulty": _with(_S, f"select model_slug, prompt_variant, difficulty, question_type, count(*) as n_questions, count(*) filter (where is_empty_answer) as n_empty, {_ACC}, round(median(response_time) filter (where not is_warmup), 6) as response_time_median from s group by 1, 2, 3, 4"),

@@ -274,11 +274,12 @@ def jd_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).select(*_KEY, "match_method", "ai_correct", "ai_correct_strict", "ai_answer_norm", shown.alias("fuzzy_score"))
 
 
-def _arbitrated(spark: SparkSession, sf_dir: str, model_slug: str | None) -> DataFrame:
-    def arbiter(qid: str, answer: str) -> str:
-        return "yes" if qid < "4" else "no" if qid < "c" else "failed"
+def _arbiter(qid: str, answer: str) -> str:
+    return "yes" if qid < "4" else "no" if qid < "c" else "failed"
 
-    done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), model_slug, arbiter)
+
+def _arbitrated(spark: SparkSession, sf_dir: str, model_slug: str | None) -> DataFrame:
+    done = judge.run_judge(V.answers(spark, sf_dir), V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), model_slug, _arbiter)
     return done.select(*_KEY, "match_method", "ai_correct", "ai_correct_strict", "judge_model", "judgment_version", "judged_at")
 
 
@@ -328,9 +329,18 @@ def jd_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*_KEY, asked.alias("prompt"), judge.parse_verdict(F.when(F.col("kind") == 8, "YES.").when(F.col("kind") == 9, "No").otherwise(F.col("ai_answer")), F.col("status"), F.col("finish_reason")).alias("verdict"))
 
 
+def _judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored judgments: the cascade's and an arbiter's. Ids that begin with 0 aren't judged yet."""
+
+    def build() -> DataFrame:
+        ready = V.answers(spark, sf_dir).where(~F.col("question_id").startswith("0"))
+        return judge.run_judge(ready, V.questions(spark, sf_dir), "arbiter", "v1", F.lit("2026-01-03"), None, _arbiter)
+
+    return stored(spark, sf_dir, "judgments", build)
+
+
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = V.answers(spark, sf_dir)
-    return facts.int_results(a, V.questions(spark, sf_dir), V.judgments(a))
+    return facts.int_results(V.answers(spark, sf_dir), V.questions(spark, sf_dir), _judgments(spark, sf_dir))
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +350,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ft_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _results(spark, sf_dir).select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
+    return rounded(_results(spark, sf_dir).select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated"))
 
 
 @query
@@ -350,10 +360,10 @@ def ft_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, n = V.answers(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = fresh_path(spark, "bucketed")
     put = lambda df, name, dealt=False: T.write_bucketed(df, f"{name}_{path.rsplit('-', 1)[1]}", f"{path}/{name}", n, dealt)
-    tables = put(a, "answers"), put(V.questions(spark, sf_dir), "questions"), put(V.judgments(a), "judgments")
+    tables = put(a, "answers"), put(V.questions(spark, sf_dir), "questions"), put(_judgments(spark, sf_dir), "judgments")
     with settings(spark, T.MEET_ON_QUESTION):
         r = put(facts.int_results(*tables), "results", True)
-    return r.select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated")
+    return rounded(r.select(*_KEY, "question_type", "difficulty", "category_group", "status", "match_method", "ai_correct", "ai_correct_strict", "fuzzy_score", "is_scorable", "is_empty_answer", "is_truncated"))
 
 
 @query
@@ -595,7 +605,7 @@ def io_answer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def io_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All judged once, one model judged again: its partitions are replaced."""
     at = fresh_path(spark, "judgments")
-    verdicts = V.judgments(V.answers(spark, sf_dir)).withColumns({"judge_model": F.lit("j"), "judgment_version": F.lit("v1"), "judged_at": F.lit("2026-01-03")})
+    verdicts = _judgments(spark, sf_dir)
     T.write_judgments(verdicts, at)
     T.write_judgments(verdicts.where("model_slug = 'org_model-1'").withColumn("judgment_version", F.lit("v2")), at)
     return T.read_judgments(spark, at).select(*_KEY, "match_method", "ai_correct", "judgment_version")
