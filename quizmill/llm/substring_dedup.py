@@ -13,7 +13,8 @@ second. A bucket fixes up to 8 bits more, so from 256 buckets on different windo
 
 Nulls: a null text has no words. A null id counts as the largest. Rows that share id and text are
 copies of one document and fare alike; rows that share an id only are ordered by a hash of their
-texts. Documents are dealt out by id and text, so rows without an id spread over tasks too. An empty
+texts. Documents are dealt out by id and text, so rows without an id spread over tasks too; copies of one
+document that are more than a group's share of all rows are dealt out over as many groups as they fill. An empty
 table gives no rows. All columns are kept, whatever their names.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .numbering import dealt
+from .numbering import dealt, numbered
 from .packing_rows import bucket_of, by_bucket, groups_in_order, joined, row_writer, run_lengths, same_as_neighbour, squeezed, steps, unsqueezed, unsteps
 from .tasks import tidy
 from .wordhash import Words, words_of
@@ -37,6 +38,8 @@ HELD, BUCKET = 1 << 19, 3 << 19
 #: Bytes of text, about, that a group of documents holds when removals reach them.
 GROUP_BYTES = 16 << 20
 _LAST = 2**63 - 1
+#: Documents whose copies are spread over several groups, at most.
+HOT = 1 << 16
 #: Spread ids over the groups of documents, the same way in SQL and in tasks.
 _PRIME, _SPREAD = 2**31 - 1, 1_103_515
 _SENT = "bucket int, hashes binary, docs binary, marks binary, counts binary, starts binary, lengths binary"
@@ -57,19 +60,33 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = spark.sparkContext.defaultParallelism
     buckets, groups = max(tasks, -(-size // (6 * bucket))), max(tasks, -(-size // group_bytes))
+    keys = docs.select(own.alias("doc"), mark.alias("mark"))
+    parts = {} if unique else _parts(keys, groups)
     told = (
         dealt(docs.select(own.alias("doc"), mark.alias("mark"), F.col(text_col).alias("text")).mapInArrow(tidy(_send_windows(window, buckets, held)), _SENT), F.col("bucket"), buckets)
         .sortWithinPartitions("bucket")
-        .mapInArrow(tidy(_settle(groups)), _TOLD)
+        .mapInArrow(tidy(_settle(groups, parts)), _TOLD)
     )
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     spread = F.pmod(F.pmod(F.pmod(own, F.lit(_PRIME)) * _SPREAD, F.lit(_PRIME)) + mark, F.lit(groups))
     texts = docs.select(spread.cast("int").alias("bucket"), own.alias("doc"), mark.alias("mark"), F.struct(*rest).alias("row"), F.col(text_col).alias("text"))
+    if parts:
+        hot = F.broadcast(spark.createDataFrame([(d, m, n) for (d, m), n in parts.items()], "doc long, mark long, parts long"))
+        own_part = numbered(texts.join(hot, ["doc", "mark"]), 0, "number").withColumn("bucket", F.pmod(F.col("bucket") + F.col("number") % F.col("parts"), F.lit(groups)).cast("int"))
+        texts = texts.join(hot, ["doc", "mark"], "left_anti").select(*texts.columns).unionByName(own_part.select(*texts.columns))
     both = texts.unionByName(told, allowMissingColumns=True)
     out = StructType([texts.schema["row"]]).add("text", "string").add("n_words", "long").add("n_removed", "long")
     return dealt(both.withColumn("second", F.col("docs").isNull()), F.col("bucket"), groups).sortWithinPartitions("bucket", "second").mapInArrow(tidy(_cut(window, joined_words)), out)
 
 
+def _parts(keys: DataFrame, groups: int) -> dict[tuple[int, int], int]:
+    """Into how many groups the copies of one document go, where they are more than a group's share of all
+    rows; at most ``HOT`` documents are."""
+    n = keys.count()
+    many = keys.groupBy("doc", "mark").count().where(F.col("count") * min(groups, HOT) > n)
+    return {(r[0], r[1]): -(-r[2] * groups // n) for r in many.collect()}
+
+
 def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text and start, in words, of each window, its hash, and some bits of the second one."""
     number = np.maximum(np.diff(w.first) - window + 1, 0)
@@ -79,6 +96,11 @@ def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return text, start, w.runs(at, window), (w.runs(at, window, 1) >> np.uint64(40)).astype(np.uint32)
 
 
+def ragged(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first[i], first[i] + 1, ...``, ``n[i]`` numbers, for each ``i``."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
 def _intervals(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, start and length of the runs of consecutive starts of one owner; both sorted."""
     if not len(at):
@@ -180,16 +202,23 @@ def _lengths(rows: pa.Table) -> np.ndarray:
     return np.concatenate(unsqueezed(rows["lengths"], np.uint32)).astype(np.int64)
 
 
-def _settle(groups: int):
-    """From the windows of a bucket, the ones to remove, packed for the groups of documents."""
+def _settle(groups: int, parts: dict[tuple[int, int], int]):
+    """From the windows of a bucket, the ones to remove, packed for the groups of documents; all ``parts``
+    of a document with many copies are told."""
     schema = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "marks", "counts", "starts", "lengths"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         put, take = row_writer(schema)
 
         def tell(doc: np.ndarray, mark: np.ndarray, count: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
-            owner = np.repeat(np.arange(len(doc)), count)
             to = (doc % _PRIME * _SPREAD % _PRIME + mark) % groups
+            if parts:
+                times = np.array([parts.get(k, 1) for k in zip(doc.tolist(), mark.tolist(), strict=True)], np.int64)
+                first, copy = np.cumsum(count) - count, np.repeat(np.arange(len(doc)), times)
+                to = (to[copy] + ragged(np.zeros(len(doc), np.int64), times)) % groups
+                at = ragged(first[copy], count[copy])
+                doc, mark, count, start, length = doc[copy], mark[copy], count[copy], start[at], length[at]
+            owner = np.repeat(np.arange(len(doc)), count)
             for b, at in by_bucket(to[owner].astype(np.int32)):
                 x, c = run_lengths(owner[at])
                 put(b, *_pack(doc[x], mark[x], c, start[at], length[at]))

@@ -52,6 +52,21 @@ def test_documents_without_an_id_spread(spark):
     assert {r.n_removed for r in out.collect()} == {0}
 
 
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_equal_rows_spread(spark, one_id):
+    """A third of all rows are one document: no task gets them all, and all lose the same."""
+    passage = [f"p{k}" for k in range(20)]
+    docs = [(-1, "a " + " ".join(passage[:12]), "x")]
+    docs += [(None, f"w{i} " + " ".join(f"{i}x{k}" for k in range(20)), "y") for i in range(800)]
+    docs += [(one_id, "b c " + " ".join(passage) + " d", "z") for i in range(400)] + [(one_id, "other words", "z")]
+    out = remove_repeats(spark.createDataFrame(docs, "doc_id long, text string, bucket string").repartition(6), 5, group_bytes=2000)
+    sizes = [len(p) for p in out.select("n_removed").rdd.glom().collect()]
+    assert sum(sizes) == len(docs) and max(sizes) < 100
+    got = [tuple(r) for r in out.select("row.doc_id", "row.bucket", "n_words", "n_removed", "text").collect()]
+    assert got.count((one_id, "z", 23, 12, "b c " + " ".join(passage[12:]) + " d")) == 400
+    assert sorted(r[2:4] for r in got if r[1] != "z" or r[2] == 2) == [(2, 0), (13, 0)] + [(21, 0)] * 800
+
+
 def test_keys_hold_both_hashes():
     draw = np.random.default_rng(1)
     h, more = draw.integers(0, 2**56, 50, dtype=np.uint64), draw.integers(0, 2**24, 50, dtype=np.uint32)
