@@ -11,7 +11,9 @@ so each query would have to visit each machine. Shingles therefore route documen
    aside: a necessary condition, evaluated over all documents, that costs no link;
 3. the rest are routed by their prefix: of any two documents that link, each has one of the other's first
    ``n - ceil(t * n) + 1`` shingles in a common order. Shingles that are frequent, by a count sketch
-   of fixed size, come last in the order;
+   of fixed size, come last in the order. At the first shingle that two documents have in common, all that
+   they share is in what each has from there on, so a document's point in a tree counts only these: the
+   rare shingles that it has before them, alone, can't pass for shared ones;
 4. the documents of a shingle, in blocks of bounded size, form trees (one leaf where they are few). Each
    document takes from each tree the smallest document that the tree lets through. These pairs, one a
    document and tree at most, are verified; most groups of copies, however large, become one component;
@@ -29,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +56,8 @@ BLOCK, WIDE_BLOCK = 512, 2048
 SALTS = 32
 #: Pairs whose bounds are taken at once.
 _AT_ONCE = 1 << 15
+#: Points of one document that a task makes at once.
+_POINTS = 1 << 14
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -220,24 +225,33 @@ def _sketch(texts: DataFrame, width: int) -> np.ndarray:
     return levels
 
 
-def _prefixes(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width))
+def _in_order(u: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The shingles of a document in the common order: rare ones first, then by hash."""
+    return u[np.argsort(levels[(u % np.uint64(SKETCH)).astype(np.int64)], kind="stable")]
 
+
+def _set_of(u: np.ndarray) -> int:
+    """A number that tells the sets of rows that share an id apart."""
+    return int(scramble(u, 1).sum().view(np.int64))
+
+
+def _prefixes(texts: DataFrame, levels: Broadcast, width: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = sent.value
         for batch in batches:
             doc = batch.column(0).to_numpy()
-            keys, ids, sizes = [], [], []
+            keys, ids, sets, left = [], [], [], []
             for i, u in shingle_sets(batch.column(1), width):
                 n = len(u)
-                first = np.argsort(levels[(u % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[: (100 - percent) * n // 100 + 1]
-                keys.append(u[first])
+                first = _in_order(u, levels.value)[: (100 - percent) * n // 100 + 1]
+                keys.append(first)
                 ids.append(np.full(len(first), doc[i]))
-                sizes.append(np.full(len(first), n))
+                sets.append(np.full(len(first), _set_of(u)))
+                left.append(n - np.arange(len(first)))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], names=["key", "doc", "n"])
+                columns = [np.concatenate(keys).view(np.int64), *map(np.concatenate, (ids, sets, left))]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "doc", "set", "left"])
 
-    return texts.mapInArrow(tidy(run), "key long, doc long, n long")
+    return texts.mapInArrow(tidy(run), "key long, doc long, set long, left long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -272,28 +286,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def _routed(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``key, members, doc, size, point``: the documents of each prefix shingle that several have."""
-    keys = materialize(_prefixes(texts, width, percent))
+    """``key, members, doc, size, point``: the documents of each prefix shingle that several have; the point
+    counts a document's shingles from that one on."""
+    levels = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width))
+    keys = materialize(_prefixes(texts, levels, width, percent))
     shared = keys.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("members")).where("lo <> hi")
-    rows = keys.select("key", "doc").join(shared.select("key", "members"), "key")
-    points = texts.mapInArrow(tidy(_points(width)), "doc long, size long, point binary")
-    return rows.join(points, "doc").select("key", "members", "doc", "size", "point")
+    rows = keys.join(shared.select("key", "members"), "key").groupBy("doc", "set").agg(F.sort_array(F.collect_set(F.struct("left", "key", "members"))).alias("at"))
+    groups = texts.mapInArrow(tidy(_groups(width, levels)), "doc long, set long, groups binary").dropDuplicates(["doc", "set"])
+    return rows.join(groups, ["doc", "set"]).select("doc", "at.left", "at.key", "at.members", "groups").mapInArrow(tidy(_points), "key long, members long, doc long, size long, point binary")
 
 
-def _points(width: int):
-    """Counts of a document's shingles by group, in bytes: rounded up to a power of two where they are large."""
+def _groups(width: int, levels: Broadcast):
+    """The group of each shingle of a document, a byte each, in the common order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column(0).to_numpy()
-            found = [(doc[i], len(u), _packed(np.bincount((u >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS))) for i, u in shingle_sets(batch.column(1), width)]
+            found = [(doc[i], _set_of(u), ((_in_order(u, levels.value) >> np.uint64(40)) % np.uint64(GROUPS)).astype(np.uint8).tobytes()) for i, u in shingle_sets(batch.column(1), width)]
             if found:
-                ids, sizes, points = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary())], names=["doc", "size", "point"])
+                ids, sets, groups = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.int64()), pa.array(groups, pa.binary())], names=["doc", "set", "groups"])
 
     return run
 
 
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a document's shingles by group, from each prefix shingle on, in bytes: rounded up to a power
+    of two where they are large."""
+    names = ["key", "members", "doc", "size", "point"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            doc, left, key, members, groups = (batch.column(c)[i] for c in range(5))
+            groups = np.frombuffer(groups.as_py(), np.uint8)
+            left = left.values.to_numpy()
+            counts, at = np.zeros(GROUPS, np.int64), len(groups)
+            for lo in range(0, len(left), _POINTS):  # the least that is left first
+                points = []
+                for n in left[lo : lo + _POINTS].tolist():
+                    counts += np.bincount(groups[len(groups) - n : at], minlength=GROUPS)
+                    at = len(groups) - n
+                    points.append(_packed(counts))
+                k = len(points)
+                columns = [key.values.slice(lo, k), members.values.slice(lo, k), pa.array(np.full(k, doc.as_py())), pa.array(np.full(k, len(groups))), pa.array(points, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def _packed(counts: np.ndarray) -> bytes:
     shift = max(0, int(counts.max() - 1).bit_length() - 8)
     while -(-int(counts.max()) >> shift) > 255:

@@ -64,6 +64,26 @@ def test_trees_find_what_first_pairs_miss(spark, monkeypatch):
     assert seen[0].count() > 0
 
 
+def test_documents_of_one_template_give_few_pairs(spark, monkeypatch):
+    """Each has words of its own that keep it from linking: candidates don't grow with the square of their number."""
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    template, docs = [word() for _ in range(400)], []
+    for i in range(120):
+        text = list(template)
+        for at in draw.sample(range(400), 3 if i < 20 else 8):
+            text[at] = word()
+        docs.append((i, " ".join(text)))
+    want, links = components(docs, 5, 80)
+    seen = []
+    for name in ("_first_pairs", "_open_pairs"):
+        kept = getattr(ngram_join, name)
+        monkeypatch.setattr(ngram_join, name, lambda *a, kept=kept: seen.append(kept(*a)) or seen[-1])
+    got = near_copies(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and 100 < len(links) < 1000
+    assert sum(pairs.count() for pairs in seen) < 3 * len(docs)
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_tree_of_several_levels(percent):
     draw = np.random.default_rng(percent)
