@@ -12,8 +12,9 @@ them are private. Selected candidates that overlap no span of the rules are adde
 overlap each other; the rules' spans all stay.
 
 All work on texts is done by SQL functions; one pass leaves a narrow table of spans and candidates. Trees
-need only how often each combination of feature values occurs, which Spark counts over all candidates; at
-most ``vectors`` of the most frequent combinations reach the driver, which grows the trees. Places are
+need only how often each combination of feature values occurs, which Spark counts over all candidates. Where
+there are at most ``vectors`` combinations, they reach the driver, which grows the trees; of more, Spark sums
+gradients by node, feature and value, and only these sums reach it. No combination is left out. Places are
 counted in code points from 0, ends are exclusive. Null texts count as empty; rows are judged each on
 its own, so ids may repeat or be null. Without labelled candidates nothing is added.
 """
@@ -24,7 +25,7 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 from math import exp, inf, log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import materialize
@@ -161,7 +162,10 @@ class Trees:
         def of(node) -> float:
             return node if isinstance(node, float) else of(node[2] if x[node[0]] <= node[1] else node[3])
 
-        return self.start + sum(of(t) for t in self.trees)
+        total = self.start
+        for t in self.trees:  # one after another, as the SQL form adds them: thresholds are compared with its scores
+            total += of(t)
+        return total
 
 
 def boost(counts: list[tuple[dict[str, int], int, int]], rounds: int = 20, depth: int = 3, rate: float = 0.4, damping: float = 1.0) -> Trees:
@@ -220,13 +224,86 @@ def calibrate(model: Trees, counts: list[tuple[dict[str, int], int, int]], preci
         model.thresholds[kind] = float(best)
 
 
+def boost_by_sums(table: DataFrame, rounds: int = 20, depth: int = 3, rate: float = 0.4, damping: float = 1.0) -> Trees:
+    """The trees of ``boost`` for ``x, yes, no`` of very many combinations: each level of a tree needs the
+    sums of gradients by node, feature and value, some thousand numbers. Sums are of whole numbers, so they
+    don't depend on the order of rows."""
+    model, unit = Trees(), float(1 << 20)
+    yes, no = table.agg(F.coalesce(F.sum("yes"), F.lit(0)), F.coalesce(F.sum("no"), F.lit(0))).first()
+    if not yes:
+        return model
+    model.start = log((yes + 0.5) / (no + 0.5))
+    leaf = lambda g, h: -rate * g / (h + damping)
+    values = ", ".join(f"struct({k} as f, x.{f} as v)" for k, f in enumerate(FEATURES))
+
+    for _ in range(rounds):
+        rows = table.withColumn("p", F.expr(f"1 / (1 + exp(-greatest(-30D, least(30D, {model.score('x')}))))"))
+        whole = lambda sql: F.expr(f"cast(round(({sql}) * {unit!r}D) as decimal(38, 0))")
+        rows = rows.withColumns({"g": whole("(yes + no) * p - yes"), "h": whole("(yes + no) * p * (1 - p)")})
+        # a node is a list: its leaf value, or feature, cut and two nodes
+        root: list = [0.0]
+        open_nodes = [root]
+        for _ in range(depth):
+            number = {id(n): k for k, n in enumerate(open_nodes)}
+            place = lambda n: f"if(x.{n[0]} <= {n[1]}, {place(n[2])}, {place(n[3])})" if len(n) > 1 else str(number.get(id(n), -1))  # noqa: B023, E731
+            sums = rows.withColumn("node", F.expr(place(root))).where("node >= 0").select("node", "g", "h", F.expr(f"inline(array({values}))"))
+            bins: dict[tuple[int, int], list] = defaultdict(list)
+            for node, f, v, g, h in sums.groupBy("node", "f", "v").agg(F.sum("g"), F.sum("h")).collect():
+                bins[node, f].append((v, int(g), int(h)))
+            following = []
+            for k, n in enumerate(open_nodes):
+                total_g, total_h = (sum(b[c] for b in bins[k, 0]) for c in (1, 2))
+                g, h = total_g / unit, total_h / unit
+                best, found = 1e-6, None
+                for f in range(len(FEATURES)):
+                    gl = hl = 0
+                    for cut, bg, bh in sorted(bins[k, f])[:-1]:
+                        gl, hl = gl + bg, hl + bh
+                        low, high = (gl / unit, hl / unit), ((total_g - gl) / unit, (total_h - hl) / unit)
+                        gain = low[0] ** 2 / (low[1] + damping) + high[0] ** 2 / (high[1] + damping) - g * g / (h + damping)
+                        if gain > best:
+                            best, found = gain, (FEATURES[f], cut, [leaf(*low)], [leaf(*high)])
+                n[:] = found or [leaf(g, h)]
+                following += n[2:]
+            open_nodes = following
+        tree = lambda n: (n[0], n[1], tree(n[2]), tree(n[3])) if len(n) > 1 else n[0]  # noqa: B023, E731
+        model.trees.append(tree(root))
+    return model
+
+
+def calibrate_by_sums(model: Trees, table: DataFrame, precision: float) -> None:
+    """The thresholds of ``calibrate`` for ``x, yes, no`` of very many combinations: running sums from the
+    highest score on, within ranges of scores and over the ranges."""
+    ranges = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scores = table.select("x.kind", F.expr(model.score("x")).alias("score"), "yes", "no").groupBy("kind", "score").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    scores = materialize(scores.repartitionByRange(ranges, F.col("kind"), F.desc("score")).withColumn("part", F.spark_partition_id()))
+    sums = scores.groupBy("kind", "part").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    earlier = Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("kind", "part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("yes", "no")])
+    upto = Window.partitionBy("kind", "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    scores = scores.withColumns({c: F.sum(c).over(upto) for c in ("yes", "no")}).join(sums, ["kind", "part"])
+    scores = scores.select("kind", "score", (F.col("yes") + F.col("yes_before")).alias("yes"), (F.col("no") + F.col("no_before")).alias("no"))
+    fits = (F.col("yes") > 0) & (F.col("yes") >= F.lit(precision) * (F.col("yes") + F.col("no")))
+    for kind, least in scores.groupBy("kind").agg(F.min(F.when(fits, F.col("score")))).collect():
+        model.thresholds[kind] = inf if least is None else least
+
+
 def fit_trees(table: DataFrame, precision: float = 0.98, vectors: int = 4096) -> Trees:
-    """Trees and thresholds from the candidates of ``spans_and_candidates``."""
+    """Trees and thresholds from the candidates of ``spans_and_candidates``. More than ``vectors``
+    combinations of feature values stay in Spark, see ``boost_by_sums``."""
     each = table.select("doc_id", F.explode("candidates").alias("c")).select("c.x.*", F.pmod(F.xxhash64("doc_id", "c.start"), F.lit(2)).alias("half"), "c.joined", "c.private")
     labelled = ~F.col("joined")
     of_half = lambda h, private: F.sum((labelled & (F.col("half") == h) & (F.col("private") == private)).cast("long"))
     sums = [of_half(h, p).alias(f"n{h}{int(p)}") for h in (0, 1) for p in (True, False)]
-    found = each.groupBy(*FEATURES).agg(F.count("*").alias("n"), *sums).orderBy(F.desc("n"), *FEATURES).limit(vectors).collect()
+    counts = materialize(each.groupBy(*FEATURES).agg(F.count("*").alias("n"), *sums))
+    if counts.count() > vectors:
+        formats = counts.groupBy(*_FORMAT).agg((F.sum(F.col("n01") + F.col("n11")) == 0).cast("long").alias("unknown"))
+        counts = materialize(counts.join(F.broadcast(formats), list(_FORMAT)).select(F.struct(*FEATURES).alias("x"), "n01", "n00", "n11", "n10", "unknown"))
+        half = lambda h: counts.select("x", F.col(f"n{h}1").alias("yes"), (F.col(f"n{h}0") + F.col("unknown")).alias("no")).where("yes + no > 0")
+        model = boost_by_sums(half(0))
+        calibrate_by_sums(model, half(1), precision)
+        return model
+    found = counts.orderBy(F.desc("n"), *FEATURES).collect()
     rows = [({f: r[f] for f in FEATURES}, r.n01, r.n00, r.n11, r.n10) for r in found]
     known = {tuple(x[f] for f in _FORMAT) for x, a, _, b, _ in rows if a + b}
     unknown = [(x, 0, 1) for x, *_ in rows if tuple(x[f] for f in _FORMAT) not in known]

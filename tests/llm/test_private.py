@@ -100,6 +100,19 @@ def test_held_out_accuracy(spark):
     assert all(abs(r.s - model.value(r.x.asDict())) < 1e-9 for r in scored)
 
 
+def test_more_combinations_than_the_driver_takes(spark):
+    """What is fitted doesn't depend on how many combinations of feature values the driver takes."""
+    table = materialize(spans_and_candidates(spark.createDataFrame(list(enumerate(corpus(6, 300))), "doc_id long, text string")))
+    whole, by_sums = fit_trees(table), fit_trees(table, vectors=3)
+    assert whole.trees and len(by_sums.trees) == len(whole.trees) and by_sums.thresholds.keys() == whole.thresholds.keys()
+    picked = [r.x for r in table.select(F.explode("candidates").alias("c")).select("c.x").distinct().collect()]
+    assert len(picked) > 50
+    for x in picked:
+        values = x.asDict()
+        assert abs(whole.value(values) - by_sums.value(values)) < 1e-3
+        assert (whole.value(values) >= whole.thresholds[x.kind]) == (by_sums.value(values) >= by_sums.thresholds[x.kind])
+
+
 def test_thresholds_are_calibrated():
     x = lambda kind, check: dict.fromkeys(("digits", "others", "plus", "parens", "parts", "varied", "letters", "left", "right", "cue"), 0) | {"kind": kind, "check": check}
     counts = [(x(2, 1), 98, 2), (x(2, 0), 1, 99), (x(3, 0), 50, 50)]
