@@ -115,6 +115,19 @@ def unescape_text(text: Column) -> Column:
     return F.coalesce(_collapsed(F.when(coded, html_unescape(F.when(coded, text))).otherwise(text)), F.lit(""))
 
 
+#: The entities of markup, in the order in which they are decoded: ampersands may have been coded twice.
+_MARKUP = (("&amp;", "&"), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&apos;", "'"))
+_SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
+def unescape_markup(text: Column) -> Column:
+    """Only whole entities of markup decoded, ASCII blanks collapsed, spaces trimmed; null stays null. For texts
+    cut at a length: what a cut left of an entity (``&amp``) is text, which ``unescape_text`` would decode."""
+    for entity, meant in _MARKUP:
+        text = F.replace(text, F.lit(entity), F.lit(meant))
+    return F.btrim(F.regexp_replace(text, r"[\t\n\f\r ]+", " "), F.lit(_SPACES))
+
+
 def unescape_all(texts: Column) -> Column:
     """``unescape_text`` for each string of an array."""
     coded = F.exists(texts, lambda x: F.coalesce(x.contains("&"), F.lit(False)))
