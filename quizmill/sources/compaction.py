@@ -8,13 +8,15 @@ Replaced files stay until ``drop_replaced``, for readers that began before."""
 from __future__ import annotations
 
 import uuid
+from itertools import accumulate
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import conform
-from .scratch import listed
+from .scratch import listed, settings
 
 _HOME = "_compacted"
 
@@ -59,26 +61,38 @@ def _rows_of(spark: SparkSession, files: list[tuple[str, str]], schema: StructTy
     return found
 
 
-def compact(spark: SparkSession, path: str, schema: StructType, partitions: list[str], target: int = 256 << 20, most_files: int = 100_000) -> int:
+def _values(folders: str) -> list[str | None]:
+    """The values that the names of a partition's folders stand for."""
+    written = [f.split("=", 1)[1] for f in folders.split("/")[1:]]
+    return [None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for v in written]
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, partitions: list[str], target: int | None = 256 << 20, most_files: int = 100_000) -> int:
     """Join the files under half of ``target`` bytes of each partition that has two of them or more, into
-    files of about ``target`` bytes; returns how many files were replaced. At most ``most_files``, the smallest
-    partitions' names first, are taken at once (their names pass through the driver); call again for the
-    rest. Appends may go on meanwhile; a second compaction of the same files is refused."""
+    files of about ``target`` bytes (no ``target``: all of a partition into one, however large); returns how many
+    files were replaced. At most ``most_files``, the smallest partitions' names first, are taken at once (their
+    names pass through the driver); call again for the rest. Appends may go on meanwhile; a second compaction
+    of the same files is refused."""
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    values = F.regexp_extract(folder, "((?:/[^/=]+=[^/]*)+)$", 1)
-    small = live_files(spark, path).where(F.col("length") < target // 2).withColumn("part", values)
-    groups = small.groupBy("part").agg(F.count("*").alias("n"), F.ceil(F.sum("length") / target).alias("files")).where("n > 1")
-    chosen = small.join(groups, "part").orderBy("part", "path").limit(most_files).select("base", "path", "part", "files").collect()
+    values = F.regexp_extract(folder, f"((?:/[^/=]+=[^/]*){{{len(partitions)}}})$", 1)
+    small = live_files(spark, path).where(F.lit(True) if target is None else F.col("length") < target // 2).withColumn("part", values)
+    files = F.lit(1) if target is None else F.ceil(F.sum("length") / target)
+    groups = small.groupBy("part").agg(F.count("*").alias("n"), F.sum("length").alias("bytes"), files.alias("files")).where("n > 1")
+    chosen = small.join(groups, "part").orderBy("part", "path").limit(most_files).select("base", "path", "part", "bytes", "files").collect()
     if not chosen:
         return 0
     at = f"{path}/{_HOME}/{uuid.uuid4().hex}"
     rows = _rows_of(spark, [(r.base, r.path) for r in chosen], schema)
-    # as many tasks a partition as it gets files
-    part = F.concat(*[F.concat(F.lit(f"/{p}="), F.col(p)) for p in partitions])
-    counts = sorted({(r.part, int(r.files)) for r in chosen})
-    files = spark.createDataFrame(counts, "part string, files int")
-    salted = rows.withColumn("part", part).join(files, "part", "left").withColumn("salt", F.pmod(F.xxhash64(*schema.names), F.coalesce("files", F.lit(1))))
-    salted.repartition(sum(n for _, n in counts), *partitions, "salt").select(*schema.names).write.partitionBy(*partitions).parquet(f"{at}/data")
+    # a task for each file, those of the largest partitions first
+    counts = sorted({(r.part, r.bytes, int(r.files)) for r in chosen}, key=lambda c: -c[1] / c[2])
+    tasks, before = sum(n for *_, n in counts), accumulate((n for *_, n in counts), initial=0)
+    keys = [f"_{p}" for p in partitions]
+    places = spark.createDataFrame([(*_values(part), n, k) for (part, _, n), k in zip(counts, before)], ", ".join(f"`{k}` string" for k in keys) + ", _files int, _first int")
+    placed = rows.join(F.broadcast(places), [F.col(p).cast("string").eqNullSafe(F.col(k)) for p, k in zip(partitions, keys)], "left")
+    own = F.col("_first") + F.when(F.col("_files") == 1, 0).otherwise(F.pmod(F.xxhash64(*schema.names), "_files"))
+    dealt = placed.repartitionById(tasks, F.coalesce(own, F.pmod(F.xxhash64(*partitions), F.lit(tasks))).cast("int"))
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):  # of one partition: rows aren't sorted
+        dealt.select(*schema.names).write.partitionBy(*partitions).parquet(f"{at}/data")
     names = spark.createDataFrame([(r.path,) for r in chosen], "path string")
     if not _replaced(spark, _commits(spark, path)).join(names, "path", "left_semi").isEmpty():
         raise RuntimeError(f"another compaction has replaced some of these files of {path}")

@@ -38,7 +38,7 @@ def append_answers(df: DataFrame, path: str, rows_per_file: int = 1_000_000) ->
     conform(df, ANSWERS).write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("model_slug", "prompt_variant").parquet(path)
 
 
-def compact_answers(spark: SparkSession, path: str, target: int = 256 << 20, keep_replaced: bool = True) -> int:
+def compact_answers(spark: SparkSession, path: str, target: int | None = 256 << 20, keep_replaced: bool = True) -> int:
     """Join small files of appended answers, see ``compaction``; readers and appends may go on."""
     n = compact(spark, path, ANSWERS, ["model_slug", "prompt_variant"], target)
     if not keep_replaced:

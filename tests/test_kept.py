@@ -162,6 +162,24 @@ def test_compaction(spark, tmp_path):
     assert attempts(spark, at) == list(range(72))
 
 
+def test_compaction_into_one_file(spark, tmp_path):
+    """About ``target`` bytes a file; without one a partition's files become one, whatever they hold."""
+    at = f"{tmp_path}/answers"
+    for k in range(8):
+        T.append_answers(answers(spark, 20 * k, 20 * k + 20), at)
+    odd = spark.createDataFrame([("50% é", None), (None, "a=b/prompt_variant=c")], "model_slug string, prompt_variant string")
+    for k in range(2):
+        T.append_answers(odd.withColumns({"attempt": F.lit(160 + k).cast("long"), "status": F.lit("ok")}), at)
+    files = lambda: sorted(Counter(r.path.rsplit("/", 1)[0] for r in compaction.live_files(spark, at).collect()).values())
+    seen = lambda: Counter((r.model_slug, r.prompt_variant) for r in T.read_answers(spark, at).collect())
+    largest, before = compaction.live_files(spark, at).agg(F.max("length")).first()[0], seen()
+    assert len(before) == 4 and T.compact_answers(spark, at, target=2 * largest + 2) == 20
+    assert files() == [1, 1, 4, 4] and seen() == before
+    assert T.compact_answers(spark, at, target=None) == 8
+    assert files() == [1, 1, 1, 1] and seen() == before and attempts(spark, at) == sorted([*range(160), 160, 160, 161, 161])
+    assert T.compact_answers(spark, at, target=None) == 0
+
+
 def test_a_compaction_that_breaks_off(spark, tmp_path, monkeypatch):
     """New files without their commit don't count; two compactions of the same files don't both commit."""
     at = f"{tmp_path}/answers"
